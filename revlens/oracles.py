@@ -90,3 +90,116 @@ ORACLES["reviewer_profile"] = "WITH " + PROFILE_CTE + "\nSELECT * FROM profile"
 
 ORACLES["reviewer_profile_describe"] = (
     "WITH " + PROFILE_CTE + ",\n" + _describe_sql("profile", PROFILE_COLUMNS, DESCRIBE_STATS, 2))
+
+REVIEW_COLUMNS = ["reviewerID", "asin", "overall", "helpful", "reviewTime"]
+PRODUCT_COLUMNS = ["asin", "price", "title", "categories", "salesRank", "related"]
+
+ORACLES["null_pct_reviews"] = "WITH " + REVIEWS_CTE + "\n" + _null_pct_sql("reviews", REVIEW_COLUMNS)
+ORACLES["null_pct_products"] = "WITH " + PRODUCTS_CTE + "\n" + _null_pct_sql("products", PRODUCT_COLUMNS)
+
+ORACLES["price_rating_corr"] = "WITH " + REVIEWS_CTE + "," + PRODUCTS_CTE + r""",
+pairs AS (
+  SELECT p.price, r.overall FROM products p JOIN reviews r ON p.asin = r.asin
+  WHERE p.price IS NOT NULL AND r.overall IS NOT NULL)
+SELECT count(*) AS n_pairs,
+  CASE WHEN min(price) < max(price) AND min(overall) < max(overall)
+       THEN round_even(corr(price, overall), 2) END AS price_rating_corr
+FROM pairs"""
+
+ORACLES["price_describe"] = "WITH " + PRODUCTS_CTE + ",\n" + _describe_sql(
+    "products", ["price"], ["mean", "std", "50%", "min", "max"], 2)
+
+ORACLES["category_counts"] = "WITH " + PRODUCTS_CTE + r""",
+c AS (SELECT json_extract_string(replace(categories, '''', '"'), '$[0][0]') AS category, asin FROM products)
+SELECT category, count(asin) AS n FROM c WHERE category IS NOT NULL GROUP BY category"""
+
+ORACLES["dangling_reviews"] = "WITH " + REVIEWS_CTE + "," + PRODUCTS_CTE + r""",
+missing AS (
+  SELECT DISTINCT r.asin FROM reviews r
+  WHERE r.asin IS NOT NULL AND NOT EXISTS (SELECT 1 FROM products p WHERE p.asin = r.asin))
+SELECT CAST(count(*) > 0 AS INTEGER) AS dangling, count(*) AS missing_ids FROM missing"""
+
+ORACLES["related_vs_catalog"] = "WITH " + PRODUCTS_CTE + r""",
+rel AS (SELECT DISTINCT unnest(regexp_extract_all(related, '[A-Z0-9]{10}')) AS asin FROM products),
+cat AS (SELECT DISTINCT asin FROM products WHERE asin IS NOT NULL),
+j AS (SELECT cat.asin AS a, rel.asin AS b FROM cat FULL OUTER JOIN rel ON cat.asin = rel.asin)
+SELECT count(*) FILTER (WHERE b IS NULL) AS catalog_only,
+       count(*) FILTER (WHERE a IS NULL) AS related_only,
+       CAST(count(*) FILTER (WHERE a IS NULL OR b IS NULL) > 0 AS INTEGER) AS differ
+FROM j"""
+
+ORACLES["preview_products"] = "WITH " + PRODUCTS_CTE + "\nSELECT * FROM products ORDER BY asin LIMIT 5"
+ORACLES["product_lookup"] = "WITH " + PRODUCTS_CTE + "\nSELECT * FROM products WHERE asin = '0000000150'"
+ORACLES["product_count_mean_price"] = "WITH " + PRODUCTS_CTE + (
+    "\nSELECT count(*) AS count_total, round_even(avg(price), 6) AS mean_price FROM products")
+
+_RATINGS = "WITH " + REVIEWS_CTE + "," + PRODUCTS_CTE + r""",
+per AS (SELECT asin, avg(overall) AS meanRating, count(overall) AS countRating FROM reviews GROUP BY asin),
+r AS (SELECT p.asin, per.meanRating, per.countRating FROM products p LEFT JOIN per ON p.asin = per.asin)
+"""
+ORACLES["product_ratings"] = _RATINGS + (
+    "SELECT asin, round_even(meanRating, 6) AS meanRating, countRating FROM r")
+ORACLES["product_rating_stats"] = _RATINGS + r"""
+SELECT count(asin) AS count_total,
+  round_even(avg(meanRating), 6) AS mean_meanRating,
+  round_even(var_samp(meanRating), 6) AS variance_meanRating,
+  count(*) FILTER (WHERE meanRating IS NULL) AS numNulls_meanRating,
+  round_even(avg(countRating), 6) AS mean_countRating,
+  round_even(var_samp(countRating), 6) AS variance_countRating,
+  count(*) FILTER (WHERE countRating IS NULL) AS numNulls_countRating
+FROM r"""
+
+_FLAT = "WITH " + PRODUCT_FLAT_CTE + r""",
+f AS (SELECT asin, NULLIF(first_cat, '') AS category, bestSalesCategory, bestSalesRank FROM product_parsed)
+"""
+ORACLES["product_flat"] = _FLAT + "SELECT * FROM f"
+ORACLES["product_flat_stats"] = _FLAT + r"""
+SELECT count(asin) AS count_total,
+  round_even(avg(bestSalesRank), 6) AS mean_bestSalesRank,
+  round_even(var_samp(bestSalesRank), 6) AS variance_bestSalesRank,
+  count(*) FILTER (WHERE category IS NULL) AS numNulls_category,
+  count(DISTINCT category) AS countDistinct_category,
+  count(*) FILTER (WHERE bestSalesCategory IS NULL) AS numNulls_bestSalesCategory,
+  count(DISTINCT bestSalesCategory) AS countDistinct_bestSalesCategory
+FROM f"""
+
+_ALSO = "WITH " + PRODUCT_FLAT_CTE + r""",
+nb AS (SELECT asin, unnest(also_viewed) AS nb FROM product_parsed),
+prices AS (SELECT asin AS nb, price FROM products WHERE price IS NOT NULL),
+mp AS (SELECT nb.asin, avg(prices.price) AS m FROM nb JOIN prices ON nb.nb = prices.nb GROUP BY nb.asin),
+a AS (SELECT l.asin, mp.m AS meanPriceAlsoViewed,
+        CAST(NULLIF(len(l.also_viewed), 0) AS INTEGER) AS countAlsoViewed
+      FROM product_parsed l LEFT JOIN mp ON l.asin = mp.asin)
+"""
+ORACLES["also_viewed"] = _ALSO + (
+    "SELECT asin, round_even(meanPriceAlsoViewed, 6) AS meanPriceAlsoViewed, countAlsoViewed FROM a")
+ORACLES["also_viewed_stats"] = _ALSO + r"""
+SELECT count(asin) AS count_total,
+  round_even(avg(meanPriceAlsoViewed), 6) AS mean_meanPriceAlsoViewed,
+  round_even(var_samp(meanPriceAlsoViewed), 6) AS variance_meanPriceAlsoViewed,
+  count(*) FILTER (WHERE meanPriceAlsoViewed IS NULL) AS numNulls_meanPriceAlsoViewed,
+  round_even(avg(countAlsoViewed), 6) AS mean_countAlsoViewed,
+  round_even(var_samp(countAlsoViewed), 6) AS variance_countAlsoViewed,
+  count(*) FILTER (WHERE countAlsoViewed IS NULL) AS numNulls_countAlsoViewed
+FROM a"""
+
+_IMPUTE = "WITH " + PRODUCTS_CTE + r""",
+p AS (SELECT asin, CAST(CAST(price AS FLOAT) AS DOUBLE) AS price, title FROM products),
+c AS (SELECT avg(price) AS m, quantile_disc(price, 0.5) AS med FROM p),
+i AS (SELECT asin, coalesce(price, c.m) AS meanImputedPrice, coalesce(price, c.med) AS medianImputedPrice,
+        CASE WHEN title IS NULL OR title = '' THEN 'unknown' ELSE title END AS unknownImputedTitle
+      FROM p, c)
+"""
+ORACLES["imputed_products"] = _IMPUTE + (
+    "SELECT asin, round_even(meanImputedPrice, 6) AS meanImputedPrice, "
+    "round_even(medianImputedPrice, 6) AS medianImputedPrice, unknownImputedTitle FROM i")
+ORACLES["imputation_stats"] = _IMPUTE + r"""
+SELECT count(asin) AS count_total,
+  round_even(avg(meanImputedPrice), 6) AS mean_meanImputedPrice,
+  round_even(var_samp(meanImputedPrice), 6) AS variance_meanImputedPrice,
+  count(*) FILTER (WHERE meanImputedPrice IS NULL) AS numNulls_meanImputedPrice,
+  round_even(avg(medianImputedPrice), 6) AS mean_medianImputedPrice,
+  round_even(var_samp(medianImputedPrice), 6) AS variance_medianImputedPrice,
+  count(*) FILTER (WHERE medianImputedPrice IS NULL) AS numNulls_medianImputedPrice,
+  count(*) FILTER (WHERE unknownImputedTitle = 'unknown') AS numUnknowns_unknownImputedTitle
+FROM i"""

@@ -34,3 +34,107 @@ def _reviewer_profile(spark, sf):
 @register("reviewer_profile_describe")
 def _reviewer_profile_describe(spark, sf):
     return R.reviewer_profile_describe(FX.reviews(spark, sf))
+
+
+# -- Q1: catalog exploration --------------------------------------------------
+
+from revlens.plans import catalog as C  # noqa: E402
+from revlens.plans import products as PR  # noqa: E402
+
+# Fixed value: the id the point lookup looks for (exists at every scale).
+LOOKUP_ASIN = "0000000150"
+# Decimal places of double-valued results that come from floating sums,
+# so results are stable across summation orders.
+PLACES = 6
+
+
+@register("null_pct_reviews")
+def _null_pct_reviews(spark, sf):
+    return C.null_pct(FX.reviews(spark, sf))
+
+
+@register("null_pct_products")
+def _null_pct_products(spark, sf):
+    return C.null_pct(FX.products(spark, sf))
+
+
+@register("price_rating_corr")
+def _price_rating_corr(spark, sf):
+    return C.price_rating_corr(FX.products(spark, sf), FX.reviews(spark, sf))
+
+
+@register("price_describe")
+def _price_describe(spark, sf):
+    return C.price_describe(FX.products(spark, sf))
+
+
+@register("category_counts")
+def _category_counts(spark, sf):
+    return C.category_counts(FX.products(spark, sf))
+
+
+@register("dangling_reviews")
+def _dangling_reviews(spark, sf):
+    return C.dangling_reviews(FX.reviews(spark, sf), FX.products(spark, sf))
+
+
+@register("related_vs_catalog")
+def _related_vs_catalog(spark, sf):
+    return C.related_vs_catalog(FX.products(spark, sf))
+
+
+# -- Q2.0-Q2.4: product features ----------------------------------------------------
+
+@register("preview_products")
+def _preview_products(spark, sf):
+    return PR.preview(FX.products(spark, sf))
+
+
+@register("product_lookup")
+def _product_lookup(spark, sf):
+    return PR.lookup(FX.products(spark, sf), LOOKUP_ASIN)
+
+
+@register("product_count_mean_price")
+def _product_count_mean_price(spark, sf):
+    return PR.count_and_mean_price(FX.product_typed(spark, sf), PLACES)
+
+
+@register("product_ratings")
+def _product_ratings(spark, sf):
+    return PR._round(PR.product_ratings(FX.review_typed(spark, sf), FX.product_typed(spark, sf)), PLACES)
+
+
+@register("product_rating_stats")
+def _product_rating_stats(spark, sf):
+    return PR.product_rating_stats(FX.review_typed(spark, sf), FX.product_typed(spark, sf), PLACES)
+
+
+@register("product_flat")
+def _product_flat(spark, sf):
+    return PR.product_flat(FX.product_typed(spark, sf))
+
+
+@register("product_flat_stats")
+def _product_flat_stats(spark, sf):
+    return PR.product_flat_stats(FX.product_typed(spark, sf), PLACES)
+
+
+@register("also_viewed")
+def _also_viewed(spark, sf):
+    return PR._round(PR.also_viewed(FX.product_typed(spark, sf)), PLACES)
+
+
+@register("also_viewed_stats")
+def _also_viewed_stats(spark, sf):
+    return PR.also_viewed_stats(FX.product_typed(spark, sf), PLACES)
+
+
+@register("imputed_products")
+def _imputed_products(spark, sf):
+    return PR._round(PR.imputed_products(FX.product_typed(spark, sf)), PLACES)
+
+
+@register("imputation_stats")
+def _imputation_stats(spark, sf):
+    return PR.imputation_stats(FX.product_typed(spark, sf), PLACES)
