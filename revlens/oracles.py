@@ -203,3 +203,55 @@ SELECT count(asin) AS count_total,
   count(*) FILTER (WHERE medianImputedPrice IS NULL) AS numNulls_medianImputedPrice,
   count(*) FILTER (WHERE unknownImputedTitle = 'unknown') AS numUnknowns_unknownImputedTitle
 FROM i"""
+
+# -- Q2.5-Q2.8 -------------------------------------------------------------------
+
+_TOKENS = r"""WITH tok AS (SELECT unnest(string_split(lower(text), ' ')) AS word FROM documents),
+counts AS (SELECT word, count(*) AS n FROM tok GROUP BY word HAVING count(*) >= 100)
+"""
+ORACLES["title_token_counts"] = _TOKENS + "SELECT word, n FROM counts"
+ORACLES["token_vocabulary_size"] = _TOKENS + (
+    "SELECT (SELECT count(*) FROM documents) AS count_total, "
+    "(SELECT count(*) FROM counts) AS size_vocabulary")
+# Word2Vec keeps exactly the tokens used at least minCount times.
+ORACLES["word2vec_vocabulary"] = ORACLES["token_vocabulary_size"]
+
+ORACLES["vector_top_k"] = r"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS embedding FROM embeddings),
+u AS (SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding) AS x FROM e),
+c AS (SELECT label, list(m ORDER BY pos) AS centroid
+      FROM (SELECT label, pos, avg(x) AS m FROM u GROUP BY label, pos) GROUP BY label),
+s AS (SELECT e.label, e.vec_id, list_cosine_similarity(e.embedding, c.centroid) AS similarity
+      FROM e JOIN c ON e.label = c.label),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT label, vec_id, round_even(similarity, 6) AS similarity, rank FROM r WHERE rank <= 10"""
+
+_CATS = r"""WITH pp AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS asin, p_brand AS category FROM part),
+lv AS (SELECT category, count(*) AS cnt FROM pp WHERE category IS NOT NULL GROUP BY category),
+idx AS (SELECT category, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, category) - 1 AS DOUBLE) AS categoryIndex FROM lv)
+"""
+ORACLES["category_index"] = _CATS + r"""SELECT pp.asin, pp.category,
+  coalesce(idx.categoryIndex, (SELECT CAST(count(*) AS DOUBLE) FROM lv)) AS categoryIndex
+FROM pp LEFT JOIN idx ON pp.category = idx.category"""
+# The last position is the bucket of missing categories (handleInvalid keep).
+ORACLES["category_onehot_mean"] = _CATS + r"""SELECT CAST(categoryIndex AS INTEGER) AS position,
+  round_even(cnt / (SELECT count(*) FROM pp), 6) AS mean FROM idx
+UNION ALL
+SELECT CAST((SELECT count(*) FROM lv) AS INTEGER) AS position,
+  round_even(count(*) FILTER (WHERE category IS NULL) / count(*), 6) AS mean FROM pp"""
+
+_ROWS = r"""rows AS (SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS row_key,
+    CAST(l_linenumber AS DOUBLE) AS l_linenumber, CAST(l_quantity AS DOUBLE) AS overall FROM lineitem)"""
+
+
+def _bucket(seed: str) -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws('-', row_key, '{seed}')), 1, 7)) AS BIGINT) % 100"
+
+
+ORACLES["hash_split"] = "WITH " + _ROWS + f"\nSELECT row_key, {_bucket('valid')} < 75 AS in_train FROM rows"
+ORACLES["prediction_rmse"] = "WITH " + _ROWS + f""",
+b AS (SELECT *, {_bucket('test')} AS bucket FROM rows),
+tr AS (SELECT * FROM b WHERE bucket >= 20),
+te AS (SELECT * FROM b WHERE bucket < 20),
+m AS (SELECT l_linenumber, avg(overall) AS p FROM tr GROUP BY l_linenumber)
+SELECT round_even(sqrt(avg(pow(te.overall - coalesce(m.p, (SELECT avg(overall) FROM tr)), 2))), 6) AS rmse
+FROM te LEFT JOIN m ON te.l_linenumber = m.l_linenumber"""

@@ -138,3 +138,82 @@ def _imputed_products(spark, sf):
 @register("imputation_stats")
 def _imputation_stats(spark, sf):
     return PR.imputation_stats(FX.product_typed(spark, sf), PLACES)
+
+
+# -- Q2.5-Q2.8: features and models -------------------------------------------
+
+from revlens.plans import features as FE  # noqa: E402
+from revlens.plans import models as MO  # noqa: E402
+from revlens.operators.split import with_split_flag  # noqa: E402
+from revlens.sources.tables import read_table  # noqa: E402
+
+# Query words for the nearest-word report (frequent words of
+# the test corpus at every scale, standing in for the reference's three).
+SYNONYM_WORDS = ("the", "and", "de")
+
+
+@register("title_token_counts")
+def _title_token_counts(spark, sf):
+    return FE.token_counts(FX.product_titles(spark, sf))
+
+
+@register("token_vocabulary_size")
+def _token_vocabulary_size(spark, sf):
+    return FE.vocabulary_size(FX.product_titles(spark, sf))
+
+
+@register("word2vec_vocabulary")
+def _word2vec_vocabulary(spark, sf):
+    return FE.word2vec_summary(FX.product_titles(spark, sf))
+
+
+@register("word_synonyms")
+def _word_synonyms(spark, sf):
+    return FE.word_synonyms(FX.product_titles(spark, sf), SYNONYM_WORDS)
+
+
+@register("vector_top_k")
+def _vector_top_k(spark, sf):
+    out = FE.central_members(read_table(spark, sf, "embeddings"))
+    return PR._round(out, PLACES)
+
+
+@register("category_index")
+def _category_index(spark, sf):
+    return FE.category_index(FX.product_categories(spark, sf))
+
+
+@register("category_onehot_mean")
+def _category_onehot_mean(spark, sf):
+    return FE.category_onehot_mean(FX.product_categories(spark, sf), places=PLACES)
+
+
+@register("category_pca_mean")
+def _category_pca_mean(spark, sf):
+    return FE.category_pca_mean(FX.product_categories(spark, sf), places=PLACES)
+
+
+@register("hash_split")
+def _hash_split(spark, sf):
+    rows = FX.ml_rows(spark, sf).select("row_key")
+    return with_split_flag(rows, "row_key", MO.VALID_SEED, MO.TRAIN_PERCENT, "in_train")
+
+
+@register("prediction_rmse")
+def _prediction_rmse(spark, sf):
+    test, train = MO.hash_split(FX.ml_rows(spark, sf), "row_key", MO.TEST_SEED, MO.TEST_PERCENT)
+    return PR._round(MO.group_mean_rmse(train, test, "l_linenumber"), PLACES)
+
+
+def _ml_data(spark, sf):
+    return MO.train_test(FX.ml_rows(spark, sf), FX.FEATURE_COLUMNS)
+
+
+@register("tree_rmse")
+def _tree_rmse(spark, sf):
+    return MO.tree_rmse(*_ml_data(spark, sf))
+
+
+@register("tree_depth_sweep")
+def _tree_depth_sweep(spark, sf):
+    return MO.tree_depth_sweep(*_ml_data(spark, sf))
