@@ -58,31 +58,49 @@ def fit_tree(train: DataFrame, depth: int):
                                  labelCol=LABEL).fit(train)
 
 
+def _fit_persisted(train: DataFrame, depths: Sequence[int]) -> list:
+    """Fit one tree per depth on ``train`` kept in memory/disk for the
+    fits' repeated passes (split search, per-level histograms), released
+    afterwards.  Lost cached blocks are recomputed from the scan."""
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return [(d, fit_tree(train, d)) for d in depths]
+    finally:
+        train.unpersist()
+
+
+def _score_all(models: list, data: DataFrame, prefix: str) -> DataFrame:
+    """One pass over ``data``: every model adds its prediction column and
+    one aggregation computes each model's RMSE (``{prefix}{depth}``)."""
+    scored = data
+    for d, m in models:
+        scored = m.copy().setPredictionCol(f"_p{d}").transform(scored)
+    return scored.agg(*[
+        F.sqrt(F.avg((F.col(LABEL) - F.col(f"_p{d}")) ** 2)).alias(f"{prefix}{d}")
+        for d, _ in models])
+
+
 def tree_rmse(train: DataFrame, test: DataFrame, depth: int = 5) -> DataFrame:
     """Q2.7: test_rmse of a depth-5 tree."""
-    model = fit_tree(train, depth)
-    return rmse(model.transform(test)).select(F.col("rmse").alias("test_rmse"))
+    models = _fit_persisted(train, [depth])
+    return _score_all(models, test, "t").select(F.col(f"t{depth}").alias("test_rmse"))
 
 
 def tree_depth_sweep(train_data: DataFrame, test: DataFrame,
                      depths: Sequence[int] = DEPTHS) -> DataFrame:
     """Q2.8: depth, valid_rmse, test_rmse, best (1 for the depth with the
     lowest validation RMSE, ties to the shallower tree).  The split is
-    75/25 by row-key hash.  Fits are eager; the returned table is lazy
-    scoring of the fitted models."""
+    75/25 by row-key hash.  Fits are eager; the returned table is lazy:
+    one scoring pass over the validation part and one over the test set."""
     train, valid = hash_split(train_data, "row_key", VALID_SEED, TRAIN_PERCENT)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        models = [(d, fit_tree(train, d)) for d in depths]
-    finally:
-        train.unpersist()
-    parts = [rmse(m.transform(valid)).select(
-                 F.lit(d).alias("depth"), F.col("rmse").alias("valid_rmse"),
-                 rmse(m.transform(test)).scalar().alias("test_rmse"))
-             for d, m in models]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    models = _fit_persisted(train, depths)
+    t = _score_all(models, test, "t")
+    t = t.select(F.struct(*t.columns).alias("s")).scalar()
+    v = _score_all(models, valid, "v")
+    out = v.select(F.inline(F.array(*[
+        F.struct(F.lit(d).alias("depth"), F.col(f"v{d}").alias("valid_rmse"),
+                 t.getField(f"t{d}").alias("test_rmse"))
+        for d, _ in models])))
     # One row per depth: this window holds len(depths) rows.
     w = Window.orderBy("valid_rmse", "depth")
     return out.withColumn("best", (F.row_number().over(w) == 1).cast("int"))

@@ -25,9 +25,9 @@ def _asin(key) -> "F.Column":
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """reviewerID, asin, overall, helpful, reviewTime (text forms)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_linenumber", "l_returnflag")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = read_table(spark, sf_dir, "lineitem",
+                    ["l_orderkey", "l_partkey", "l_quantity", "l_linenumber", "l_returnflag"])
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     q = F.col("l_quantity").cast("int")
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("string").alias("reviewerID"),
@@ -46,7 +46,8 @@ def _id_text(expr) -> "F.Column":
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """asin, price, title, categories, salesRank, related (text forms)."""
-    p = read_table(spark, sf_dir, "part")
+    p = read_table(spark, sf_dir, "part",
+                   ["p_partkey", "p_retailprice", "p_name", "p_type", "p_brand", "p_size"])
     k = F.col("p_partkey")
     null_s = F.lit(None).cast("string")
     categories = (F.when(k % 17 == 0, null_s)
@@ -91,13 +92,13 @@ def review_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``product_processed`` for the word-vector job: one whole document
     text per row as ``title``."""
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return d.select(_asin(F.col("doc_id")).alias("asin"), F.col("text").alias("title"))
 
 
 def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``product_processed`` for the category-encoding job (25 levels)."""
-    p = read_table(spark, sf_dir, "part")
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
     return p.select(_asin(F.col("p_partkey")).alias("asin"), F.col("p_brand").alias("category"))
 
 
@@ -107,7 +108,8 @@ FEATURE_COLUMNS = ("l_extendedprice", "l_discount", "l_tax", "l_linenumber")
 def ml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows for the regression jobs: a stable key, four numeric features
     and the label ``overall`` (= l_quantity)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity",
+                                                "l_extendedprice", "l_discount", "l_tax"])
     return li.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
                     F.col("l_linenumber").cast("string")).alias("row_key"),
