@@ -79,7 +79,7 @@ DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
 def _null_pct_sql(table: str, columns: list[str]) -> str:
     sel = " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", round_even(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE, 4) * 100 AS null_pct FROM {table}"
+        f"SELECT '{c}' AS \"column\", round_even(round_even(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE, 4) * 100, 2) AS null_pct FROM {table}"
         for c in columns)
     return sel
 

@@ -227,3 +227,18 @@ def _tree_rmse(spark, sf):
 @register("tree_depth_sweep")
 def _tree_depth_sweep(spark, sf):
     return MO.tree_depth_sweep(*_ml_data(spark, sf))
+
+
+# -- End-to-end reports (the two JSON documents) ---------------------------------
+
+from revlens.plans import reports as RP  # noqa: E402
+
+
+@register("reviewer_report")
+def _reviewer_report(spark, sf):
+    return RP.reviewer_report(FX.reviews(spark, sf))
+
+
+@register("catalog_report")
+def _catalog_report(spark, sf):
+    return RP.catalog_report(FX.reviews(spark, sf), FX.products(spark, sf))

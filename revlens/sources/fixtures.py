@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.functions import parse as P
 from revlens.sources.tables import read_table
+from revlens.sources.typed import typed_products
 
 
 def _asin(key) -> "F.Column":
@@ -76,12 +76,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The PA2 ``product`` table: nested fields typed."""
-    return products(spark, sf_dir).select(
-        "asin", "title", "price",
-        P.parse_categories("categories").alias("categories"),
-        P.parse_sales_rank("salesRank").alias("salesRank"),
-        P.parse_related("related").alias("related"),
-    )
+    return typed_products(products(spark, sf_dir))
 
 
 def review_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
