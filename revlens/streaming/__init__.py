@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analytics this package rebuilds read bounded files and tables only: no
+unbounded source, watermark, window, state or late-data rule appears in
+them, so there is no streaming operator to provide.  Every job is a batch
+DataFrame plan and can run unchanged on a bounded ``readStream`` source
+with an ``availableNow`` trigger inside ``foreachBatch`` if files arrive
+over time.
+"""
