@@ -39,9 +39,11 @@ def _nulls(c: str) -> F.Column:
 
 # -- Q2.0 warm-up -------------------------------------------------------------
 
-def preview(df: DataFrame, n: int = 5, key: str = "asin") -> DataFrame:
-    """First ``n`` rows in key order (ordered so the preview is stable)."""
-    return df.orderBy(key).limit(n)
+def preview(df: DataFrame, n: int = 5, key: str = "asin", last: bool = False) -> DataFrame:
+    """First (``head``) or last (``tail``) ``n`` rows in key order; the
+    order makes the preview stable.  Planned as a top-n
+    (``TakeOrderedAndProject``): each task keeps n rows."""
+    return df.orderBy(F.desc(key) if last else F.asc(key)).limit(n)
 
 
 def lookup(df: DataFrame, key_value: str, key: str = "asin") -> DataFrame:
@@ -137,14 +139,18 @@ def also_viewed_stats(product: DataFrame, places: int | None = None) -> DataFram
 
 # -- Q2.4 imputation ------------------------------------------------------------------
 
-def imputed_products(product: DataFrame) -> DataFrame:
+def imputed_products(product: DataFrame, approx_accuracy: int | None = None) -> DataFrame:
     """asin, meanImputedPrice, medianImputedPrice, unknownImputedTitle.
 
     Prices are taken as float32 like the reference; the fill values are the
-    mean and the exact discrete median of those prices."""
+    mean and the median of those prices: exact and discrete by default (a
+    value of the column, as ``percentile_approx`` returns), or the
+    ``percentile_approx`` sketch itself when ``approx_accuracy`` is given."""
     p = product.select("asin", F.col("price").cast("float").cast("double").alias("price"), "title")
     mean_price = p.agg(F.avg("price")).scalar()
-    median_price = p.agg(exact_lower_median("price")).scalar()
+    median = (F.percentile_approx("price", 0.5, approx_accuracy) if approx_accuracy
+              else exact_lower_median("price"))
+    median_price = p.agg(median).scalar()
     return p.select(
         "asin",
         F.coalesce(F.col("price"), mean_price).alias("meanImputedPrice"),
@@ -154,8 +160,9 @@ def imputed_products(product: DataFrame) -> DataFrame:
     )
 
 
-def imputation_stats(product: DataFrame, places: int | None = None) -> DataFrame:
-    i = imputed_products(product)
+def imputation_stats(product: DataFrame, places: int | None = None,
+                     approx_accuracy: int | None = None) -> DataFrame:
+    i = imputed_products(product, approx_accuracy)
     return _round(i.agg(
         F.count("asin").alias("count_total"),
         F.avg("meanImputedPrice").alias("mean_meanImputedPrice"),

@@ -108,3 +108,16 @@ def test_product_flat(spark):
     assert got == {"a": ("Books", "Z", 3), "b": (None, None, None), "c": (None, None, None)}
     s = PR.product_flat_stats(p).first()
     assert (s.numNulls_category, s.countDistinct_category, s.countDistinct_bestSalesCategory) == (2, 1, 1)
+
+
+def test_preview_head_and_tail(spark):
+    df = spark.range(20).selectExpr("cast(id as string) as asin")
+    assert [r.asin for r in PR.preview(df, 3).collect()] == ["0", "1", "10"]
+    assert [r.asin for r in PR.preview(df, 2, last=True).collect()] == ["9", "8"]
+
+
+def test_approx_median_option(spark):
+    p = spark.createDataFrame([("a", 1.0, "x"), ("b", None, "y"), ("c", 3.0, "z"), ("d", 10.0, "w")],
+                              "asin string, price double, title string")
+    rows = {r.asin: r for r in PR.imputed_products(p, approx_accuracy=10000).collect()}
+    assert rows["b"].medianImputedPrice == 3.0
