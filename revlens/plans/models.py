@@ -16,6 +16,7 @@ the lowest validation RMSE as well as of depth 5.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
@@ -23,7 +24,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.operators.split import hash_split
+from revlens.operators.split import hash_split, with_split_flag
 
 # Split shares and seeds, and the depths swept in Q2.8.
 TEST_PERCENT = 20
@@ -42,11 +43,31 @@ def assemble(rows: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
 
 
 def train_test(rows: DataFrame, feature_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """``ml_features_train`` / ``ml_features_test``."""
+    """``ml_features_train`` / ``ml_features_test`` (lazy filters)."""
     test, train = hash_split(rows, "row_key", TEST_SEED, TEST_PERCENT)
     return assemble(train, feature_cols), assemble(test, feature_cols)
 
 
+def pinned_train_test(rows: DataFrame, feature_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Train/test over one persisted feature table (memory and disk), the
+    way a model-selection phase keeps its inputs in memory.
+
+    The test flag is a column of the persisted table, computed once per row
+    in the projection; the two parts are filters over the cached relation.
+    The caller owns the cache: ``release(train)`` frees it."""
+    flagged = with_split_flag(rows, "row_key", TEST_SEED, TEST_PERCENT, "_in_test")
+    table = assemble_keep(flagged, feature_cols, ["_in_test"]).persist(StorageLevel.MEMORY_AND_DISK)
+    train = table.where(~F.col("_in_test")).drop("_in_test")
+    test = table.where(F.col("_in_test")).drop("_in_test")
+    return train, test
+
+
+def assemble_keep(rows: DataFrame, feature_cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    va = VectorAssembler(inputCols=list(feature_cols), outputCol="features",
+                         handleInvalid="skip")
+    return va.transform(rows).select("row_key", "features", LABEL, *keep)
+
+
 def rmse(scored: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """M6: one row ``rmse`` = sqrt(mean((label - prediction)^2))."""
     err = F.col(label) - F.col(prediction)
@@ -58,13 +79,20 @@ def fit_tree(train: DataFrame, depth: int):
                                  labelCol=LABEL).fit(train)
 
 
-def _fit_persisted(train: DataFrame, depths: Sequence[int]) -> list:
+def _fit_persisted(train: DataFrame, depths: Sequence[int], parallelism: int = 4) -> list:
     """Fit one tree per depth on ``train`` kept in memory/disk for the
     fits' repeated passes (split search, per-level histograms), released
-    afterwards.  Lost cached blocks are recomputed from the scan."""
+    afterwards.  Lost cached blocks are recomputed from the scan.
+
+    Up to ``parallelism`` fits are submitted at once from driver threads
+    (as ``CrossValidator(parallelism=...)`` does): each fit is a chain of
+    small per-level jobs, and concurrent fits keep the executors busy
+    while one fit's driver step runs."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return [(d, fit_tree(train, d)) for d in depths]
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(depths)))) as pool:
+            models = list(pool.map(lambda d: fit_tree(train, d), depths))
+        return list(zip(depths, models))
     finally:
         train.unpersist()
 

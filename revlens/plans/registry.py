@@ -215,8 +215,12 @@ def _prediction_rmse(spark, sf):
     return PR._round(MO.group_mean_rmse(train, test, "l_linenumber"), PLACES)
 
 
+@functools.lru_cache(maxsize=2)
 def _ml_data(spark, sf):
-    return MO.train_test(FX.ml_rows(spark, sf), FX.FEATURE_COLUMNS)
+    """The model-selection phase's inputs, persisted once per (session,
+    input) and shared by the tree jobs (the reference pins its part-2
+    tables in memory the same way)."""
+    return MO.pinned_train_test(FX.ml_rows(spark, sf), FX.FEATURE_COLUMNS)
 
 
 @register("tree_rmse")
