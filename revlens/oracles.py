@@ -138,7 +138,7 @@ per AS (SELECT asin, avg(overall) AS meanRating, count(overall) AS countRating F
 r AS (SELECT p.asin, per.meanRating, per.countRating FROM products p LEFT JOIN per ON p.asin = per.asin)
 """
 ORACLES["product_ratings"] = _RATINGS + (
-    "SELECT asin, round_even(meanRating, 6) AS meanRating, countRating FROM r")
+    "SELECT asin, round_even(meanRating, 6) AS meanRating, CAST(countRating AS DOUBLE) AS countRating FROM r")
 ORACLES["product_rating_stats"] = _RATINGS + r"""
 SELECT count(asin) AS count_total,
   round_even(avg(meanRating), 6) AS mean_meanRating,
@@ -152,7 +152,8 @@ FROM r"""
 _FLAT = "WITH " + PRODUCT_FLAT_CTE + r""",
 f AS (SELECT asin, NULLIF(first_cat, '') AS category, bestSalesCategory, bestSalesRank FROM product_parsed)
 """
-ORACLES["product_flat"] = _FLAT + "SELECT * FROM f"
+ORACLES["product_flat"] = _FLAT + (
+    "SELECT asin, category, bestSalesCategory, CAST(bestSalesRank AS DOUBLE) AS bestSalesRank FROM f")
 ORACLES["product_flat_stats"] = _FLAT + r"""
 SELECT count(asin) AS count_total,
   round_even(avg(bestSalesRank), 6) AS mean_bestSalesRank,
@@ -172,7 +173,8 @@ a AS (SELECT l.asin, mp.m AS meanPriceAlsoViewed,
       FROM product_parsed l LEFT JOIN mp ON l.asin = mp.asin)
 """
 ORACLES["also_viewed"] = _ALSO + (
-    "SELECT asin, round_even(meanPriceAlsoViewed, 6) AS meanPriceAlsoViewed, countAlsoViewed FROM a")
+    "SELECT asin, round_even(meanPriceAlsoViewed, 6) AS meanPriceAlsoViewed, "
+    "CAST(countAlsoViewed AS DOUBLE) AS countAlsoViewed FROM a")
 ORACLES["also_viewed_stats"] = _ALSO + r"""
 SELECT count(asin) AS count_total,
   round_even(avg(meanPriceAlsoViewed), 6) AS mean_meanPriceAlsoViewed,

@@ -101,9 +101,17 @@ def _product_count_mean_price(spark, sf):
     return PR.count_and_mean_price(FX.product_typed(spark, sf), PLACES)
 
 
+def _nullable_counts_as_double(df, *cols):
+    """Integer columns that hold NULLs are presented as DOUBLE: a NULL-able
+    integer converts differently across client libraries (float NaN in one,
+    a nullable integer in another); as DOUBLE both sides agree."""
+    return df.withColumns({c: df[c].cast("double") for c in cols})
+
+
 @register("product_ratings")
 def _product_ratings(spark, sf):
-    return PR._round(PR.product_ratings(FX.review_typed(spark, sf), FX.product_typed(spark, sf)), PLACES)
+    out = PR.product_ratings(FX.review_typed(spark, sf), FX.product_typed(spark, sf))
+    return _nullable_counts_as_double(PR._round(out, PLACES), "countRating")
 
 
 @register("product_rating_stats")
@@ -113,7 +121,7 @@ def _product_rating_stats(spark, sf):
 
 @register("product_flat")
 def _product_flat(spark, sf):
-    return PR.product_flat(FX.product_typed(spark, sf))
+    return _nullable_counts_as_double(PR.product_flat(FX.product_typed(spark, sf)), "bestSalesRank")
 
 
 @register("product_flat_stats")
@@ -123,7 +131,8 @@ def _product_flat_stats(spark, sf):
 
 @register("also_viewed")
 def _also_viewed(spark, sf):
-    return PR._round(PR.also_viewed(FX.product_typed(spark, sf)), PLACES)
+    out = PR._round(PR.also_viewed(FX.product_typed(spark, sf)), PLACES)
+    return _nullable_counts_as_double(out, "countAlsoViewed")
 
 
 @register("also_viewed_stats")

@@ -63,9 +63,10 @@ def compare(spark_df, sql: str, con) -> dict:
     }
     res["rows_match"] = len(s) == len(d)
     if res["columns_match"]:
-        ks = {c: _kind(s[c].dtype) for c in s.columns}
-        kd = {c: _kind(d[c].dtype) for c in d.columns}
-        res["kinds"] = {c: (ks[c], kd[c]) for c in ks if ks[c] != kd[c]}
+        ks = {c: str(s[c].dtype).lower() for c in s.columns}
+        kd = {c: str(d[c].dtype).lower() for c in d.columns}
+        res["kinds"] = {c: (ks[c], kd[c]) for c in ks
+                        if ks[c] != kd[c] and not (_kind(ks[c]) == _kind(kd[c]) == "other")}
         rs, rd = _rows(s), _rows(d)
         res["values_match"] = rs == rd
         if not res["values_match"]:
@@ -75,5 +76,6 @@ def compare(spark_df, sql: str, con) -> dict:
         res["spark_cols"] = sorted(s.columns)
         res["oracle_cols"] = sorted(d.columns)
         res["values_match"] = False
-    res["ok"] = res["rows_match"] and res["columns_match"] and res["values_match"]
+    res["ok"] = (res["rows_match"] and res["columns_match"] and res["values_match"]
+                 and not res.get("kinds"))
     return res
