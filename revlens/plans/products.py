@@ -147,14 +147,14 @@ def imputed_products(product: DataFrame, approx_accuracy: int | None = None) ->
     value of the column, as ``percentile_approx`` returns), or the
     ``percentile_approx`` sketch itself when ``approx_accuracy`` is given."""
     p = product.select("asin", F.col("price").cast("float").cast("double").alias("price"), "title")
-    mean_price = p.agg(F.avg("price")).scalar()
     median = (F.percentile_approx("price", 0.5, approx_accuracy) if approx_accuracy
               else exact_lower_median("price"))
-    median_price = p.agg(median).scalar()
+    # One scalar subquery (one scan) yields both fill values.
+    fill = p.agg(F.struct(F.avg("price").alias("mean"), median.alias("median"))).scalar()
     return p.select(
         "asin",
-        F.coalesce(F.col("price"), mean_price).alias("meanImputedPrice"),
-        F.coalesce(F.col("price"), median_price).alias("medianImputedPrice"),
+        F.coalesce(F.col("price"), fill.getField("mean")).alias("meanImputedPrice"),
+        F.coalesce(F.col("price"), fill.getField("median")).alias("medianImputedPrice"),
         F.when(P.missing_text("title"), F.lit("unknown")).otherwise(F.col("title"))
          .alias("unknownImputedTitle"),
     )
