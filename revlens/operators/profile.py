@@ -58,8 +58,9 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
 
     count/mean/std/min/max come from one aggregation over the columns.
     Quartiles are exact and interpolated (pandas and SQL ``quantile_cont``),
-    computed by :func:`exact_quantiles`; pass ``approx_accuracy`` to use the
-    bounded-memory ``percentile_approx`` sketch instead.
+    computed by :func:`exact_quantiles` (sketch-bracketed selection: no task
+    holds a whole column); pass ``approx_accuracy`` to use the
+    ``percentile_approx`` sketch alone.
     """
     columns = list(columns or [f.name for f in df.schema.fields
                                if isinstance(f.dataType, T.NumericType)])
@@ -83,7 +84,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
             q = (long_vals.groupBy("metric")
                  .agg(F.percentile_approx("v", probs, approx_accuracy).alias("qs")))
         else:
-            q = exact_quantiles(long_vals, "v", probs, group_cols=["metric"])
+            q = exact_quantiles(long_vals, "v", probs, group_cols=["metric"],
+                                group_bound=len(columns))
         parts.append(q.select("metric", _long([
             F.struct(F.lit(s).alias("stat"), F.get(F.col("qs"), i).cast("double").alias("value"))
             for i, s in enumerate(q_stats)])))

@@ -1,24 +1,44 @@
 """Exact quantiles that scale with the number of rows.
 
-Spark's exact ``percentile`` keeps a value -> count map per group.  Feeding
-it raw rows makes every map task ship its own partial map to the single
-task that merges a group.  Here the rows are first reduced to a frequency
-table ``(group, value, n)`` with a normal distributed aggregation (one
-shuffle on group+value, map-side combined), and ``percentile`` is then
-evaluated with the count as its frequency argument.  The merge task of a
-group sees each distinct value once, so its input is bounded by the number
-of distinct values, not by the number of rows (ratings, years, vote counts
-and prices all have small value domains).  For a column whose distinct
-count grows with the data, use ``percentile_approx`` (fixed-size sketch).
+Spark's exact ``percentile`` merges a value -> count map of a whole group in
+one task, so its memory grows with the number of distinct values.  Two
+distributed methods are offered here.
+
+``frequency``  Rows are reduced to ``(group, value, n)`` by a distributed
+    aggregation first, then ``percentile(value, p, n)`` runs on that table.
+    The merge task of a group sees each distinct value once.  Right for
+    small value domains (ratings, years, vote counts, prices).
+
+``bracket``    (default) Approximate, then exact, selection in three passes:
+
+    1. per group a fixed-size ``percentile_approx`` sketch (rank error at
+       most N/accuracy) proposes, for every target rank, brackets of
+       increasing width around it;
+    2. one pass of exact conditional counts per group tells, for each
+       bracket, how many values lie below it and up to its top, so the
+       narrowest bracket that provably contains the target ranks is chosen
+       (the widest is [min, max], so a choice always exists, whatever the
+       sketch returned);
+    3. only the values inside the chosen brackets are ranked with a window
+       (``partition by group, target``), which holds about
+       4 * N / accuracy rows instead of N.
+
+    The result is exact; the sketch only decides how small step 3 is.
+    Quantiles interpolate linearly between ranks floor(h) and ceil(h) with
+    h = p * (N - 1), as pandas and SQL ``quantile_cont``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+DEFAULT_ACCURACY = 10000
+# Bracket half-widths, in units of the sketch's rank error 1/accuracy.
+WIDENINGS = (2, 8, 32, 128)
+
 
 def frequency_table(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """``(group..., value, n)`` over non-NULL values."""
@@ -27,15 +47,128 @@ def frequency_table(df: DataFrame, value_col: str, group_cols: Sequence[str] = (
               .agg(F.count(F.lit(1)).alias("n")))
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    group_cols: Sequence[str] = (), out_col: str = "qs") -> DataFrame:
-    """Interpolated (``quantile_cont``) quantiles per group as an array."""
+def _frequency_quantiles(df, value_col, probs, group_cols, out_col):
     freq = frequency_table(df, value_col, group_cols)
     agg = F.percentile(F.col(value_col), list(probs), F.col("n")).alias(out_col)
     return freq.groupBy(*group_cols).agg(agg) if group_cols else freq.agg(agg)
 
 
-def exact_lower_median(col: str) -> "F.Column":
+def _agg(df: DataFrame, group_cols: Sequence[str], *cols: Column) -> DataFrame:
+    return df.groupBy(*group_cols).agg(*cols) if group_cols else df.agg(*cols)
+
+
+def _join(df: DataFrame, other: DataFrame, group_cols: Sequence[str], few_groups: bool) -> DataFrame:
+    """Attach the one-row-per-group table ``other`` to every row of ``df``.
+
+    With few groups a shuffle join on the group key would send each group's
+    rows to one task, so ``other`` is broadcast: it has one row per group
+    and the caller vouches the group count is small (``few_groups``).  With
+    many groups the shuffle is balanced and AQE decides.  Without groups
+    ``other`` is one row, attached as a scalar subquery."""
+    if group_cols:
+        return df.join(F.broadcast(other) if few_groups else other, list(group_cols))
+    s = other.select(F.struct(*other.columns).alias("_s")).scalar()
+    return df.select("*", *[s.getField(c).alias(c) for c in other.columns])
+
+
+def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_groups):
+    g = list(group_cols)
+    m = len(probs)
+    eps = 1.0 / accuracy
+    widths = [min(1.0, w * eps) for w in WIDENINGS]
+    # Sketch probabilities: p - w and p + w for every target and width.
+    sketch_ps = sorted({min(1.0, max(0.0, p + s * w)) for p in probs for w in widths for s in (-1, 1)})
+    pos = {q: i for i, q in enumerate(sketch_ps)}
+
+    vals = df.select(*g, F.col(value_col).cast("double").alias("_v"))
+    # Pass 1: non-NULL count, min, max and the sketch per group.
+    sk = _agg(vals, g, F.count("_v").alias("_n"), F.min("_v").alias("_min"),
+              F.max("_v").alias("_max"),
+              F.percentile_approx("_v", sketch_ps, accuracy).alias("_a"))
+    h = [(F.col("_n") - 1).cast("double") * F.lit(p) for p in probs]
+    bounds = [sk[c] for c in g] + [F.col("_n")] + [h[i].alias(f"_h{i}") for i in range(m)]
+    for i, p in enumerate(probs):
+        for j, w in enumerate(widths):
+            lo = F.get(F.col("_a"), pos[min(1.0, max(0.0, p - w))])
+            hi = F.get(F.col("_a"), pos[min(1.0, max(0.0, p + w))])
+            bounds += [lo.alias(f"_lo{i}_{j}"), hi.alias(f"_hi{i}_{j}")]
+    sk = sk.select(*bounds, "_min", "_max")
+
+    # Pass 2: exact counts below each bracket and up to its top.
+    rows = _join(vals.where(F.col("_v").isNotNull()), sk, g, few_groups)
+    v = F.col("_v")
+    counts = []
+    for i in range(m):
+        for j in range(len(widths)):
+            counts += [F.count_if(v < F.col(f"_lo{i}_{j}")).alias(f"_b{i}_{j}"),
+                       F.count_if(v <= F.col(f"_hi{i}_{j}")).alias(f"_u{i}_{j}")]
+    # Bracket columns are constant within a group.
+    firsts = [F.max(c).alias(c) for c in sk.columns if c not in g]
+    cnt = _agg(rows, g, *counts, *firsts)
+    chosen = [F.col(c) for c in g] + [F.col("_n")]
+    for i in range(m):
+        k_lo = F.floor(F.col(f"_h{i}")).cast("long")
+        k_hi = F.ceil(F.col(f"_h{i}")).cast("long")
+        pick = F.struct(F.col("_min").alias("lo"), F.col("_max").alias("hi"),
+                        F.lit(0).cast("long").alias("below"))
+        for j in reversed(range(len(widths))):
+            ok = (F.col(f"_b{i}_{j}") <= k_lo) & (F.col(f"_u{i}_{j}") > k_hi)
+            pick = F.when(ok, F.struct(F.col(f"_lo{i}_{j}").alias("lo"), F.col(f"_hi{i}_{j}").alias("hi"),
+                                       F.col(f"_b{i}_{j}").alias("below"))).otherwise(pick)
+        chosen += [pick.alias(f"_c{i}"), F.col(f"_h{i}")]
+    br = cnt.select(*chosen)
+
+    # Pass 3: rank only the values inside the chosen brackets.  A row's
+    # global rank is the count below its bracket plus its row number inside.
+    tagged = _join(vals.where(F.col("_v").isNotNull()), br, g, few_groups)
+    inside = F.filter(F.array(*[
+        F.when((v >= F.col(f"_c{i}.lo")) & (v <= F.col(f"_c{i}.hi")),
+               F.struct(F.lit(i).alias("i"), F.col(f"_c{i}.below").alias("below"),
+                        F.col(f"_h{i}").alias("h")))
+        for i in range(m)]), lambda x: x.isNotNull())
+    ex = (tagged.select(*g, "_v", F.explode(inside).alias("t"))
+          .select(*g, "_v", F.col("t.i").alias("_i"), F.col("t.below").alias("_below"),
+                  F.col("t.h").alias("_hh")))
+    w = Window.partitionBy(*g, "_i").orderBy("_v")
+    ranked = ex.withColumn("_r", F.col("_below") + F.row_number().over(w) - 1)
+    k_lo = F.floor(F.col("_hh")).cast("long")
+    k_hi = F.ceil(F.col("_hh")).cast("long")
+    picked = ranked.where((F.col("_r") == k_lo) | (F.col("_r") == k_hi))
+    ends = []
+    for i in range(m):
+        here = F.col("_i") == i
+        ends += [F.max(F.when(here & (F.col("_r") == k_lo), F.col("_v"))).alias(f"_vlo{i}"),
+                 F.max(F.when(here & (F.col("_r") == k_hi), F.col("_v"))).alias(f"_vhi{i}"),
+                 F.max(F.when(here, F.col("_hh"))).alias(f"_h{i}")]
+    out = _agg(picked, g, *ends)
+    qs = [F.col(f"_vlo{i}") + (F.col(f"_h{i}") - F.floor(F.col(f"_h{i}")))
+          * (F.col(f"_vhi{i}") - F.col(f"_vlo{i}")) for i in range(m)]
+    out = out.select(*g, F.array(*qs).alias(out_col))
+    # Groups whose values are all NULL keep a row with NULL quantiles.
+    if g:
+        return sk.select(*g).join(F.broadcast(out) if few_groups else out, g, "left")
+    return out
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
+                    group_cols: Sequence[str] = (), out_col: str = "qs",
+                    method: str = "bracket", accuracy: int = DEFAULT_ACCURACY,
+                    group_bound: int | None = None) -> DataFrame:
+    """Interpolated (``quantile_cont``) quantiles per group as an array.
+
+    ``group_bound``: an upper bound on the number of groups known to the
+    caller (e.g. the number of columns described); up to 10,000 groups the
+    per-group tables are broadcast instead of shuffling rows by group."""
+    if method == "frequency":
+        return _frequency_quantiles(df, value_col, probs, list(group_cols), out_col)
+    if method == "bracket":
+        few = group_bound is not None and group_bound <= 10000
+        return _bracket_quantiles(df, value_col, list(probs), list(group_cols), out_col,
+                                  accuracy, few)
+    raise ValueError(f"unknown method {method!r}")
+
+
+def exact_lower_median(col: str) -> Column:
     """Discrete median (``percentile_disc(0.5)``): an actual value of the
     column, the exact counterpart of ``percentile_approx(col, 0.5)``."""
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{col}`)")

@@ -55,3 +55,12 @@ def test_top_k_uses_group_limit(spark):
 def test_point_lookup_filter(spark):
     p = plan(E.queries()["product_lookup"](spark, SF_SMALL))
     assert "Filter" in p
+
+
+def test_describe_never_shuffles_rows_by_metric(spark):
+    # Five metrics: a shuffle keyed on the metric would put a fifth of all
+    # values in one task.  Per-metric tables must be broadcast instead.
+    from revlens.plans import reviewers as R
+    p = plan(R.reviewer_profile_describe(FX.reviews(spark, SF_SMALL)), "simple")
+    assert "SortMergeJoin [metric" not in p
+    assert "ShuffledHashJoin [metric" not in p

@@ -41,3 +41,24 @@ def test_exact_quantiles_match_numpy(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     qs = exact_quantiles(df, "v", [0.25, 0.5, 0.75]).first()["qs"]
     assert qs == pytest.approx(list(np.percentile(values, [25, 50, 75])))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False), min_size=1, max_size=80),
+       st.sampled_from([10, 10000]))
+def test_bracket_quantiles_grouped_match_numpy(spark, values, accuracy):
+    rows = [(float(v), i % 2) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "v double, g int")
+    got = {r.g: r.qs for r in exact_quantiles(df, "v", [0.0, 0.3, 0.5, 1.0], ["g"],
+                                              accuracy=accuracy, group_bound=2).collect()}
+    for g in (0, 1):
+        xs = [v for v, gg in rows if gg == g]
+        if xs:
+            assert got[g] == pytest.approx(list(np.percentile(xs, [0, 30, 50, 100])), rel=1e-12, abs=1e-9)
+
+
+def test_frequency_method_matches_bracket(spark):
+    df = spark.createDataFrame([(float(i % 7), i % 3) for i in range(100)], "v double, g int")
+    a = {r.g: r.qs for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"], method="frequency").collect()}
+    b = {r.g: r.qs for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"], group_bound=3).collect()}
+    assert a == b
