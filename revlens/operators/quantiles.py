@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10000
 # Bracket half-widths, in units of the sketch's rank error 1/accuracy.
-WIDENINGS = (2, 8, 32, 128)
+WIDENINGS = (2, 16, 128)
 
 
 def frequency_table(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -102,9 +102,9 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
         for j in range(len(widths)):
             counts += [F.count_if(v < F.col(f"_lo{i}_{j}")).alias(f"_b{i}_{j}"),
                        F.count_if(v <= F.col(f"_hi{i}_{j}")).alias(f"_u{i}_{j}")]
-    # Bracket columns are constant within a group.
-    firsts = [F.max(c).alias(c) for c in sk.columns if c not in g]
-    cnt = _agg(rows, g, *counts, *firsts)
+    # Only the counts are aggregated; the bracket bounds come back from the
+    # one-row-per-group sketch table.
+    cnt = _join(_agg(rows, g, *counts), sk, g, few_groups)
     chosen = [F.col(c) for c in g] + [F.col("_n")]
     for i in range(m):
         k_lo = F.floor(F.col(f"_h{i}")).cast("long")
