@@ -257,3 +257,19 @@ te AS (SELECT * FROM b WHERE bucket < 20),
 m AS (SELECT l_linenumber, avg(overall) AS p FROM tr GROUP BY l_linenumber)
 SELECT round_even(sqrt(avg(pow(te.overall - coalesce(m.p, (SELECT avg(overall) FROM tr)), 2))), 6) AS rmse
 FROM te LEFT JOIN m ON te.l_linenumber = m.l_linenumber"""
+
+ORACLES["review_fields"] = "WITH " + REVIEWS_CTE + r"""
+SELECT reviewerID, asin,
+  CAST(TRY_CAST(NULLIF(regexp_extract(reviewTime, '\d{4}', 0), '') AS INTEGER) AS DOUBLE) AS review_year,
+  TRY_CAST(regexp_extract_all(helpful, '\d+')[1] AS INTEGER) AS helpful_votes,
+  TRY_CAST(regexp_extract_all(helpful, '\d+')[2] AS INTEGER) AS total_votes
+FROM reviews"""
+
+# A nested text fails to parse when it is present but not valid once its
+# single quotes are read as JSON quotes.
+ORACLES["product_parse_failures"] = "WITH " + PRODUCTS_CTE + """
+SELECT
+  count(*) FILTER (WHERE categories IS NOT NULL AND NOT json_valid(replace(categories, '''', '"'))) AS categories_failures,
+  count(*) FILTER (WHERE salesRank IS NOT NULL AND NOT json_valid(replace(salesRank, '''', '"'))) AS salesRank_failures,
+  count(*) FILTER (WHERE related IS NOT NULL AND NOT json_valid(replace(related, '''', '"'))) AS related_failures
+FROM products"""

@@ -25,8 +25,20 @@ def register(key: str):
     return deco
 
 
+def _nullable_counts_as_double(df, *cols):
+    """Integer columns that hold NULLs are presented as DOUBLE: a NULL-able
+    integer converts differently across client libraries (float NaN in one,
+    a nullable integer in another); as DOUBLE both sides agree."""
+    return df.withColumns({c: df[c].cast("double") for c in cols})
+
+
 # -- Q0: reviewer profiling -------------------------------------------------
 
+@register("review_fields")
+def _review_fields(spark, sf):
+    return _nullable_counts_as_double(R.review_fields(FX.reviews(spark, sf)), "review_year")
+
+
 @register("reviewer_profile")
 def _reviewer_profile(spark, sf):
     return R.reviewer_profile(FX.reviews(spark, sf))
@@ -41,6 +53,7 @@ def _reviewer_profile_describe(spark, sf):
 
 from revlens.plans import catalog as C  # noqa: E402
 from revlens.plans import products as PR  # noqa: E402
+from revlens.sources.typed import parse_failures  # noqa: E402
 
 # Fixed value: the id the point lookup looks for (exists at every scale).
 LOOKUP_ASIN = "0000000150"
@@ -96,18 +109,16 @@ def _product_lookup(spark, sf):
     return PR.lookup(FX.products(spark, sf), LOOKUP_ASIN)
 
 
+@register("product_parse_failures")
+def _product_parse_failures(spark, sf):
+    return parse_failures(FX.products(spark, sf))
+
+
 @register("product_count_mean_price")
 def _product_count_mean_price(spark, sf):
     return PR.count_and_mean_price(FX.product_typed(spark, sf), PLACES)
 
 
-def _nullable_counts_as_double(df, *cols):
-    """Integer columns that hold NULLs are presented as DOUBLE: a NULL-able
-    integer converts differently across client libraries (float NaN in one,
-    a nullable integer in another); as DOUBLE both sides agree."""
-    return df.withColumns({c: df[c].cast("double") for c in cols})
-
-
 @register("product_ratings")
 def _product_ratings(spark, sf):
     out = PR.product_ratings(FX.review_typed(spark, sf), FX.product_typed(spark, sf))

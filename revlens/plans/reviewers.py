@@ -19,6 +19,17 @@ PROFILE_COLUMNS = ("number_products_rated", "avg_ratings", "reviewing_since",
                    "helpful_votes", "total_votes")
 
 
+def review_fields(reviews: DataFrame) -> DataFrame:
+    """F1/F2 per review: reviewerID, asin, the year of the review time and
+    the helpful / total vote counts parsed from ``"[h, t]"``."""
+    return reviews.select(
+        "reviewerID", "asin",
+        P.review_year("reviewTime").alias("review_year"),
+        P.helpful_votes("helpful").alias("helpful_votes"),
+        P.total_votes("helpful").alias("total_votes"),
+    )
+
+
 def reviewer_profile(reviews: DataFrame) -> DataFrame:
     """Per reviewer: reviews with a review time, mean rating, first year,
     helpful votes and total votes.  Rows with a NULL reviewer are dropped
