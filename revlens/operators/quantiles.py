@@ -19,9 +19,12 @@ distributed methods are offered here.
        narrowest bracket that provably contains the target ranks is chosen
        (the widest is [min, max], so a choice always exists, whatever the
        sketch returned);
-    3. only the values inside the chosen brackets are ranked with a window
-       (``partition by group, target``), which holds about
-       4 * N / accuracy rows instead of N.
+    3. only the values inside the chosen brackets are ranked: ties are
+       first counted per distinct value (partial aggregation, so a value
+       held by a third of all rows is one row per map task), then a running
+       count over the distinct values of each (group, target) finds the
+       values at the two ranks.  That window holds at most the distinct
+       values of about 4 * N / accuracy rows instead of N rows.
 
     The result is exact; the sketch only decides how small step 3 is.
     Quantiles interpolate linearly between ranks floor(h) and ceil(h) with
@@ -118,8 +121,11 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
         chosen += [pick.alias(f"_c{i}"), F.col(f"_h{i}")]
     br = cnt.select(*chosen)
 
-    # Pass 3: rank only the values inside the chosen brackets.  A row's
-    # global rank is the count below its bracket plus its row number inside.
+    # Pass 3: rank only the values inside the chosen brackets.  Ties are
+    # compressed first (partial aggregation per map task), so a value
+    # repeated in a third of all rows is one row here; the running count of
+    # the distinct values, plus the count below the bracket, gives the rank
+    # range [prev, cum) each value covers.
     tagged = _join(vals.where(F.col("_v").isNotNull()), br, g, few_groups)
     inside = F.filter(F.array(*[
         F.when((v >= F.col(f"_c{i}.lo")) & (v <= F.col(f"_c{i}.hi")),
@@ -127,18 +133,23 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
                         F.col(f"_h{i}").alias("h")))
         for i in range(m)]), lambda x: x.isNotNull())
     ex = (tagged.select(*g, "_v", F.explode(inside).alias("t"))
-          .select(*g, "_v", F.col("t.i").alias("_i"), F.col("t.below").alias("_below"),
-                  F.col("t.h").alias("_hh")))
-    w = Window.partitionBy(*g, "_i").orderBy("_v")
-    ranked = ex.withColumn("_r", F.col("_below") + F.row_number().over(w) - 1)
+          .groupBy(*g, F.col("t.i").alias("_i"), "_v")
+          .agg(F.count(F.lit(1)).alias("_k"), F.max("t.below").alias("_below"),
+               F.max("t.h").alias("_hh")))
+    w = Window.partitionBy(*g, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ex.withColumn("_cum", F.col("_below") + F.sum("_k").over(w))
+    prev = F.col("_cum") - F.col("_k")
     k_lo = F.floor(F.col("_hh")).cast("long")
     k_hi = F.ceil(F.col("_hh")).cast("long")
-    picked = ranked.where((F.col("_r") == k_lo) | (F.col("_r") == k_hi))
+    has_lo = (prev <= k_lo) & (k_lo < F.col("_cum"))
+    has_hi = (prev <= k_hi) & (k_hi < F.col("_cum"))
+    picked = ranked.where(has_lo | has_hi).select(
+        *g, "_i", "_v", "_hh", has_lo.alias("_is_lo"), has_hi.alias("_is_hi"))
     ends = []
     for i in range(m):
         here = F.col("_i") == i
-        ends += [F.max(F.when(here & (F.col("_r") == k_lo), F.col("_v"))).alias(f"_vlo{i}"),
-                 F.max(F.when(here & (F.col("_r") == k_hi), F.col("_v"))).alias(f"_vhi{i}"),
+        ends += [F.max(F.when(here & F.col("_is_lo"), F.col("_v"))).alias(f"_vlo{i}"),
+                 F.max(F.when(here & F.col("_is_hi"), F.col("_v"))).alias(f"_vhi{i}"),
                  F.max(F.when(here, F.col("_hh"))).alias(f"_h{i}")]
     out = _agg(picked, g, *ends)
     qs = [F.col(f"_vlo{i}") + (F.col(f"_h{i}") - F.floor(F.col(f"_h{i}")))

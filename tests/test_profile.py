@@ -35,7 +35,7 @@ def test_null_percentage(spark):
     assert got == {"a": 33.33, "b": 66.67}
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=60))
 def test_exact_quantiles_match_numpy(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
@@ -43,7 +43,7 @@ def test_exact_quantiles_match_numpy(spark, values):
     assert qs == pytest.approx(list(np.percentile(values, [25, 50, 75])))
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False), min_size=1, max_size=80),
        st.sampled_from([10, 10000]))
 def test_bracket_quantiles_grouped_match_numpy(spark, values, accuracy):

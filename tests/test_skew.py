@@ -77,3 +77,23 @@ def test_hot_product_correlation_preaggregated(spark):
     m = reviews.merge(products, on="asin")
     assert r.n_pairs == len(m)
     assert r.price_rating_corr == pytest.approx(m["price"].corr(m["overall"]), abs=1e-9)
+
+
+def test_quantile_inside_a_hot_value_run(spark):
+    # A third of all values are 7.0 and the median falls inside that run:
+    # ties are counted per distinct value before ranking, so the hot value
+    # is one row per map task, and the answer is still exact.
+    import numpy as np
+    from revlens.operators.quantiles import exact_quantiles
+    vals = [7.0] * 1500 + [float(i) for i in range(3000)]
+    rows = [(v, i % 2) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "v double, g int").repartition(8)
+    q = exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["g"], group_bound=2)
+    got = {r.g: r.qs for r in q.collect()}
+    for g in (0, 1):
+        xs = [v for v, gg in rows if gg == g]
+        assert got[g] == pytest.approx(list(np.percentile(xs, [25, 50, 75])))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    assert "partial_count" in buf.getvalue()
