@@ -74,7 +74,8 @@ def _join(df: DataFrame, other: DataFrame, group_cols: Sequence[str], few_groups
     return df.select("*", *[s.getField(c).alias(c) for c in other.columns])
 
 
-def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_groups):
+def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_groups,
+                       discrete=False):
     g = list(group_cols)
     m = len(probs)
     eps = 1.0 / accuracy
@@ -88,7 +89,14 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
     sk = _agg(vals, g, F.count("_v").alias("_n"), F.min("_v").alias("_min"),
               F.max("_v").alias("_max"),
               F.percentile_approx("_v", sketch_ps, accuracy).alias("_a"))
-    h = [(F.col("_n") - 1).cast("double") * F.lit(p) for p in probs]
+    # Target position h (0-based): interpolated between floor(h) and ceil(h);
+    # the discrete quantile is the value at ceil(p * N) - 1, as
+    # ``percentile_disc`` (the smallest value whose cumulative share >= p).
+    if discrete:
+        h = [F.greatest(F.ceil(F.col("_n").cast("double") * F.lit(p)) - 1, F.lit(0)).cast("double")
+             for p in probs]
+    else:
+        h = [(F.col("_n") - 1).cast("double") * F.lit(p) for p in probs]
     bounds = [sk[c] for c in g] + [F.col("_n")] + [h[i].alias(f"_h{i}") for i in range(m)]
     for i, p in enumerate(probs):
         for j, w in enumerate(widths):
@@ -164,22 +172,25 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), out_col: str = "qs",
                     method: str = "bracket", accuracy: int = DEFAULT_ACCURACY,
-                    group_bound: int | None = None) -> DataFrame:
-    """Interpolated (``quantile_cont``) quantiles per group as an array.
+                    group_bound: int | None = None, discrete: bool = False) -> DataFrame:
+    """Quantiles per group as an array: interpolated (``quantile_cont``), or
+    with ``discrete`` an actual value of the column (``percentile_disc``).
 
     ``group_bound``: an upper bound on the number of groups known to the
     caller (e.g. the number of columns described); up to 10,000 groups the
     per-group tables are broadcast instead of shuffling rows by group."""
-    if method == "frequency":
+    if method == "frequency" and not discrete:
         return _frequency_quantiles(df, value_col, probs, list(group_cols), out_col)
-    if method == "bracket":
+    if method in ("bracket", "frequency"):
         few = group_bound is not None and group_bound <= 10000
         return _bracket_quantiles(df, value_col, list(probs), list(group_cols), out_col,
-                                  accuracy, few)
+                                  accuracy, few, discrete)
     raise ValueError(f"unknown method {method!r}")
 
 
-def exact_lower_median(col: str) -> Column:
-    """Discrete median (``percentile_disc(0.5)``): an actual value of the
-    column, the exact counterpart of ``percentile_approx(col, 0.5)``."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{col}`)")
+def exact_lower_median(df: DataFrame, col: str) -> DataFrame:
+    """One row ``median``: the discrete median (``percentile_disc(0.5)``),
+    an actual value of the column and the exact counterpart of
+    ``percentile_approx(col, 0.5)``, by bracketed selection."""
+    q = exact_quantiles(df, col, [0.5], discrete=True)
+    return q.select(F.get(F.col("qs"), 0).alias("median"))

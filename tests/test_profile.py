@@ -62,3 +62,11 @@ def test_frequency_method_matches_bracket(spark):
     a = {r.g: r.qs for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"], method="frequency").collect()}
     b = {r.g: r.qs for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"], group_bound=3).collect()}
     assert a == b
+
+
+def test_discrete_median_matches_percentile_disc(spark):
+    from revlens.operators.quantiles import exact_lower_median
+    for n in (1, 2, 5, 10, 37):
+        df = spark.createDataFrame([(float((i * 7) % 11),) for i in range(n)], "v double")
+        want = df.selectExpr("percentile_disc(0.5) within group (order by v)").first()[0]
+        assert exact_lower_median(df, "v").first()["median"] == want
