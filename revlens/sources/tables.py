@@ -31,8 +31,12 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     without the sort a round-robin repartition needs, and a later join or
     aggregation on that key can reuse the partitioning.  Filters and column
     pruning still reach the scan below the exchange."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    if splits < n:
         return df.repartition(n, key or df.columns[0])
     return df
 
