@@ -273,3 +273,8 @@ SELECT
   count(*) FILTER (WHERE salesRank IS NOT NULL AND NOT json_valid(replace(salesRank, '''', '"'))) AS salesRank_failures,
   count(*) FILTER (WHERE related IS NOT NULL AND NOT json_valid(replace(related, '''', '"'))) AS related_failures
 FROM products"""
+
+ORACLES["event_first_prop"] = r"""
+SELECT event_id, json_keys(props)[1] AS first_key,
+  CAST(json_extract(props, '$."' || json_keys(props)[1] || '"') AS BIGINT) AS first_value
+FROM events"""

@@ -84,6 +84,13 @@ def product_rating_stats(review: DataFrame, product: DataFrame,
 
 # -- Q2.2 flatten categories and sales rank ---------------------------------------
 
+def first_map_entry(df: DataFrame, key: str, map_text: str, value_type: str = "bigint") -> DataFrame:
+    """F6/F7 on any JSON-object text column: key, first_key, first_value
+    (text order; NULL for missing, empty or unparsable objects)."""
+    m = F.from_json(F.col(map_text), f"map<string,{value_type}>")
+    return df.select(key, P.first_key(m).alias("first_key"), P.first_value(m).alias("first_value"))
+
+
 def product_flat(product: DataFrame) -> DataFrame:
     """asin, category ([0][0], '' as NULL), bestSalesCategory and
     bestSalesRank (the first entry of the salesRank map)."""

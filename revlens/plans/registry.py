@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.plans import reviewers as R
 from revlens.sources import fixtures as FX
+from revlens.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,6 +136,12 @@ def _product_flat(spark, sf):
     return _nullable_counts_as_double(PR.product_flat(FX.product_typed(spark, sf)), "bestSalesRank")
 
 
+@register("event_first_prop")
+def _event_first_prop(spark, sf):
+    events = read_table(spark, sf, "events", ["event_id", "props"])
+    return PR.first_map_entry(events, "event_id", "props")
+
+
 @register("product_flat_stats")
 def _product_flat_stats(spark, sf):
     return PR.product_flat_stats(FX.product_typed(spark, sf), PLACES)
@@ -166,7 +173,6 @@ def _imputation_stats(spark, sf):
 from revlens.plans import features as FE  # noqa: E402
 from revlens.plans import models as MO  # noqa: E402
 from revlens.operators.split import with_split_flag  # noqa: E402
-from revlens.sources.tables import read_table  # noqa: E402
 
 # Query words for the nearest-word report (frequent words of
 # the test corpus at every scale, standing in for the reference's three).
