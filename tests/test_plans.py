@@ -12,11 +12,6 @@ from revlens.plans import features as FE
 from revlens.sources import fixtures as FX
 from tests.conftest import SF_SMALL
 
-# Queries whose construction fits a model; their plans are checked on the
-# lazy part only, which the fits do not change.
-SKIP = set()
-
-
 def plan(df, mode="formatted"):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
