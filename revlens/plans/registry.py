@@ -11,9 +11,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revlens.operators.profile import round_doubles
+from revlens.operators.split import with_split_flag
+from revlens.plans import catalog as C
+from revlens.plans import features as FE
+from revlens.plans import models as MO
+from revlens.plans import products as PR
+from revlens.plans import reports as RP
 from revlens.plans import reviewers as R
 from revlens.sources import fixtures as FX
 from revlens.sources.tables import read_table
+from revlens.sources.typed import parse_failures
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,9 +60,6 @@ def _reviewer_profile_describe(spark, sf):
 
 # -- Q1: catalog exploration --------------------------------------------------
 
-from revlens.plans import catalog as C  # noqa: E402
-from revlens.plans import products as PR  # noqa: E402
-from revlens.sources.typed import parse_failures  # noqa: E402
 
 # Fixed value: the id the point lookup looks for (exists at every scale).
 LOOKUP_ASIN = "0000000150"
@@ -123,7 +128,7 @@ def _product_count_mean_price(spark, sf):
 @register("product_ratings")
 def _product_ratings(spark, sf):
     out = PR.product_ratings(FX.review_typed(spark, sf), FX.product_typed(spark, sf))
-    return _nullable_counts_as_double(PR._round(out, PLACES), "countRating")
+    return _nullable_counts_as_double(round_doubles(out, PLACES), "countRating")
 
 
 @register("product_rating_stats")
@@ -149,7 +154,7 @@ def _product_flat_stats(spark, sf):
 
 @register("also_viewed")
 def _also_viewed(spark, sf):
-    out = PR._round(PR.also_viewed(FX.product_typed(spark, sf)), PLACES)
+    out = round_doubles(PR.also_viewed(FX.product_typed(spark, sf)), PLACES)
     return _nullable_counts_as_double(out, "countAlsoViewed")
 
 
@@ -160,7 +165,7 @@ def _also_viewed_stats(spark, sf):
 
 @register("imputed_products")
 def _imputed_products(spark, sf):
-    return PR._round(PR.imputed_products(FX.product_typed(spark, sf)), PLACES)
+    return round_doubles(PR.imputed_products(FX.product_typed(spark, sf)), PLACES)
 
 
 @register("imputation_stats")
@@ -170,9 +175,6 @@ def _imputation_stats(spark, sf):
 
 # -- Q2.5-Q2.8: features and models -------------------------------------------
 
-from revlens.plans import features as FE  # noqa: E402
-from revlens.plans import models as MO  # noqa: E402
-from revlens.operators.split import with_split_flag  # noqa: E402
 
 # Query words for the nearest-word report (frequent words of
 # the test corpus at every scale, standing in for the reference's three).
@@ -211,7 +213,7 @@ def _word_synonyms(spark, sf):
 @register("vector_top_k")
 def _vector_top_k(spark, sf):
     out = FE.central_members(read_table(spark, sf, "embeddings", ["vec_id", "label", "embedding"]))
-    return PR._round(out, PLACES)
+    return round_doubles(out, PLACES)
 
 
 @register("category_index")
@@ -238,7 +240,7 @@ def _hash_split(spark, sf):
 @register("prediction_rmse")
 def _prediction_rmse(spark, sf):
     test, train = MO.hash_split(FX.ml_rows(spark, sf), "row_key", MO.TEST_SEED, MO.TEST_PERCENT)
-    return PR._round(MO.group_mean_rmse(train, test, "l_linenumber"), PLACES)
+    return round_doubles(MO.group_mean_rmse(train, test, "l_linenumber"), PLACES)
 
 
 @functools.lru_cache(maxsize=2)
@@ -261,8 +263,6 @@ def _tree_depth_sweep(spark, sf):
 
 # -- End-to-end reports (the two JSON documents) ---------------------------------
 
-from revlens.plans import reports as RP  # noqa: E402
-
 
 @register("reviewer_report")
 def _reviewer_report(spark, sf):
