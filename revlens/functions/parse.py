@@ -94,8 +94,10 @@ def map_field(m: ColumnOrName, key: str) -> Column:
 
 
 def size_or_null(arr: ColumnOrName) -> Column:
-    """array size with 0 (and NULL arrays) as NULL."""
-    return F.nullif(F.size(_col(arr)), F.lit(0))
+    """array size when positive, else NULL (empty and NULL arrays; a
+    NULL array's size is -1 when ANSI mode is off)."""
+    n = F.size(_col(arr))
+    return F.when(n > 0, n)
 
 
 def title_tokens(title: ColumnOrName) -> Column:
