@@ -75,12 +75,12 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The PA2 ``product`` table: nested fields typed."""
+    """The typed ``product`` table: nested fields as arrays and maps."""
     return typed_products(products(spark, sf_dir))
 
 
 def review_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The PA2 ``review`` table."""
+    """The typed ``review`` table (asin, reviewerID, overall)."""
     return reviews(spark, sf_dir).select("asin", "reviewerID", "overall")
 
 

@@ -1,4 +1,4 @@
-"""Text catalog -> typed catalog (the PA2 ``product`` table shape).
+"""Text catalog -> typed catalog (nested fields as arrays and maps).
 
 One narrow projection: ``categories`` becomes ``array<array<string>>``,
 ``salesRank`` a ``map<string,bigint>`` in text order and ``related`` a
