@@ -32,7 +32,15 @@ def null_percentage(df: DataFrame, places: int = 4, column_name: str = "column",
     decimals, which only removes the binary noise of the product).  One
     pass over ``df``."""
     cols = df.columns
-    shares = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"_{i}")
+    fractional = {f.name for f in df.schema.fields
+                  if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+
+    def missing(c: str) -> Column:
+        # NaN is missing too, as in pandas ``isna``.
+        col = F.col(f"`{c}`")
+        return (col.isNull() | F.isnan(col)) if c in fractional else col.isNull()
+
+    shares = df.agg(*[F.avg(missing(c).cast("double")).alias(f"_{i}")
                       for i, c in enumerate(cols)])
     return shares.select(_long([
         F.struct(F.lit(c).alias(column_name),
@@ -66,7 +74,9 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
                                if isinstance(f.dataType, T.NumericType)])
     moment_stats = [s for s in stats if s not in QUANTILE_STATS]
     q_stats = [s for s in stats if s in QUANTILE_STATS]
-    num = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    # NaN is missing, as in pandas: it would otherwise count and poison means.
+    num = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c)
+                      for c in columns])
 
     parts = []
     if moment_stats:

@@ -70,3 +70,18 @@ def test_discrete_median_matches_percentile_disc(spark):
         df = spark.createDataFrame([(float((i * 7) % 11),) for i in range(n)], "v double")
         want = df.selectExpr("percentile_disc(0.5) within group (order by v)").first()[0]
         assert exact_lower_median(df, "v").first()["median"] == want
+
+
+def test_describe_treats_nan_as_missing(spark):
+    pdf = pd.DataFrame({"a": [1.0, float("nan"), 3.0, None, 10.0]})
+    got = {r.stat: r.value for r in describe(spark.createDataFrame(pdf, "a double")).collect()}
+    want = pdf["a"].describe()
+    for stat in ("count", "mean", "std", "min", "25%", "50%", "75%", "max"):
+        assert got[stat] == pytest.approx(want[stat]), stat
+
+
+def test_null_percentage_counts_nan(spark):
+    df = spark.createDataFrame([(1.0, "x"), (float("nan"), None), (None, "y"), (2.0, "z")],
+                               "a double, b string")
+    got = {r.column: r.null_pct for r in null_percentage(df).collect()}
+    assert got == {"a": 50.0, "b": 25.0}
