@@ -89,3 +89,42 @@ def test_onehot_mean_is_level_share(spark):
     counts = sorted((r.n for r in cats.groupBy("category").agg(F.count("*").alias("n")).collect()),
                     reverse=True)
     assert [r.mean for r in rows[:len(counts)]] == pytest.approx([c / n for c in counts])
+
+
+def test_nearest_words_brute_force(spark):
+    # Cosine against every vocabulary vector in numpy, self excluded.
+    titles = FX.product_titles(spark, SF_SMALL)
+    model = FE.fit_word2vec(titles)
+    vecs = {r.word: r.vector.toArray() for r in model.getVectors().collect()}
+    words = list(vecs)
+    mat = np.array([vecs[w] for w in words])
+    got = FE.nearest_words(model.getVectors(), ["the"]).orderBy("rank").collect()
+    q = vecs["the"]
+    sims = mat @ q / (np.linalg.norm(mat, axis=1) * np.linalg.norm(q))
+    order = sorted((i for i, w in enumerate(words) if w != "the"), key=lambda i: (-sims[i], words[i]))[:10]
+    assert [r.word for r in got] == [words[i] for i in order]
+    assert [r.similarity for r in got] == pytest.approx([sims[i] for i in order], abs=1e-9)
+
+
+def test_pca_mean_brute_force(spark):
+    # The mean of the projections equals the projection of the one-hot mean.
+    cats = FX.product_categories(spark, SF_SMALL)
+    model = FE.category_pipeline().fit(cats)
+    pc = model.stages[-1].pc.toArray()
+    onehot = np.array([r.categoryOneHot.toArray()
+                       for r in model.transform(cats).select("categoryOneHot").collect()])
+    want = onehot.mean(axis=0) @ pc
+    got = [r.mean for r in FE._mean_vector_rows(model.transform(cats), "categoryPCA", None)
+           .orderBy("position").collect()]
+    assert got == pytest.approx(list(want), abs=1e-9)
+
+
+def test_sweep_scoring_brute_force(spark):
+    # One-pass scoring of every depth equals per-model RMSE from predictions.
+    train, test = MO.train_test(FX.ml_rows(spark, SF_SMALL), FX.FEATURE_COLUMNS)
+    models = [(d, MO.fit_tree(train, d)) for d in (3, 5)]
+    got = MO._score_all(models, test, "t").first()
+    for d, m in models:
+        rows = m.transform(test).select("overall", "prediction").collect()
+        err = np.array([r.overall - r.prediction for r in rows])
+        assert got[f"t{d}"] == pytest.approx(float(np.sqrt(np.mean(err ** 2))), rel=1e-12)
