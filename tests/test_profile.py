@@ -85,3 +85,10 @@ def test_null_percentage_counts_nan(spark):
                                "a double, b string")
     got = {r.column: r.null_pct for r in null_percentage(df).collect()}
     assert got == {"a": 50.0, "b": 25.0}
+
+
+def test_describe_empty_input_has_every_stat(spark):
+    e = spark.createDataFrame([], "v double")
+    got = {r.stat: r.value for r in describe(e, ["v"]).collect()}
+    assert set(got) == {"count", "mean", "std", "min", "25%", "50%", "75%", "max"}
+    assert got["count"] == 0.0 and all(v is None for k, v in got.items() if k != "count")
