@@ -79,22 +79,27 @@ def fit_tree(train: DataFrame, depth: int):
                                  labelCol=LABEL).fit(train)
 
 
-def _fit_persisted(train: DataFrame, depths: Sequence[int], parallelism: int = 4) -> list:
-    """Fit one tree per depth on ``train`` kept in memory/disk for the
-    fits' repeated passes (split search, per-level histograms), released
-    afterwards.  Lost cached blocks are recomputed from the scan.
+def _fit_persisted(train: DataFrame, depths: Sequence[int], parallelism: int = 4,
+                   persist_input: bool = True) -> list:
+    """Fit one tree per depth on ``train``, kept in memory/disk for the
+    fits' repeated passes (split search, metadata, tree-point conversion)
+    and released afterwards; lost cached blocks are recomputed from the
+    scan.  ``persist_input=False`` when ``train`` already reads from a
+    pinned table (no second copy).
 
     Up to ``parallelism`` fits are submitted at once from driver threads
     (as ``CrossValidator(parallelism=...)`` does): each fit is a chain of
     small per-level jobs, and concurrent fits keep the executors busy
     while one fit's driver step runs."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist_input:
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(depths)))) as pool:
             models = list(pool.map(lambda d: fit_tree(train, d), depths))
         return list(zip(depths, models))
     finally:
-        train.unpersist()
+        if persist_input:
+            train.unpersist()
 
 
 def _score_all(models: list, data: DataFrame, prefix: str) -> DataFrame:
@@ -108,20 +113,21 @@ def _score_all(models: list, data: DataFrame, prefix: str) -> DataFrame:
         for d, _ in models])
 
 
-def tree_rmse(train: DataFrame, test: DataFrame, depth: int = 5) -> DataFrame:
+def tree_rmse(train: DataFrame, test: DataFrame, depth: int = 5,
+              persist_input: bool = True) -> DataFrame:
     """Q2.7: test_rmse of a depth-5 tree."""
-    models = _fit_persisted(train, [depth])
+    models = _fit_persisted(train, [depth], persist_input=persist_input)
     return _score_all(models, test, "t").select(F.col(f"t{depth}").alias("test_rmse"))
 
 
 def tree_depth_sweep(train_data: DataFrame, test: DataFrame,
-                     depths: Sequence[int] = DEPTHS) -> DataFrame:
+                     depths: Sequence[int] = DEPTHS, persist_input: bool = True) -> DataFrame:
     """Q2.8: depth, valid_rmse, test_rmse, best (1 for the depth with the
     lowest validation RMSE, ties to the shallower tree).  The split is
     75/25 by row-key hash.  Fits are eager; the returned table is lazy:
     one scoring pass over the validation part and one over the test set."""
     train, valid = hash_split(train_data, "row_key", VALID_SEED, TRAIN_PERCENT)
-    models = _fit_persisted(train, depths)
+    models = _fit_persisted(train, depths, persist_input=persist_input)
     t = _score_all(models, test, "t")
     t = t.select(F.struct(*t.columns).alias("s")).scalar()
     v = _score_all(models, valid, "v")

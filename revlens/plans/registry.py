@@ -253,12 +253,12 @@ def _ml_data(spark, sf):
 
 @register("tree_rmse")
 def _tree_rmse(spark, sf):
-    return MO.tree_rmse(*_ml_data(spark, sf))
+    return MO.tree_rmse(*_ml_data(spark, sf), persist_input=False)
 
 
 @register("tree_depth_sweep")
 def _tree_depth_sweep(spark, sf):
-    return MO.tree_depth_sweep(*_ml_data(spark, sf))
+    return MO.tree_depth_sweep(*_ml_data(spark, sf), persist_input=False)
 
 
 # -- End-to-end reports (the two JSON documents) ---------------------------------
