@@ -159,14 +159,17 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
         ends += [F.max(F.when(here & F.col("_is_lo"), F.col("_v"))).alias(f"_vlo{i}"),
                  F.max(F.when(here & F.col("_is_hi"), F.col("_v"))).alias(f"_vhi{i}"),
                  F.max(F.when(here, F.col("_hh"))).alias(f"_h{i}")]
+    if g:
+        # One placeholder row per group (from the sketch table) keeps groups
+        # whose values are all NULL, with NULL quantiles, without a join.
+        picked = picked.unionByName(sk.select(
+            *g, F.lit(None).cast("int").alias("_i"), F.lit(None).cast("double").alias("_v"),
+            F.lit(None).cast("double").alias("_hh"), F.lit(False).alias("_is_lo"),
+            F.lit(False).alias("_is_hi")))
     out = _agg(picked, g, *ends)
     qs = [F.col(f"_vlo{i}") + (F.col(f"_h{i}") - F.floor(F.col(f"_h{i}")))
           * (F.col(f"_vhi{i}") - F.col(f"_vlo{i}")) for i in range(m)]
-    out = out.select(*g, F.array(*qs).alias(out_col))
-    # Groups whose values are all NULL keep a row with NULL quantiles.
-    if g:
-        return sk.select(*g).join(F.broadcast(out) if few_groups else out, g, "left")
-    return out
+    return out.select(*g, F.array(*qs).alias(out_col))
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
