@@ -80,3 +80,13 @@ def json_document(parts: Mapping[str, DataFrame]) -> DataFrame:
         r = part.select(F.lit(name).alias("_key"), F.col("json").alias("_v"))
         rows = r if rows is None else rows.unionByName(r)
     return _fold(rows, F.col("_key"), [], [])
+
+
+def result_dict(df: DataFrame) -> dict:
+    """The single row of a one-row statistics result as a plain dict (the
+    ``res`` mapping of the original tasks).  Takes at most two rows, and
+    refuses anything that is not exactly one row."""
+    rows = df.take(2)
+    if len(rows) != 1:
+        raise ValueError(f"expected a one-row result, got {len(rows)}+ rows")
+    return rows[0].asDict(recursive=True)

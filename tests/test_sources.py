@@ -62,3 +62,12 @@ def test_save_result(spark):
     assert len(files) == 1
     with open(os.path.join(path, files[0])) as f:
         assert json.loads(f.readline()) == {"count_total": 1, "mean": 2.5}
+
+
+def test_result_dict(spark):
+    import pytest
+    from revlens.sources.sinks import result_dict
+    assert result_dict(spark.createDataFrame([(3, 1.5)], "count_total long, mean double")) == \
+        {"count_total": 3, "mean": 1.5}
+    with pytest.raises(ValueError):
+        result_dict(spark.range(2))
