@@ -79,9 +79,9 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
                       for c in columns])
 
     parts = []
-    row = num.agg(*[_moment(s, F.col(c)).cast("double").alias(f"{c}\u0001{s}")
-                    for c in columns for s in moment_stats or ["count"]])
     if moment_stats:
+        row = num.agg(*[_moment(s, F.col(c)).cast("double").alias(f"{c}\u0001{s}")
+                        for c in columns for s in moment_stats])
         parts.append(row.select(_long([
             F.struct(F.lit(c).alias("metric"), F.lit(s).alias("stat"),
                      F.col(f"`{c}\u0001{s}`").alias("value"))
@@ -97,9 +97,11 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
             q = exact_quantiles(long_vals, "v", probs, group_cols=["metric"],
                                 group_bound=len(columns))
         # Every described column gets its quartile rows, NULL when it has no
-        # values (empty input): the column list comes from the one-row
-        # aggregate, the quartiles (one row per column) are broadcast to it.
-        metrics = row.select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("metric"))
+        # values (empty input): the column names are constants (a one-row
+        # range, so no data is read again), and the quartiles (one row per
+        # column) are broadcast to them.
+        metrics = df.sparkSession.range(1).select(
+            F.explode(F.array(*[F.lit(c) for c in columns])).alias("metric"))
         q = metrics.join(F.broadcast(q), "metric", "left")
         parts.append(q.select("metric", _long([
             F.struct(F.lit(s).alias("stat"), F.get(F.col("qs"), i).cast("double").alias("value"))

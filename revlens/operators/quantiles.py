@@ -75,7 +75,7 @@ def _join(df: DataFrame, other: DataFrame, group_cols: Sequence[str], few_groups
 
 
 def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_groups,
-                       discrete=False):
+                       discrete=False, keep_empty_groups=False):
     g = list(group_cols)
     m = len(probs)
     eps = 1.0 / accuracy
@@ -159,9 +159,10 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
         ends += [F.max(F.when(here & F.col("_is_lo"), F.col("_v"))).alias(f"_vlo{i}"),
                  F.max(F.when(here & F.col("_is_hi"), F.col("_v"))).alias(f"_vhi{i}"),
                  F.max(F.when(here, F.col("_hh"))).alias(f"_h{i}")]
-    if g:
+    if g and keep_empty_groups:
         # One placeholder row per group (from the sketch table) keeps groups
-        # whose values are all NULL, with NULL quantiles, without a join.
+        # whose values are all NULL, with NULL quantiles.  This reads only
+        # the group keys of the sketch, so it costs one more pass.
         picked = picked.unionByName(sk.select(
             *g, F.lit(None).cast("int").alias("_i"), F.lit(None).cast("double").alias("_v"),
             F.lit(None).cast("double").alias("_hh"), F.lit(False).alias("_is_lo"),
@@ -175,19 +176,23 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), out_col: str = "qs",
                     method: str = "bracket", accuracy: int = DEFAULT_ACCURACY,
-                    group_bound: int | None = None, discrete: bool = False) -> DataFrame:
+                    group_bound: int | None = None, discrete: bool = False,
+                    keep_empty_groups: bool = False) -> DataFrame:
     """Quantiles per group as an array: interpolated (``quantile_cont``), or
     with ``discrete`` an actual value of the column (``percentile_disc``).
 
     ``group_bound``: an upper bound on the number of groups known to the
     caller (e.g. the number of columns described); up to 10,000 groups the
-    per-group tables are broadcast instead of shuffling rows by group."""
+    per-group tables are broadcast instead of shuffling rows by group.
+    Groups whose values are all NULL are left out unless
+    ``keep_empty_groups`` (then they get NULL quantiles).  Without groups
+    the result is always one row."""
     if method == "frequency" and not discrete:
         return _frequency_quantiles(df, value_col, probs, list(group_cols), out_col)
     if method in ("bracket", "frequency"):
         few = group_bound is not None and group_bound <= 10000
         return _bracket_quantiles(df, value_col, list(probs), list(group_cols), out_col,
-                                  accuracy, few, discrete)
+                                  accuracy, few, discrete, keep_empty_groups)
     raise ValueError(f"unknown method {method!r}")
 
 
