@@ -5,9 +5,10 @@ train/test by a hash of the row key (see ``operators.split``).  Trees are
 MLlib ``DecisionTreeRegressor`` fits (distributed histogram aggregation per
 tree level).  RMSE is one aggregation over the scored rows.
 
-Q2.8 persists the train part (memory and disk; a lost
-executor's blocks are rebuilt from the short scan lineage) while four
-depths are fitted, and releases them afterwards.  Unlike the reference it
+The fits run on data kept in memory and disk: either a table the caller
+pinned (``pinned_train_test``), or the train part persisted for the fits
+and released afterwards; a lost executor's blocks are rebuilt from the
+short scan lineage.  Unlike the reference Q2.8
 fits on the train part only (the reference's fit used all of the training
 data, leaking validation rows) and reports the test RMSE of the depth with
 the lowest validation RMSE as well as of depth 5.
