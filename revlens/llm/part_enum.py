@@ -10,26 +10,35 @@ i and, as partners, band i - 1; a set takes part in two instances.
 
 *Partitions.*  Instance i splits the shingle domain, by hash, into n
 partitions.  Two sets with at most k differing elements agree on at least
-p - k of any p partitions.  A set's signature for a partition is a hash of all
-its shingles there: the enumerated subsets are the single partitions, which
-for these thresholds is the cheapest member of the family.  Two sets may also
-agree on a partition that is empty in both.  A set therefore emits its first
-p partitions, with the least p for which p - k exceeds the number of empty
-ones; then at least one partition on which it agrees with any linked set is
-not empty.  A set for which no p <= n does (a few small ones) emits all n,
-empty ones included, and meets others of its kind there.
+n - k partitions.  A set's signature for a partition is a hash of all its
+shingles there: the enumerated subsets are the single partitions, which for
+these thresholds is the cheapest member of the family.  Two sets may also
+agree on a partition that is empty in both, so a set with e empty partitions
+shares at least c = n - k - e signatures of filled partitions with any linked
+set.  A set with c < 1 (a few small ones) emits its empty partitions too and
+meets others of its kind there.
+
+*Frequent signatures.*  Passages that many unrelated documents share make
+signatures that many have.  Since c shared signatures are certain, a set may
+leave out its c - 1 most frequent ones: of the signatures that two linked
+sets share, the least frequent stays in both.  Signatures of HOT or more nodes
+are counted and thinned out in this way; no candidate is lost.
 
 *Candidates.*  Signatures travel in blocks, one per task batch and bucket, and
 each bucket task sorts its signatures.  Documents with equal sets are one node
-from the start.  Sets with a common signature are first compared with the
-smallest node among them (a star, never all pairs).  Verified links are
+from the start.  Sets with a common signature are first compared with one node
+among them (a star, never all pairs): the smallest, or for a frequent
+signature the one with most frequent company, since the text that near copies
+were made from shares most.  Verified links are
 joined to components.  Only where the nodes of one signature lie in more than
 one component are the pairs across components compared too; within a component
-nothing more can be learnt.  So no link between different texts is lost, and
-groups of copies or near copies cost about one comparison per member.
+nothing more can be learnt.  For frequent signatures this is done block against
+block inside tasks, without a row per pair.  So no link between different texts
+is lost, and copies or close near copies cost about one comparison each.
 
-*Verification* intersects the sets themselves, which only documents with a
-candidate ship (picked by a bitmap of fixed size, then by an exact join).
+*Verification* first compares a slice of the domain, which refutes most
+candidates, then intersects the sets themselves.  Only documents with a
+candidate ship them (picked by a bitmap of fixed size, then by an exact join).
 
 NULL or empty texts, and texts without words, have the empty set and link with
 nothing.  Texts of fewer words are one shingle.  Repeated rows are nodes of one
@@ -41,7 +50,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.llm.common import bitmap, components, parallelism, stored, unpacked
@@ -51,9 +60,16 @@ SHINGLE = 5
 PERCENT = 75
 #: Partitions of an instance: so many for each element of its largest set, and
 #: a few more, so that small sets rarely run out of partitions.
-PER_ELEMENT = 0.37
+PER_ELEMENT = 0.42
 EXTRA = 6
 BITMAP_BITS = 24
+#: Signatures of so many nodes are thinned out by frequency.
+HOT = 8
+#: Candidates are first compared over the part of the shingle domain that
+#: holds about so many shingles of a set.
+SLICE = 256
+#: Nodes in a block, when the nodes of frequent signatures are compared.
+BLOCK = 256
 
 
 class Scheme:
@@ -91,28 +107,35 @@ class Scheme:
             yield own + 1, self.partitions(own + 1), self.differ(size, reach)
 
 
+def _partitioned(grams: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Filled partitions of a set in ascending order, and where each begins."""
+    at = (((grams >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return at[first], first
+
+
+def spare(grams: np.ndarray, scheme: Scheme) -> list[int]:
+    """Signatures that the set may leave out, by parity of the instance."""
+    out = [0, 0]
+    for instance, n, k in scheme.instances(len(grams)):
+        out[instance % 2] = max(0, len(_partitioned(grams, n)[0]) - k - 1)
+    return out
+
+
 def signatures(grams: np.ndarray, scheme: Scheme) -> np.ndarray:
-    """Signatures of a set of distinct hashes in ascending order."""
+    """Signatures of a set of distinct hashes in ascending order; the lowest
+    bit is the parity of the instance."""
     out = []
-    top = grams >> np.uint64(32)
     mixed = mix(grams ^ np.uint64(0x5851F42D4C957F2D))
     for instance, n, k in scheme.instances(len(grams)):
-        at = ((top * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
-        first = np.flatnonzero(np.diff(at, prepend=-1))
-        filled = at[first]
-        # Empty partitions among the first p, for every p from 1 to n.
-        there = np.zeros(n, dtype=np.int64)
-        there[filled] = 1
-        enough = np.flatnonzero(np.cumsum(there) - k >= 1)
+        filled, first = _partitioned(grams, n)
         seed = np.uint64(((instance + 1) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
         sums = np.add.reduceat(mixed, first)
-        if len(enough):
-            used = filled <= enough[0]
-            out.append(mix((sums[used] ^ seed) + filled[used].astype(np.uint64)))
-        else:
+        if len(filled) - k < 1:
             whole = np.zeros(n, dtype=np.uint64)
             whole[filled] = sums
-            out.append(mix((whole ^ seed) + np.arange(n, dtype=np.uint64)))
+            filled, sums = np.arange(n), whole
+        out.append(mix((sums ^ seed) + filled.astype(np.uint64)) & ~np.uint64(1) | np.uint64(instance % 2))
     return np.concatenate(out)
 
 
@@ -129,17 +152,21 @@ def _sets(batch, n: int = SHINGLE):
         yield np.unique(shingles(hashes[at[i]: at[i + 1]], n))
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and node (NULL for the empty set) of every row."""
+def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, node (NULL for the empty set) and the signatures
+    that the set may leave out, by parity."""
+    names = ["doc_id", "n_shingles", "node", "spare0", "spare1"]
 
     def run(batches):
+        scheme = Scheme(percent)
         for batch in batches:
-            sets = [(len(g), set_hash(g) if len(g) else None) for g in _sets(batch)]
+            sets = [(len(g), set_hash(g), *spare(g, scheme)) if len(g) else (0, None, 0, 0) for g in _sets(batch)]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").cast(pa.int64()), pa.array([n for n, _ in sets], pa.int64()),
-                pa.array([h for _, h in sets], pa.int64())], names=["doc_id", "n_shingles", "node"])
+                batch.column("doc_id").cast(pa.int64()),
+                *(pa.array([x[i] for x in sets], pa.int64()) for i in range(4))], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, node long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, ", ".join(f"{c} long" for c in names))
 
 
 def _blocks(docs: DataFrame, buckets: int, percent: int) -> DataFrame:
@@ -184,8 +211,9 @@ def _blocks(docs: DataFrame, buckets: int, percent: int) -> DataFrame:
 def _meet(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
     """kind 0: (a, b) to compare, a the smallest node with a signature.
     kind 1: (list, node), the nodes of a signature that three or more have;
-    equal lists of a task are given once."""
-    names = ["kind", "a", "b"]
+    equal lists of a task are given once.
+    kind 2: (signature, node, nodes that have it), if HOT or more do."""
+    names = ["kind", "a", "b", "n"]
 
     def run(batches):
         parts = {k: [] for k in ("bucket", "nodes", "sizes", "counts", "sigs")}
@@ -217,31 +245,49 @@ def _meet(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         heads = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1]])) if len(sigs) else np.zeros(0, int)
         members = np.diff(np.append(heads, len(sigs)))
         head = np.repeat(heads, members)
-        pair = (np.arange(len(sigs)) != head) & (
+        hot = np.repeat(members >= HOT, members)
+        hot_rows = np.stack([sigs[hot].view(np.int64), nodes[hot], np.repeat(members, members)[hot]], axis=1)
+        pair = ~hot & (np.arange(len(sigs)) != head) & (
             100 * np.minimum(sizes, sizes[head]) >= percent * np.maximum(sizes, sizes[head]).astype(np.int64))
         pairs = np.unique(np.stack([nodes[head][pair], nodes[pair]], axis=1), axis=0)
-        many = np.repeat(members >= 3, members)
+        listed = (members >= 3) & (members < HOT)
+        many = np.repeat(listed, members)
         lists = np.zeros((0, 2), np.int64)
         if many.any():
-            starts = heads[members >= 3]
-            counts = members[members >= 3]
+            starts, counts = heads[listed], members[listed]
             inner = np.concatenate([[0], np.cumsum(counts)[:-1]])
             key = mix(np.add.reduceat(mix(nodes[many].view(np.uint64)), inner) + counts.astype(np.uint64))
             _, one = np.unique(key, return_index=True)
             chosen = np.concatenate([np.arange(starts[i], starts[i] + counts[i]) for i in one])
             lists = np.stack([np.repeat(key[one].view(np.int64), counts[one]), nodes[chosen]], axis=1)
-        for kind, rows in ((0, pairs), (1, lists)):
+        for kind, rows in ((0, pairs), (1, lists), (2, hot_rows)):
             for at in range(0, len(rows), 100_000):
                 part = rows[at: at + 100_000]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(part), kind, np.int32)), pa.array(part[:, 0].copy()),
-                    pa.array(part[:, 1].copy())], names=names)
+                    pa.array(part[:, 1].copy()),
+                    pa.array(part[:, 2].copy() if kind == 2 else np.zeros(len(part), np.int64))], names=names)
+
+    return blocks.repartition(buckets, "bucket").mapInArrow(run, "kind int, a long, b long, n long")
+
 
-    return blocks.repartition(buckets, "bucket").mapInArrow(run, "kind int, a long, b long")
+def _thinned(hot: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(signature, node) of frequent signatures, without the most frequent
+    ones that each node may leave out; signatures left with one node go."""
+    parity = F.col("sig").bitwiseAND(F.lit(1).cast("long"))
+    rank = F.row_number().over(Window.partitionBy("node", "parity").orderBy(F.desc("n"), "sig"))
+    weight = F.sum("n").over(Window.partitionBy("node"))
+    kept = (hot.withColumn("weight", weight).withColumn("parity", parity).withColumn("rank", rank).join(nodes, "node")
+            .where(F.col("rank") > F.when(F.col("parity") == 0, F.col("spare0")).otherwise(F.col("spare1"))))
+    # The text that near copies come from shares most with all the others.
+    heads = kept.groupBy("sig").agg(F.max_by("node", F.struct("weight", "node")).alias("head"),
+                                    F.count("*").alias("members")).where("members > 1")
+    return kept.select("sig", "node", "size").join(heads, "sig")
 
 
-def _needed_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and set (sorted hashes) of the documents with a candidate."""
+def _picked(docs: DataFrame, wanted: DataFrame, payload) -> DataFrame:
+    """node, size and ``payload`` of the sets of the wanted nodes.  A bitmap of
+    fixed size picks them in the scan, a join makes the choice exact."""
     held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("node").alias("hash")), BITMAP_BITS))
 
     def run(batches):
@@ -257,61 +303,159 @@ def _needed_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     continue
                 if len(seen) < 200_000:
                     seen.add(node)
-                rows.append((node, grams.tobytes()))
+                rows.append((node, len(grams), payload(grams)))
             yield pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-                names=["node", "grams"])
+                pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                pa.array([r[2] for r in rows], pa.binary())], names=["node", "size", "grams"])
 
-    found = docs.select("text").mapInArrow(run, "node long, grams binary")
+    found = docs.select("text").mapInArrow(run, "node long, size long, grams binary")
     return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their sets."""
+def _limit(size: int) -> int:
+    """End of the slice of a set in the domain of 32-bit hashes."""
+    return (1 << 32) if size <= SLICE else (SLICE << 32) // size
+
+
+def _slice(grams: np.ndarray) -> bytes:
+    """32-bit hashes of the set's shingles in its slice, ascending.  Slices
+    begin at 0, so that of a larger set lies in that of a smaller one."""
+    low = mix(grams) >> np.uint64(32)
+    return np.sort(low[low < np.uint64(_limit(len(grams)))].astype("<u4")).tobytes()
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, s: int, t: int, scheme: Scheme) -> bool:
+    """False only if the sets differ in one slice in more elements than linked
+    sets may differ in altogether; equal 32-bit hashes can only hide some."""
+    limit = min(_limit(s), _limit(t))
+    x, y = x[: np.searchsorted(x, limit)], y[: np.searchsorted(y, limit)]
+    return len(x) + len(y) - 2 * _shared(x, y) <= scheme.differ(s, t)
+
+
+def _in_blocks(near: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes that have a head in common, lie in different
+    components, and may link by their slices.
+
+    ``near``: head, node, root, size, grams.  The nodes of a head are dealt
+    into blocks of about BLOCK; a task gets two blocks and counts the shared
+    hashes of all their pairs as a matrix product, so pairs are never rows and
+    no task holds more than two blocks."""
+    scheme = Scheme(percent)
+    blocks = near.groupBy("head").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = near.join(blocks, "head").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        (F.col("own") <= F.col("other")).alias("first"), "node", "root", "size", "grams")
+
+    def compare(pdf):
+        import pandas as pd
+
+        none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        if pdf["root"].nunique() < 2:
+            return none
+        limit = _limit(int(pdf["size"].max()))
+        sets = [np.frombuffer(g, "<u4") for g in pdf["grams"]]
+        sets = [g[: np.searchsorted(g, limit)] for g in sets]
+        lengths = np.array([len(g) for g in sets])
+        owner = np.repeat(np.arange(len(sets)), lengths)
+        known, column = np.unique(np.concatenate(sets), return_inverse=True)
+        shared = np.zeros((len(sets), len(sets)), np.float32)
+        for at in range(0, len(known), 8192):
+            inside = (column >= at) & (column < at + 8192)
+            m = np.zeros((len(sets), min(8192, len(known) - at)), np.float32)
+            m[owner[inside], column[inside] - at] = 1
+            shared += m @ m.T
+        size = pdf["size"].to_numpy()
+        both, least = size[:, None] + size, np.minimum(size[:, None], size)
+        differ = both * (100 - percent) // (100 + percent)
+        hit = (lengths[:, None] + lengths - 2 * shared <= differ) & (100 * least >= percent * (both - least))
+        root, first = pdf["root"].to_numpy(), pdf["first"].to_numpy()
+        hit &= root[:, None] != root
+        if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
+            hit &= first[:, None] != first
+        x, y = np.nonzero(np.triu(hit, 1))
+        node = pdf["node"].to_numpy()
+        return pd.DataFrame({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])})
+
+    return dealt.groupBy("head", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def _compare(pairs: DataFrame, sets: DataFrame, keep, kind) -> DataFrame:
+    """The pairs (a, b) for which keep(set, set, size, size) holds."""
 
     def run(batches):
         for batch in batches:
-            hit = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                hit.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            x, y, s, t = (batch.column(c).to_pylist() for c in ("x", "y", "s", "t"))
+            hit = [keep(np.frombuffer(p, kind), np.frombuffer(q, kind), m, n) for p, q, m, n in zip(x, y, s, t)]
             yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    first = sets.select(F.col("node").alias("a"), F.col("grams").alias("x"))
-    second = sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    first = sets.select(F.col("node").alias("a"), F.col("grams").alias("x"), F.col("size").alias("s"))
+    second = sets.select(F.col("node").alias("b"), F.col("grams").alias("y"), F.col("size").alias("t"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y", "s", "t").mapInArrow(
+        run, "a long, b long")
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.concatenate([x, y])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _linked(docs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by their whole sets, which only they ship."""
+
+    def does(x, y, s, t):
+        shared = _shared(x, y)
+        return 100 * shared >= percent * (s + t - shared)
+
+    near = stored(near, "near")
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    return _compare(near, _picked(docs, nodes, lambda g: g.tobytes()), does, np.uint64)
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id."""
     buckets = parallelism(docs.sparkSession)
-    rows = stored(described(docs), "sets")
+    rows = stored(described(docs, percent), "sets")
+    classes = rows.where("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.first("n_shingles").alias("size"),
+        F.first("spare0").alias("spare0"), F.first("spare1").alias("spare1"))
     met = stored(_meet(_blocks(docs, buckets, percent), buckets, percent), "met")
-    pairs = met.where("kind = 0").select("a", "b").distinct()
+    hot = met.where("kind = 2").select(F.col("a").alias("sig"), F.col("b").alias("node"), "n")
+    hot = stored(_thinned(hot, classes.drop("least")), "frequent")
+    pairs = met.where("kind = 0").select("a", "b").union(
+        hot.where("head <> node").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
+    ).distinct()
     lists = met.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node")).distinct()
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(lists.select("node")).distinct()
-    sets = stored(_needed_sets(docs, wanted), "candidates")
-    links = stored(_linked(pairs, sets, percent), "links")
+    slices = stored(_picked(docs, wanted, _slice), "slices")
+    scheme = Scheme(percent)
+    near = _compare(pairs, slices, lambda x, y, s, t: _may_link(x, y, s, t, scheme), np.dtype("<u4"))
+    links = stored(_linked(docs, near, percent), "links")
     roots = components(links)
-    # Signatures whose nodes lie in several components: compare across them.
-    sized = sets.select("node", (F.octet_length("grams") / 8).alias("size"))
-    at = lists.join(roots, "node", "left").join(sized, "node").select(
-        "list", "node", "size", F.coalesce("root", "node").alias("root"))
-    mixed = at.groupBy("list").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("list")
-    open_lists = at.join(mixed, "list")
-    x = open_lists.select("list", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
-    y = open_lists.select("list", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))
-    across = x.join(y, "list").where(
+
+    def across(members: DataFrame, key: list[str]) -> DataFrame:
+        """The members of signatures whose nodes lie in several components."""
+        at = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = at.groupBy(*key).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+        return at.join(mixed.select(*key), key)
+
+    # Few nodes: their pairs are rows.  Frequent signatures: blocks.
+    few = across(lists, ["list"]).join(slices, "node").select("list", "node", "root", "size")
+    x = few.select("list", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
+    y = few.select("list", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))
+    rows_across = x.join(y, "list").where(
         (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
         & (100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb"))).select("a", "b").distinct()
-    more = stored(_linked(across.join(pairs, ["a", "b"], "left_anti"), sets, percent), "more-links")
+    more = _compare(rows_across.join(pairs, ["a", "b"], "left_anti"), slices,
+                    lambda x, y, s, t: _may_link(x, y, s, t, scheme), np.dtype("<u4"))
+    many = across(hot.select("sig", "head", "node"), ["sig"]).select("head", "node", "root").distinct()
+    blocks = _in_blocks(many.join(slices, "node"), percent)
+    more = stored(_linked(docs, more.union(blocks).distinct(), percent), "more-links")
     if not more.isEmpty():
         roots = components(links.union(more))
-    classes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least")).join(
-        roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = classes.select("node", "least").join(roots, "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = classes.join(named, "root").select("node", "component_id")
     return rows.join(labels, "node", "left").select(
