@@ -76,18 +76,18 @@ def bitmap(hashes: DataFrame, bits: int):
 
     slots = hashes.select(F.shiftrightunsigned("hash", 64 - bits).alias("slot"))
     rows = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("mask")).collect()
+        F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("mask")).toArrow()
     out = np.zeros(1 << (bits - 6), dtype=np.int64)
-    for r in rows:
-        out[r["word"]] = r["mask"]
+    out[rows.column("word").to_numpy()] = rows.column("mask").to_numpy()
     return out.view(np.uint8)
 
 
-def unpacked(packed):
-    """The bits of a bitmap as booleans."""
+def in_bitmap(packed, hashes):
+    """Whether the top bits of each unsigned 64-bit hash are set."""
     import numpy as np
 
-    return np.unpackbits(packed, bitorder="little").view(bool)
+    slot = (hashes >> np.uint64(64 - (len(packed) * 8).bit_length() + 1)).astype(np.int64)
+    return (packed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
 def components(edges: DataFrame, name: str = "edges", most: int = 60) -> DataFrame:

@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.llm.common import bitmap, components, parallelism, stored, unpacked
+from revlens.llm.common import bitmap, components, in_bitmap, parallelism, stored
 from revlens.llm.text import SPACED, hashed_words, mix, shingles, utf8
 
 SHINGLE = 5
@@ -291,15 +291,13 @@ def _picked(docs: DataFrame, wanted: DataFrame, payload) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("node").alias("hash")), BITMAP_BITS))
 
     def run(batches):
-        bits = unpacked(held.value)
         seen: set[int] = set()
         for batch in batches:
             rows = []
-            for grams in _sets(batch):
-                if not len(grams):
-                    continue
-                node = set_hash(grams)
-                if node in seen or not bits[(node & 0xFFFFFFFFFFFFFFFF) >> (64 - BITMAP_BITS)]:
+            sets = [(set_hash(g), g) for g in _sets(batch) if len(g)]
+            wanted_here = in_bitmap(held.value, np.array([n for n, _ in sets], np.int64).view(np.uint64))
+            for (node, grams), here in zip(sets, wanted_here):
+                if not here or node in seen:
                     continue
                 if len(seen) < 200_000:
                     seen.add(node)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.llm.common import bitmap, stored, unpacked
+from revlens.llm.common import bitmap, in_bitmap, stored
 from revlens.llm.text import _LOWER, ALNUM, hashed_words, shingles, spans, utf8
 
 WINDOW = 10
@@ -76,7 +76,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHIN
     return items.mapInArrow(run, WINDOW_SCHEMA)
 
 
-def stretches(docs: DataFrame, known: np.ndarray, least: dict[int, int], bits: int = BITMAP_BITS) -> DataFrame:
+def stretches(docs: DataFrame, known: np.ndarray, least: dict[int, int]) -> DataFrame:
     """One row per document with the stretches of words whose shingles may
     all occur in the benchmark.  ``least`` gives, for each shingle size in
     use, the least number of shingles of a window."""
@@ -88,14 +88,12 @@ def stretches(docs: DataFrame, known: np.ndarray, least: dict[int, int], bits: i
     def run(batches):
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 33
-        seen = unpacked(held.value)
-        shift = np.uint64(64 - bits)
         for batch in batches:
             texts = utf8(batch.column("text"))
             hashes, at = hashed_words(texts, ALNUM, lower=True)
             # All shingles of the batch at once; those across texts are not used.
             grams = {size: shingles(hashes, size) for size in least if len(hashes) >= size}
-            hits = {size: seen[(g >> shift).astype(np.int64)] for size, g in grams.items()}
+            hits = {size: in_bitmap(held.value, g) for size, g in grams.items()}
             found = []
             for i, raw in enumerate(texts):
                 mine, words = [], None

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from revlens.llm import (
     bfd_packing,
     compression_bands,
+    gru_lm,
     license_scan,
     mixture_packing,
     part_enum,
     prefix_decontam,
     rff_quality,
+    suffix_dedup,
     virtual_slots,
 )
 from revlens.llm.common import shared_dir, table
@@ -87,3 +89,14 @@ def op6_rff_quality(spark, sf_dir):
 @register
 def op4_part_enum(spark, sf_dir):
     return part_enum.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_suffix_dedup(spark, sf_dir):
+    cut = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register
+def op5_gru_lm(spark, sf_dir):
+    return gru_lm.score(table(spark, sf_dir, "documents"))

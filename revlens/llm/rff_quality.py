@@ -202,6 +202,36 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def _labelled(stats: DataFrame, key: str, labels: DataFrame, folds: int, held: int) -> DataFrame:
+    """stats and label of the documents with a label outside fold ``held``."""
+    train = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold(F.col("doc_id"), folds) != held)
+             .groupBy(F.col("doc_id").cast("long").alias("label_id"))
+             .agg((F.avg("quality") >= 0.5).cast("double").alias("label")))
+    found = stats.select(F.col(key).cast("long").alias("label_id"), "stats").join(train, "label_id")
+    return stored(found.select("stats", "label"), "labelled")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, folds: int = 3, held: int = 1) -> DataFrame:
+    """The rows of ``docs`` whose text scores ``least`` or more, unchanged.
+    Texts are not shuffled: the model comes from stored statistics, and the
+    rows are judged where they are read."""
+    stats = stored(document_statistics(docs.select("doc_id", "text")), "statistics")
+    model = fit(stats, _labelled(stats, "doc_id", labels, folds, held))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    text = names[docs.columns.index("text")]
+
+    def run(batches):
+        for batch in batches:
+            texts = utf8(batch.column(text))
+            hashes, at = hashed_words(texts, SPACED, lower=True)
+            found = [statistics(t, hashes[at[i]: at[i + 1]]) for i, t in enumerate(texts)]
+            scores = model.score(np.array(found).reshape(len(texts), STATISTICS))
+            yield batch.filter(pa.array(scores >= least, pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
     """All columns of ``docs`` but its text, with held_out, score, predicted.
     Labels of fold ``held`` are never read by the fit."""
@@ -210,11 +240,7 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1)
     plain = docs.toDF(*("text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)))
     stats = stored(document_statistics(plain), "statistics")
     key = next(n for n, c in back.items() if c == "doc_id")
-    train = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold(F.col("doc_id"), folds) != held)
-             .groupBy(F.col("doc_id").cast("long").alias("label_id"))
-             .agg((F.avg("quality") >= 0.5).cast("double").alias("label")))
-    labelled = stats.select(F.col(key).cast("long").alias("label_id"), "stats").join(train, "label_id")
-    model = fit(stats, stored(labelled.select("stats", "label"), "labelled"))
+    model = fit(stats, _labelled(stats, key, labels, folds, held))
     schema = stats.drop("stats").schema.add("score", "double")
 
     def run(batches):

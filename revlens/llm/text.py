@@ -94,9 +94,11 @@ def _pieces(texts: list[bytes], word: np.ndarray):
         yield held
 
 
-def hashed_words(texts: list[bytes], word: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(texts: list[bytes], word: np.ndarray, lower: bool,
+                 ending: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in order, and the words of each text
-    as offsets: text i has hashes[offsets[i]:offsets[i + 1]]."""
+    as offsets: text i has hashes[offsets[i]:offsets[i + 1]].  With ``ending``
+    the top 5 bits of a hash depend on the word's last two bytes alone."""
     counts = np.zeros(len(texts), dtype=np.int64)
     found = [np.zeros(0, dtype=np.uint64)]
     for parts in _pieces(texts, word):
@@ -104,7 +106,12 @@ def hashed_words(texts: list[bytes], word: np.ndarray, lower: bool) -> tuple[np.
         if lower:
             buf = _LOWER[buf]
         starts, ends = spans(buf, word)
-        found.append(_hash_spans(buf, starts, ends))
+        hashes = _hash_spans(buf, starts, ends)
+        if ending:
+            pair = buf[ends - 1].astype(np.uint64) + (buf[np.maximum(ends - 2, starts)].astype(np.uint64) << np.uint64(8))
+            top = np.uint64(59)
+            hashes = (hashes >> np.uint64(5)) | (mix(pair) >> top << top)
+        found.append(hashes)
         lengths = np.fromiter((len(t) for _, t in parts), np.int64, len(parts))
         begins = np.concatenate([[0], np.cumsum(lengths + 1)])
         np.add.at(counts, [i for i, _ in parts], np.diff(np.searchsorted(starts, begins)))
