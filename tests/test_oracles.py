@@ -7,9 +7,10 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
-ORACLES = E.oracle_sql()
-WITH_ORACLE = sorted(k for k in E.queries() if k in ORACLES)
-ROWS_ONLY = sorted(k for k in E.queries() if k not in ORACLES)
+# The text operators' queries are tested with them, in tests/llm.
+ORACLES = E.ORACLES
+WITH_ORACLE = sorted(k for k in E.QUERIES if k in ORACLES)
+ROWS_ONLY = sorted(k for k in E.QUERIES if k not in ORACLES)
 
 
 @pytest.fixture(scope="module")
@@ -19,13 +20,13 @@ def con():
 
 @pytest.mark.parametrize("key", WITH_ORACLE)
 def test_query_matches_oracle(spark, con, key):
-    r = compare(E.queries()[key](spark, SF_SMALL), ORACLES[key], con)
+    r = compare(E.QUERIES[key](spark, SF_SMALL), ORACLES[key], con)
     assert r["ok"], r
 
 
 @pytest.mark.parametrize("key", ROWS_ONLY)
 def test_rows_only_query_runs(spark, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = E.QUERIES[key](spark, SF_SMALL)
     assert df.count() > 0
 
 

@@ -19,9 +19,9 @@ def plan(df, mode="formatted"):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.QUERIES))
 def test_no_pairs_no_python(spark, key):
-    p = plan(E.queries()[key](spark, SF_SMALL))
+    p = plan(E.QUERIES[key](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
                 "ArrowEvalPython", "FlatMapGroupsInPandas"):
         assert bad not in p, (key, bad)
