@@ -49,6 +49,8 @@ from revlens.llm.text import mix, utf8
 LENGTH = 100
 GRAM = 16
 BITMAP_BITS = 26
+#: Buckets of segments for each task that indexes them, one after another.
+FINER = 8
 #: Bytes that are indexed together; a larger anchor group is indexed alone.
 CHUNK = 1 << 18
 #: Bytes of a text whose anchors are searched at once.
@@ -323,20 +325,29 @@ def marked(segments: DataFrame, buckets: int, length: int) -> DataFrame:
     """(row_id, start, stop) of bytes to remove; they may overlap."""
     names = ["row_id", "start", "stop"]
 
+    def rows_of(parts):
+        parts.sort(key=lambda p: p[0])
+        found = _index(parts, length)
+        while rows := list(itertools.islice(found, 50_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+
     def run(batches):
-        parts = []
+        # Buckets arrive one after another; only one is held.
+        now, parts = None, []
         for batch in batches:
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                if r["bucket"] != now:
+                    yield from rows_of(parts)
+                    now, parts = r["bucket"], []
                 ends = np.cumsum(np.frombuffer(r["sizes"], "<u4")).tolist()
                 data = [r["data"][a:b] for a, b in zip([0, *ends], ends)]
                 owner = map(tuple, np.frombuffer(r["owners"], np.int64).reshape(-1, 3).tolist())
                 parts += zip(np.frombuffer(r["hashes"], np.uint64).tolist(), data, owner)
-        parts.sort(key=lambda p: p[0])
-        found = _index(parts, length)
-        while rows := list(itertools.islice(found, 50_000)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+        yield from rows_of(parts)
 
-    return segments.repartition(buckets, "bucket").mapInArrow(run, "row_id long, start long, stop long")
+    dealt = segments.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "row_id long, start long, stop long")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -362,7 +373,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Da
     rows = rows.join(firsts, ["same", "n_bytes"])
     hashes = stored(repeated_anchors(plain, buckets, length), "anchors")
     known = bitmap(hashes, BITMAP_BITS)
-    spans = stored(marked(_segments(plain, known, buckets, length), buckets, length), "spans")
+    spans = stored(marked(_segments(plain, known, FINER * buckets, length), buckets, length), "spans")
     return rows, spans.groupBy("row_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
