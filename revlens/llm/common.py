@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from functools import reduce
@@ -29,10 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared directory and read it back:
-    lineage is cut, and the rows survive the loss of executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    lineage is cut, and the rows survive the loss of executors.  The shuffle
+    files of finished steps are freed when the driver collects its garbage,
+    which a long job of small plans rarely does by itself."""
+    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def parallelism(spark: SparkSession, floor: int = 1) -> int:

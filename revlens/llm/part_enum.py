@@ -36,8 +36,8 @@ nothing more can be learnt.  For frequent signatures this is done block against
 block inside tasks, without a row per pair.  So no link between different texts
 is lost, and copies or close near copies cost about one comparison each.
 
-*Verification* first compares a slice of the domain, which refutes most
-candidates, then intersects the sets themselves.  Only documents with a
+*Verification* first compares histograms of the sets over parts of the domain,
+which refute most candidates, then intersects the sets themselves.  Only documents with a
 candidate ship them (picked by a bitmap of fixed size, then by an exact join).
 
 NULL or empty texts, and texts without words, have the empty set and link with
@@ -60,14 +60,13 @@ SHINGLE = 5
 PERCENT = 75
 #: Partitions of an instance: so many for each element of its largest set, and
 #: a few more, so that small sets rarely run out of partitions.
-PER_ELEMENT = 0.42
+PER_ELEMENT = 0.40
 EXTRA = 6
 BITMAP_BITS = 24
 #: Signatures of so many nodes are thinned out by frequency.
 HOT = 8
-#: Candidates are first compared over the part of the shingle domain that
-#: holds about so many shingles of a set.
-SLICE = 256
+#: A bucket's signatures are sorted in so many parts, one after another.
+PARTS = 8
 #: Nodes in a block, when the nodes of frequent signatures are compared.
 BLOCK = 256
 
@@ -215,21 +214,29 @@ def _meet(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
     kind 2: (signature, node, nodes that have it), if HOT or more do."""
     names = ["kind", "a", "b", "n"]
 
+    def part_of(rows, part):
+        """Signatures in one PARTS-th of their domain, their nodes and sizes."""
+        sigs, nodes, sizes = [], [], []
+        for bucket, node, size, count, low in rows:
+            low = np.frombuffer(low, "<u2").reshape(-1, 3)
+            here = low[:, 2] // (65536 // PARTS) == part
+            whole = np.zeros((int(here.sum()), 4), "<u2")
+            whole[:, :3] = low[here]
+            # Buckets that share a task differ in the free top bits.
+            whole[:, 3] = bucket & 0xFFFF
+            owner = np.repeat(np.arange(len(count) // 2), np.frombuffer(count, "<u2"))[here]
+            sigs.append(whole.view("<u8").ravel())
+            nodes.append(np.frombuffer(node, np.int64)[owner])
+            sizes.append(np.frombuffer(size, np.int32)[owner])
+        return np.concatenate(sigs), np.concatenate(nodes), np.concatenate(sizes)
+
     def run(batches):
-        parts = {k: [] for k in ("bucket", "nodes", "sizes", "counts", "sigs")}
-        for batch in batches:
-            for r in batch.to_pylist():
-                counts = np.frombuffer(r["counts"], "<u2")
-                parts["nodes"].append(np.repeat(np.frombuffer(r["nodes"], np.int64), counts))
-                parts["sizes"].append(np.repeat(np.frombuffer(r["sizes"], np.int32), counts))
-                sigs = np.zeros((int(counts.sum()), 4), "<u2")
-                sigs[:, :3] = np.frombuffer(r["sigs"], "<u2").reshape(-1, 3)
-                # Buckets that share a task differ in the free top bits.
-                sigs[:, 3] = r["bucket"] & 0xFFFF
-                parts["sigs"].append(sigs.view("<u8").ravel())
-        if not parts["sigs"]:
-            return
-        sigs, nodes, sizes = (np.concatenate(parts.pop(k)) for k in ("sigs", "nodes", "sizes"))
+        rows = [tuple(r[k] for k in ("bucket", "nodes", "sizes", "counts", "sigs"))
+                for batch in batches for r in batch.to_pylist()]
+        for part in range(PARTS if rows else 0):
+            yield from meeting(*part_of(rows, part))
+
+    def meeting(sigs, nodes, sizes):
         order = np.argsort(sigs)
         sigs = sigs[order]
         same = np.zeros(len(sigs) + 1, dtype=bool)
@@ -310,35 +317,33 @@ def _picked(docs: DataFrame, wanted: DataFrame, payload) -> DataFrame:
     return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _limit(size: int) -> int:
-    """End of the slice of a set in the domain of 32-bit hashes."""
-    return (1 << 32) if size <= SLICE else (SLICE << 32) // size
+def _histogram(grams: np.ndarray) -> bytes:
+    """How many of the set's shingles lie in each of 2^c equal parts of the
+    domain, with 2^c the largest power up to the set's size; at most 255."""
+    bits = len(grams).bit_length() - 1
+    at = (mix(grams) >> np.uint64(40)) >> np.uint64(24 - bits)
+    return np.minimum(np.bincount(at.astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
-def _slice(grams: np.ndarray) -> bytes:
-    """32-bit hashes of the set's shingles in its slice, ascending.  Slices
-    begin at 0, so that of a larger set lies in that of a smaller one."""
-    low = mix(grams) >> np.uint64(32)
-    return np.sort(low[low < np.uint64(_limit(len(grams)))].astype("<u4")).tobytes()
+def _folded(histogram: np.ndarray, cells: int) -> np.ndarray:
+    return histogram.reshape(cells, -1).sum(axis=1, dtype=np.int32)
 
 
 def _may_link(x: np.ndarray, y: np.ndarray, s: int, t: int, scheme: Scheme) -> bool:
-    """False only if the sets differ in one slice in more elements than linked
-    sets may differ in altogether; equal 32-bit hashes can only hide some."""
-    limit = min(_limit(s), _limit(t))
-    x, y = x[: np.searchsorted(x, limit)], y[: np.searchsorted(y, limit)]
-    return len(x) + len(y) - 2 * _shared(x, y) <= scheme.differ(s, t)
+    """False only if the parts' counts differ by more than linked sets may
+    differ; the sum of those differences never exceeds that of the sets."""
+    cells = min(len(x), len(y))
+    return int(np.abs(_folded(x, cells) - _folded(y, cells)).sum()) <= scheme.differ(s, t)
 
 
 def _in_blocks(near: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes that have a head in common, lie in different
-    components, and may link by their slices.
+    components, and may link by their histograms.
 
     ``near``: head, node, root, size, grams.  The nodes of a head are dealt
-    into blocks of about BLOCK; a task gets two blocks and counts the shared
-    hashes of all their pairs as a matrix product, so pairs are never rows and
-    no task holds more than two blocks."""
-    scheme = Scheme(percent)
+    into blocks of about BLOCK; a task gets two blocks and compares all their
+    pairs in place, so pairs are never rows and no task holds more than two
+    blocks."""
     blocks = near.groupBy("head").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = near.join(blocks, "head").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -351,22 +356,13 @@ def _in_blocks(near: DataFrame, percent: int) -> DataFrame:
         none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         if pdf["root"].nunique() < 2:
             return none
-        limit = _limit(int(pdf["size"].max()))
-        sets = [np.frombuffer(g, "<u4") for g in pdf["grams"]]
-        sets = [g[: np.searchsorted(g, limit)] for g in sets]
-        lengths = np.array([len(g) for g in sets])
-        owner = np.repeat(np.arange(len(sets)), lengths)
-        known, column = np.unique(np.concatenate(sets), return_inverse=True)
-        shared = np.zeros((len(sets), len(sets)), np.float32)
-        for at in range(0, len(known), 8192):
-            inside = (column >= at) & (column < at + 8192)
-            m = np.zeros((len(sets), min(8192, len(known) - at)), np.float32)
-            m[owner[inside], column[inside] - at] = 1
-            shared += m @ m.T
+        found = [np.frombuffer(g, np.uint8) for g in pdf["grams"]]
+        cells = min(map(len, found))
+        counts = np.stack([_folded(g, cells) for g in found])
         size = pdf["size"].to_numpy()
         both, least = size[:, None] + size, np.minimum(size[:, None], size)
-        differ = both * (100 - percent) // (100 + percent)
-        hit = (lengths[:, None] + lengths - 2 * shared <= differ) & (100 * least >= percent * (both - least))
+        apart = np.stack([np.abs(counts - row).sum(axis=1) for row in counts])
+        hit = (apart <= both * (100 - percent) // (100 + percent)) & (100 * least >= percent * (both - least))
         root, first = pdf["root"].to_numpy(), pdf["first"].to_numpy()
         hit &= root[:, None] != root
         if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
@@ -408,7 +404,8 @@ def _linked(docs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
 
     near = stored(near, "near")
     nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    return _compare(near, _picked(docs, nodes, lambda g: g.tobytes()), does, np.uint64)
+    sets = stored(_picked(docs, nodes, lambda g: g.tobytes()), "whole-sets")
+    return _compare(near, sets, does, np.uint64)
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -426,9 +423,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ).distinct()
     lists = met.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node")).distinct()
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(lists.select("node")).distinct()
-    slices = stored(_picked(docs, wanted, _slice), "slices")
+    histograms = stored(_picked(docs, wanted, _histogram), "histograms")
     scheme = Scheme(percent)
-    near = _compare(pairs, slices, lambda x, y, s, t: _may_link(x, y, s, t, scheme), np.dtype("<u4"))
+    near = _compare(pairs, histograms, lambda x, y, s, t: _may_link(x, y, s, t, scheme), np.uint8)
     links = stored(_linked(docs, near, percent), "links")
     roots = components(links)
 
@@ -439,16 +436,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return at.join(mixed.select(*key), key)
 
     # Few nodes: their pairs are rows.  Frequent signatures: blocks.
-    few = across(lists, ["list"]).join(slices, "node").select("list", "node", "root", "size")
+    few = across(lists, ["list"]).join(histograms, "node").select("list", "node", "root", "size")
     x = few.select("list", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
     y = few.select("list", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))
     rows_across = x.join(y, "list").where(
         (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
         & (100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb"))).select("a", "b").distinct()
-    more = _compare(rows_across.join(pairs, ["a", "b"], "left_anti"), slices,
-                    lambda x, y, s, t: _may_link(x, y, s, t, scheme), np.dtype("<u4"))
+    more = _compare(rows_across.join(pairs, ["a", "b"], "left_anti"), histograms,
+                    lambda x, y, s, t: _may_link(x, y, s, t, scheme), np.uint8)
     many = across(hot.select("sig", "head", "node"), ["sig"]).select("head", "node", "root").distinct()
-    blocks = _in_blocks(many.join(slices, "node"), percent)
+    blocks = _in_blocks(many.join(histograms, "node"), percent)
     more = stored(_linked(docs, more.union(blocks).distinct(), percent), "more-links")
     if not more.isEmpty():
         roots = components(links.union(more))
