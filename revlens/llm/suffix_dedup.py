@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import bitmap, in_bitmap, parallelism, stored
+from revlens.llm.common import bitmap, in_bitmap, parallelism, repeatable, stored
 from revlens.llm.text import mix, utf8
 
 LENGTH = 100
@@ -363,7 +363,8 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """Rows (described) with ``first_row``, the first row with the same text,
-    and for first rows the spans of bytes to remove: row_id, spans."""
+    and for first rows the spans of bytes to remove: row_id, spans.  Row ids
+    need an input that is repeatable."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = parallelism(docs.sparkSession)
     rows = stored(described(plain), "texts")
@@ -382,6 +383,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     row_id, n_bytes, n_removed, n_spans, kept_sha256.  A text that is left
     with a broken character (a cut inside it) has U+FFFD there; kept_sha256 is
     of the exact bytes."""
+    docs = repeatable(docs)
     rows, spans = repeated_spans(docs, length)
     first = rows.where("row_id = first_row").select("row_id")
     # Rows that lose bytes: first rows with spans; other rows lose everything.
