@@ -52,20 +52,37 @@ def related_ids(related: ColumnOrName) -> Column:
     return F.regexp_extract_all(_col(related), F.lit(ASIN_PATTERN), F.lit(0))
 
 
+def _outside_quotes(text: Column, word: str, becomes: str) -> Column:
+    """``text`` with a bare word replaced; quoted strings are stepped over."""
+    head, rest = word[0], word[1:]
+    step = rf"""[^'"{head}]++|{head}(?!{rest}\b)|'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+\""""
+    swapped = F.regexp_replace(text, F.lit(rf"\G((?:{step})*+){word}\b"), F.lit(f"$1{becomes}"))
+    return F.when(text.contains(word), swapped).otherwise(text)
+
+
+def literal_to_json(text: ColumnOrName) -> Column:
+    """Python literal -> text that Spark's JSON reader takes (it reads single
+    quotes itself): ``\\xNN`` escapes, None, True and False are rewritten."""
+    out = F.regexp_replace(_col(text), F.lit(r"(?<!\\)((?:\\\\)*)\\x([0-9A-Fa-f]{2})"), F.lit(r"$1\\u00$2"))
+    for word, becomes in (("None", "null"), ("True", "true"), ("False", "false")):
+        out = _outside_quotes(out, word, becomes)
+    return out
+
+
 def parse_categories(text: ColumnOrName) -> Column:
-    """Python-literal list of lists -> array<array<string>>.  Single quotes,
-    mixed quotes and \\' escapes parse; other escapes give NULL."""
-    return F.from_json(_col(text), CATEGORIES_TYPE)
+    """Python-literal list of lists -> array<array<string>>; text that is no
+    literal gives NULL."""
+    return F.from_json(literal_to_json(text), CATEGORIES_TYPE)
 
 
 def parse_sales_rank(text: ColumnOrName) -> Column:
     """``{'Cat': 12}`` -> map<string,bigint>, keys in text order."""
-    return F.from_json(_col(text), SALES_RANK_TYPE)
+    return F.from_json(literal_to_json(text), SALES_RANK_TYPE)
 
 
 def parse_related(text: ColumnOrName) -> Column:
     """``{'also_viewed': [...], ...}`` -> map<string,array<string>>."""
-    return F.from_json(_col(text), RELATED_TYPE)
+    return F.from_json(literal_to_json(text), RELATED_TYPE)
 
 
 def first_category(categories: ColumnOrName) -> Column:

@@ -95,7 +95,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
                  .agg(F.percentile_approx("v", probs, approx_accuracy).alias("qs")))
         else:
             q = exact_quantiles(long_vals, "v", probs, group_cols=["metric"],
-                                group_bound=len(columns))
+                                known_groups=columns)
         # Every described column gets its quartile rows, NULL when it has no
         # values (empty input): the column names are constants (a one-row
         # range, so no data is read again), and the quartiles (one row per

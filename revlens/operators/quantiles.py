@@ -64,8 +64,8 @@ def _join(df: DataFrame, other: DataFrame, group_cols: Sequence[str], few_groups
     """Attach the one-row-per-group table ``other`` to every row of ``df``.
 
     With few groups a shuffle join on the group key would send each group's
-    rows to one task, so ``other`` is broadcast: it has one row per group
-    and the caller vouches the group count is small (``few_groups``).  With
+    rows to one task, so ``other`` is broadcast: it has one row per group, and
+    the groups are a given list (``few_groups``).  With
     many groups the shuffle is balanced and AQE decides.  Without groups
     ``other`` is one row, attached as a scalar subquery."""
     if group_cols:
@@ -176,23 +176,26 @@ def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), out_col: str = "qs",
                     method: str = "bracket", accuracy: int = DEFAULT_ACCURACY,
-                    group_bound: int | None = None, discrete: bool = False,
+                    known_groups: Sequence | None = None, discrete: bool = False,
                     keep_empty_groups: bool = False) -> DataFrame:
     """Quantiles per group as an array: interpolated (``quantile_cont``), or
     with ``discrete`` an actual value of the column (``percentile_disc``).
 
-    ``group_bound``: an upper bound on the number of groups known to the
-    caller (e.g. the number of columns described); up to 10,000 groups the
-    per-group tables are broadcast instead of shuffling rows by group.
+    ``known_groups``: the values of the one group column that are wanted,
+    where they are known beforehand (e.g. the columns described).  Only those
+    groups are computed, so the per-group tables have at most that many rows
+    and are broadcast instead of shuffling rows by a few-valued key.
     Groups whose values are all NULL are left out unless
     ``keep_empty_groups`` (then they get NULL quantiles).  Without groups
     the result is always one row."""
     if method == "frequency" and not discrete:
         return _frequency_quantiles(df, value_col, probs, list(group_cols), out_col)
     if method in ("bracket", "frequency"):
-        few = group_bound is not None and group_bound <= 10000
+        if known_groups is not None:
+            (group,) = group_cols
+            df = df.where(F.col(group).isin(list(known_groups)))
         return _bracket_quantiles(df, value_col, list(probs), list(group_cols), out_col,
-                                  accuracy, few, discrete, keep_empty_groups)
+                                  accuracy, known_groups is not None, discrete, keep_empty_groups)
     raise ValueError(f"unknown method {method!r}")
 
 

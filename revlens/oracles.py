@@ -22,27 +22,41 @@ products AS (
     CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_retailprice END AS price,
     CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN '' ELSE p_name END AS title,
     CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 19 = 0 THEN '[['''']]'
+         WHEN p_partkey % 29 = 0 THEN '[[''Caf\xe9'', None, True]]' WHEN p_partkey % 31 = 0 THEN '[[''cut off'
          ELSE concat('[[''', p_type, ''', ''', p_brand, ''']]') END AS categories,
     CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 23 = 0 THEN '{}'
+         WHEN p_partkey % 29 = 0 THEN '{''Th\xe9'': 7, ''None'': None}' WHEN p_partkey % 31 = 0 THEN '{''Tea'' 7}'
          ELSE concat('{''', p_brand, ''': ', p_size, '}') END AS salesRank,
     CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 4 = 0 THEN '{''also_viewed'': []}'
+         WHEN p_partkey % 29 = 0 THEN '{''bought_together'': None, ''also_viewed'': [''0000000002'']}'
+         WHEN p_partkey % 31 = 0 THEN '{''also_viewed'': ['
          ELSE concat('{''also_viewed'': [''', lpad(CAST((p_partkey * 7 + 13) % 2100 AS VARCHAR), 10, '0'),
               ''', ''', lpad(CAST((p_partkey * 11 + 5) % 2100 AS VARCHAR), 10, '0'),
               '''], ''bought_together'': [''', lpad(CAST((p_partkey + 1) % 2100 AS VARCHAR), 10, '0'),
               ''']}') END AS related
   FROM part)"""
 
+
+def _json(col: str) -> str:
+    """A fixture literal as JSON text, NULL where it is none.  Bare words
+    follow a separator here and names hold none of them."""
+    text = f"""regexp_replace(replace({col}, '''', '"'), '\\\\x([0-9a-f]{{2}})', '\\\\u00\\1', 'g')"""
+    text = f"replace(replace(replace({text}, ' None', ' null'), ' True', ' true'), ' False', ' false')"
+    return f"CASE WHEN json_valid({text}) THEN {text} END"
+
+
 # Parsed catalog fields (first category, first sales-rank entry, also-viewed list).
-PRODUCT_FLAT_CTE = PRODUCTS_CTE + r""",
+PRODUCT_FLAT_CTE = PRODUCTS_CTE + rf""",
+product_json AS (
+  SELECT asin, price, title, {_json("categories")} AS c, {_json("salesRank")} AS s, {_json("related")} AS r
+  FROM products),
 product_parsed AS (
   SELECT asin, price, title,
-    json_extract_string(replace(categories, '''', '"'), '$[0][0]') AS first_cat,
-    CASE WHEN salesRank IS NULL OR salesRank = '{}' THEN NULL
-         ELSE regexp_extract(salesRank, '''([^'']*)'':', 1) END AS bestSalesCategory,
-    CASE WHEN salesRank IS NULL OR salesRank = '{}' THEN NULL
-         ELSE CAST(regexp_extract(salesRank, ': (-?\d+)', 1) AS BIGINT) END AS bestSalesRank,
-    CAST(json_extract(replace(related, '''', '"'), '$.also_viewed') AS VARCHAR[]) AS also_viewed
-  FROM products)"""
+    json_extract_string(c, '$[0][0]') AS first_cat,
+    json_keys(s)[1] AS bestSalesCategory,
+    CASE WHEN len(json_keys(s)) > 0 THEN CAST(regexp_extract(s, ': (-?\d+)', 1) AS BIGINT) END AS bestSalesRank,
+    CAST(json_extract(r, '$.also_viewed') AS VARCHAR[]) AS also_viewed
+  FROM product_json)"""
 
 PROFILE_CTE = REVIEWS_CTE + r""",
 profile AS (
@@ -103,14 +117,18 @@ pairs AS (
   WHERE p.price IS NOT NULL AND r.overall IS NOT NULL)
 SELECT count(*) AS n_pairs,
   CASE WHEN min(price) < max(price) AND min(overall) < max(overall)
-       THEN round_even(corr(price, overall), 2) END AS price_rating_corr
+       THEN round_even(corr(price, overall), 6) END AS price_rating_corr
 FROM pairs"""
 
+ORACLES["price_rating_corr_linked"] = ORACLES["price_rating_corr"].replace(
+    "SELECT p.price, r.overall FROM", "SELECT CAST(p.asin AS BIGINT) + 100000000.0::DOUBLE AS price, "
+    "r.overall + CAST(r.asin AS BIGINT) / 500.0 AS overall FROM")
+
 ORACLES["price_describe"] = "WITH " + PRODUCTS_CTE + ",\n" + _describe_sql(
     "products", ["price"], ["mean", "std", "50%", "min", "max"], 2)
 
-ORACLES["category_counts"] = "WITH " + PRODUCTS_CTE + r""",
-c AS (SELECT json_extract_string(replace(categories, '''', '"'), '$[0][0]') AS category, asin FROM products)
+ORACLES["category_counts"] = "WITH " + PRODUCT_FLAT_CTE + r""",
+c AS (SELECT first_cat AS category, asin FROM product_parsed)
 SELECT category, count(asin) AS n FROM c WHERE category IS NOT NULL GROUP BY category"""
 
 ORACLES["dangling_reviews"] = "WITH " + REVIEWS_CTE + "," + PRODUCTS_CTE + r""",
@@ -234,8 +252,12 @@ idx AS (SELECT category, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, categor
 ORACLES["category_index"] = _CATS + r"""SELECT pp.asin, pp.category,
   coalesce(idx.categoryIndex, (SELECT CAST(count(*) AS DOUBLE) FROM lv)) AS categoryIndex
 FROM pp LEFT JOIN idx ON pp.category = idx.category"""
-# The last position is the bucket of missing categories (handleInvalid keep).
 ORACLES["category_onehot_mean"] = _CATS + r"""SELECT CAST(categoryIndex AS INTEGER) AS position,
+  round_even(cnt / (SELECT count(*) FROM pp), 6) AS mean FROM idx"""
+# One more position for the missing categories.
+ORACLES["category_onehot_mean_keep"] = _CATS.replace(
+    "p_brand AS category", "CASE WHEN p_partkey % 17 <> 0 THEN p_brand END AS category") + r"""
+SELECT CAST(categoryIndex AS INTEGER) AS position,
   round_even(cnt / (SELECT count(*) FROM pp), 6) AS mean FROM idx
 UNION ALL
 SELECT CAST((SELECT count(*) FROM lv) AS INTEGER) AS position,
@@ -265,13 +287,12 @@ SELECT reviewerID, asin,
   TRY_CAST(regexp_extract_all(helpful, '\d+')[2] AS INTEGER) AS total_votes
 FROM reviews"""
 
-# A nested text fails to parse when it is present but not valid once its
-# single quotes are read as JSON quotes.
-ORACLES["product_parse_failures"] = "WITH " + PRODUCTS_CTE + """
+# A nested text fails to parse when it is present but no literal.
+ORACLES["product_parse_failures"] = "WITH " + PRODUCTS_CTE + f"""
 SELECT
-  count(*) FILTER (WHERE categories IS NOT NULL AND NOT json_valid(replace(categories, '''', '"'))) AS categories_failures,
-  count(*) FILTER (WHERE salesRank IS NOT NULL AND NOT json_valid(replace(salesRank, '''', '"'))) AS salesRank_failures,
-  count(*) FILTER (WHERE related IS NOT NULL AND NOT json_valid(replace(related, '''', '"'))) AS related_failures
+  count(*) FILTER (WHERE categories IS NOT NULL AND {_json("categories")} IS NULL) AS categories_failures,
+  count(*) FILTER (WHERE salesRank IS NOT NULL AND {_json("salesRank")} IS NULL) AS salesRank_failures,
+  count(*) FILTER (WHERE related IS NOT NULL AND {_json("related")} IS NULL) AS related_failures
 FROM products"""
 
 ORACLES["event_first_prop"] = r"""

@@ -5,11 +5,11 @@ checks between reviews, products and related-product lists.
 Scale notes
 -----------
 * Q1.2 never joins raw reviews with products.  Reviews are first reduced to
-  one row of sufficient statistics per product (count, sum, sum of squares
-  of the rating) with map-side partial aggregation; the join then pairs one
-  row per product on each side, so a product holding a third of all reviews
-  is still a single row and the join has no skew.  The correlation is
-  assembled from the pooled moments.
+  one row of sufficient statistics per product (count, mean, squared
+  deviation of the rating) with map-side partial aggregation; the join then
+  pairs one row per product on each side, so a product holding a third of
+  all reviews is still a single row and the join has no skew.  The
+  correlation is assembled from moments about the overall means.
 * Q1.5/Q1.6 compare *distinct* id sets.  ``distinct`` runs partial
   aggregation before its shuffle, so repeated ids (hot products) collapse
   in each map task; the anti / full-outer join then sees one row per id.
@@ -39,28 +39,30 @@ def price_rating_corr(products: DataFrame, reviews: DataFrame, places: int = 2)
     NULL when either side is constant (no DIVIDE_BY_ZERO)."""
     per_product = (reviews.where(F.col("asin").isNotNull() & F.col("overall").isNotNull())
                    .groupBy("asin")
-                   .agg(F.count(F.lit(1)).alias("n"),
-                        F.sum("overall").alias("so"),
-                        F.sum(F.col("overall") * F.col("overall")).alias("so2"),
-                        F.min("overall").alias("omin"),
-                        F.max("overall").alias("omax")))
-    priced = products.where(F.col("price").isNotNull()).select("asin", "price")
+                   .agg(F.count(F.lit(1)).cast("double").alias("n"),
+                        F.avg("overall").alias("y"),
+                        (F.var_pop("overall") * F.count(F.lit(1))).alias("m2"),
+                        F.min("overall").alias("ymin"),
+                        F.max("overall").alias("ymax")))
+    priced = products.where(F.col("price").isNotNull()).select("asin", F.col("price").alias("x"))
     pairs = priced.join(per_product, "asin")
-    p, n = F.col("price"), F.col("n")
-    m = pairs.agg(
-        F.sum("n").alias("n"),
-        F.sum(p * n).alias("sx"), F.sum(F.col("so")).alias("sy"),
-        F.sum(p * p * n).alias("sxx"), F.sum(F.col("so2")).alias("syy"),
-        F.sum(p * F.col("so")).alias("sxy"),
-        F.min(p).alias("pmin"), F.max(p).alias("pmax"),
-        F.min("omin").alias("omin"), F.max("omax").alias("omax"))
-    n = F.col("n").cast("double")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
-    varying = (F.col("pmin") < F.col("pmax")) & (F.col("omin") < F.col("omax"))
-    corr = F.when(varying & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
-    return m.select(F.coalesce(F.col("n"), F.lit(0)).alias("n_pairs"),
+    # Moments about the means: a common offset cancels before it is squared.
+    centre = pairs.agg((F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("x"),
+                       (F.sum(F.col("n") * F.col("y")) / F.sum("n")).alias("y"))
+    centre = centre.select(F.struct("x", "y").alias("c")).scalar()
+    n, dx, dy = F.col("n"), F.col("dx"), F.col("dy")
+    m = (pairs.withColumn("dx", F.col("x") - centre.getField("x"))
+         .withColumn("dy", F.col("y") - centre.getField("y"))
+         .agg(F.sum("n").alias("n"), F.sum(n * dx).alias("sx"), F.sum(n * dy).alias("sy"),
+              F.sum(n * dx * dx).alias("sxx"), F.sum(F.col("m2") + n * dy * dy).alias("syy"),
+              F.sum(n * dx * dy).alias("sxy"),
+              (F.min("x") < F.max("x")).alias("x_varies"), (F.min("ymin") < F.max("ymax")).alias("y_varies")))
+    # What rounding left of the means is taken out again.
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    corr = F.when(F.col("x_varies") & F.col("y_varies") & (vx > 0) & (vy > 0), cov / (F.sqrt(vx) * F.sqrt(vy)))
+    return m.select(F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n_pairs"),
                     F.bround(corr, places).alias("price_rating_corr"))
 
 

@@ -5,9 +5,8 @@ train/test by a hash of the row key (see ``operators.split``).  Trees are
 MLlib ``DecisionTreeRegressor`` fits (distributed histogram aggregation per
 tree level).  RMSE is one aggregation over the scored rows.
 
-The fits run on data kept in memory and disk: either a table the caller
-pinned (``pinned_train_test``), or the train part persisted for the fits
-and released afterwards; a lost executor's blocks are rebuilt from the
+The fits run on the train part, kept in memory and disk for the fits and
+released afterwards; a lost executor's blocks are rebuilt from the
 short scan lineage.  Unlike the reference Q2.8
 fits on the train part only (the reference's fit used all of the training
 data, leaking validation rows) and reports the test RMSE of the depth with
@@ -25,7 +24,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.operators.split import hash_split, with_split_flag
+from revlens.operators.split import hash_split
 
 # Split shares and seeds, and the depths swept in Q2.8.
 TEST_PERCENT = 20
@@ -36,37 +35,28 @@ DEPTHS = (5, 7, 9, 12)
 LABEL = "overall"
 
 
-def assemble(rows: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
-    """row_key, features (vector), overall."""
+def assemble(rows: DataFrame, feature_cols: Sequence[str], handle_invalid: str = "error") -> DataFrame:
+    """row_key, features (vector), overall.  A NULL or NaN feature fails the
+    job; ``handle_invalid="skip"`` leaves such rows out on request
+    (``incomplete_rows`` counts them)."""
     va = VectorAssembler(inputCols=list(feature_cols), outputCol="features",
-                         handleInvalid="skip")
+                         handleInvalid=handle_invalid)
     return va.transform(rows).select("row_key", "features", LABEL)
 
 
-def train_test(rows: DataFrame, feature_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """``ml_features_train`` / ``ml_features_test`` (lazy filters)."""
-    test, train = hash_split(rows, "row_key", TEST_SEED, TEST_PERCENT)
-    return assemble(train, feature_cols), assemble(test, feature_cols)
-
+def incomplete_rows(rows: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
+    """One row: ``incomplete``, the rows with a NULL or NaN feature."""
+    bad = F.lit(False)
+    for c in feature_cols:
+        bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    return rows.agg(F.count_if(bad).alias("incomplete"))
 
-def pinned_train_test(rows: DataFrame, feature_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Train/test over one persisted feature table (memory and disk), the
-    way a model-selection phase keeps its inputs in memory.
 
-    The test flag is a column of the persisted table, computed once per row
-    in the projection; the two parts are filters over the cached relation.
-    The caller owns the cache: ``release(train)`` frees it."""
-    flagged = with_split_flag(rows, "row_key", TEST_SEED, TEST_PERCENT, "_in_test")
-    table = assemble_keep(flagged, feature_cols, ["_in_test"]).persist(StorageLevel.MEMORY_AND_DISK)
-    train = table.where(~F.col("_in_test")).drop("_in_test")
-    test = table.where(F.col("_in_test")).drop("_in_test")
-    return train, test
-
-
-def assemble_keep(rows: DataFrame, feature_cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    va = VectorAssembler(inputCols=list(feature_cols), outputCol="features",
-                         handleInvalid="skip")
-    return va.transform(rows).select("row_key", "features", LABEL, *keep)
+def train_test(rows: DataFrame, feature_cols: Sequence[str],
+               handle_invalid: str = "error") -> tuple[DataFrame, DataFrame]:
+    """``ml_features_train`` / ``ml_features_test`` (lazy filters)."""
+    test, train = hash_split(rows, "row_key", TEST_SEED, TEST_PERCENT)
+    return assemble(train, feature_cols, handle_invalid), assemble(test, feature_cols, handle_invalid)
 
 
 def rmse(scored: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -80,27 +70,23 @@ def fit_tree(train: DataFrame, depth: int):
                                  labelCol=LABEL).fit(train)
 
 
-def _fit_persisted(train: DataFrame, depths: Sequence[int], parallelism: int = 4,
-                   persist_input: bool = True) -> list:
+def _fit_persisted(train: DataFrame, depths: Sequence[int], parallelism: int = 4) -> list:
     """Fit one tree per depth on ``train``, kept in memory/disk for the
     fits' repeated passes (split search, metadata, tree-point conversion)
     and released afterwards; lost cached blocks are recomputed from the
-    scan.  ``persist_input=False`` when ``train`` already reads from a
-    pinned table (no second copy).
+    scan.
 
     Up to ``parallelism`` fits are submitted at once from driver threads
     (as ``CrossValidator(parallelism=...)`` does): each fit is a chain of
     small per-level jobs, and concurrent fits keep the executors busy
     while one fit's driver step runs."""
-    if persist_input:
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(depths)))) as pool:
             models = list(pool.map(lambda d: fit_tree(train, d), depths))
         return list(zip(depths, models))
     finally:
-        if persist_input:
-            train.unpersist()
+        train.unpersist()
 
 
 def _score_all(models: list, data: DataFrame, prefix: str) -> DataFrame:
@@ -114,21 +100,20 @@ def _score_all(models: list, data: DataFrame, prefix: str) -> DataFrame:
         for d, _ in models])
 
 
-def tree_rmse(train: DataFrame, test: DataFrame, depth: int = 5,
-              persist_input: bool = True) -> DataFrame:
+def tree_rmse(train: DataFrame, test: DataFrame, depth: int = 5) -> DataFrame:
     """Q2.7: test_rmse of a depth-5 tree."""
-    models = _fit_persisted(train, [depth], persist_input=persist_input)
+    models = _fit_persisted(train, [depth])
     return _score_all(models, test, "t").select(F.col(f"t{depth}").alias("test_rmse"))
 
 
 def tree_depth_sweep(train_data: DataFrame, test: DataFrame,
-                     depths: Sequence[int] = DEPTHS, persist_input: bool = True) -> DataFrame:
+                     depths: Sequence[int] = DEPTHS) -> DataFrame:
     """Q2.8: depth, valid_rmse, test_rmse, best (1 for the depth with the
     lowest validation RMSE, ties to the shallower tree).  The split is
     75/25 by row-key hash.  Fits are eager; the returned table is lazy:
     one scoring pass over the validation part and one over the test set."""
     train, valid = hash_split(train_data, "row_key", VALID_SEED, TRAIN_PERCENT)
-    models = _fit_persisted(train, depths, persist_input=persist_input)
+    models = _fit_persisted(train, depths)
     t = _score_all(models, test, "t")
     t = t.select(F.struct(*t.columns).alias("s")).scalar()
     v = _score_all(models, valid, "v")
@@ -141,13 +126,28 @@ def tree_depth_sweep(train_data: DataFrame, test: DataFrame,
     return out.withColumn("best", (F.row_number().over(w) == 1).cast("int"))
 
 
+def sweep_document(sweep: DataFrame, depths: Sequence[int] = DEPTHS) -> DataFrame:
+    """Q2.8 as one row with the result keys: test_rmse (of the best depth)
+    and one ``valid_rmse_depth_<d>`` per depth."""
+    return sweep.agg(
+        F.max(F.when(F.col("best") == 1, F.col("test_rmse"))).alias("test_rmse"),
+        *[F.max(F.when(F.col("depth") == d, F.col("valid_rmse"))).alias(f"valid_rmse_depth_{d}")
+          for d in depths])
+
+
 def group_mean_rmse(train: DataFrame, valid: DataFrame, group_col: str,
                     label: str = LABEL) -> DataFrame:
     """M6 on a group-mean predictor: predict ``label`` by its mean over the
     training rows of the same group (overall training mean for unseen
-    groups); rmse on ``valid``.  The per-group means are one row per group."""
+    groups); rmse on ``valid``.
+
+    Both sides are reduced to one row per group before the join, so no row is
+    shuffled by a few-valued key: a group of n labels with mean m and squared
+    deviation d has the squared error d + n (m - prediction)^2."""
     means = train.groupBy(group_col).agg(F.avg(label).alias("prediction"))
     overall = train.agg(F.avg(label)).scalar()
-    scored = (valid.join(means, group_col, "left")
-              .withColumn("prediction", F.coalesce(F.col("prediction"), overall)))
-    return rmse(scored, label)
+    held = valid.groupBy(group_col).agg(F.count(label).alias("n"), F.avg(label).alias("m"),
+                                        (F.var_pop(label) * F.count(label)).alias("d"))
+    off = F.col("m") - F.coalesce(F.col("prediction"), overall)
+    return held.join(means, group_col, "left").agg(
+        F.sqrt(F.sum(F.col("d") + F.col("n") * off * off) / F.sum("n")).alias("rmse"))

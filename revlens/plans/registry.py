@@ -6,7 +6,6 @@ test tables through the fixture views and returns a lazy DataFrame.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,7 +79,12 @@ def _null_pct_products(spark, sf):
 
 @register("price_rating_corr")
 def _price_rating_corr(spark, sf):
-    return C.price_rating_corr(FX.products(spark, sf), FX.reviews(spark, sf))
+    return C.price_rating_corr(FX.products(spark, sf), FX.reviews(spark, sf), places=PLACES)
+
+
+@register("price_rating_corr_linked")
+def _price_rating_corr_linked(spark, sf):
+    return C.price_rating_corr(*FX.linked_pairs(spark, sf), places=PLACES)
 
 
 @register("price_describe")
@@ -191,23 +195,19 @@ def _token_vocabulary_size(spark, sf):
     return FE.vocabulary_size(FX.product_titles(spark, sf))
 
 
-@functools.lru_cache(maxsize=2)
-def _w2v_model(spark, sf):
-    """One Word2Vec fit per (session, input) serves both reports below, as
-    the reference's task 5 reads its vocabulary size and the synonyms off
-    one model."""
-    return FE.fit_word2vec(FX.product_titles(spark, sf))
-
-
 @register("word2vec_vocabulary")
 def _word2vec_vocabulary(spark, sf):
-    return FE.word2vec_summary(FX.product_titles(spark, sf), _w2v_model(spark, sf))
+    return FE.word2vec_summary(FX.product_titles(spark, sf))
 
 
 @register("word_synonyms")
 def _word_synonyms(spark, sf):
-    return FE.nearest_words(_w2v_model(spark, sf).getVectors(), SYNONYM_WORDS).select(
-        "query", "rank", "word", "similarity")
+    return FE.word_synonyms(FX.product_titles(spark, sf), SYNONYM_WORDS)
+
+
+@register("word_document")
+def _word_document(spark, sf):
+    return FE.word_document(FX.product_titles(spark, sf), SYNONYM_WORDS)
 
 
 @register("vector_top_k")
@@ -226,6 +226,16 @@ def _category_onehot_mean(spark, sf):
     return FE.category_onehot_mean(FX.product_categories(spark, sf), places=PLACES)
 
 
+@register("category_onehot_mean_keep")
+def _category_onehot_mean_keep(spark, sf):
+    return FE.category_onehot_mean(FX.gappy_categories(spark, sf), places=PLACES, handle_invalid="keep")
+
+
+@register("category_document")
+def _category_document(spark, sf):
+    return FE.category_document(FX.product_categories(spark, sf))
+
+
 @register("category_pca_mean")
 def _category_pca_mean(spark, sf):
     return FE.category_pca_mean(FX.product_categories(spark, sf), places=PLACES)
@@ -243,22 +253,19 @@ def _prediction_rmse(spark, sf):
     return round_doubles(MO.group_mean_rmse(train, test, "l_linenumber"), PLACES)
 
 
-@functools.lru_cache(maxsize=2)
-def _ml_data(spark, sf):
-    """The model-selection phase's inputs, persisted once per (session,
-    input) and shared by the tree jobs (the reference pins its part-2
-    tables in memory the same way)."""
-    return MO.pinned_train_test(FX.ml_rows(spark, sf), FX.FEATURE_COLUMNS)
-
-
 @register("tree_rmse")
 def _tree_rmse(spark, sf):
-    return MO.tree_rmse(*_ml_data(spark, sf), persist_input=False)
+    return MO.tree_rmse(*MO.train_test(FX.ml_rows(spark, sf), FX.FEATURE_COLUMNS))
 
 
 @register("tree_depth_sweep")
 def _tree_depth_sweep(spark, sf):
-    return MO.tree_depth_sweep(*_ml_data(spark, sf), persist_input=False)
+    return MO.tree_depth_sweep(*MO.train_test(FX.ml_rows(spark, sf), FX.FEATURE_COLUMNS))
+
+
+@register("tree_sweep_document")
+def _tree_sweep_document(spark, sf):
+    return MO.sweep_document(_tree_depth_sweep(spark, sf))
 
 
 # -- End-to-end reports (the two JSON documents) ---------------------------------

@@ -1,16 +1,11 @@
 """Spark session helpers.
 
 On a cluster the session comes from the platform (``spark-submit`` or a
-notebook) and already names ``spark.checkpoint.dir`` on shared storage; the
-library only reads that setting.  ``local_session`` is for tests and the
-bench: it sets a scratch checkpoint folder only when none is configured.
+notebook).  ``local_session`` is for tests and the bench.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  AQE re-plans joins and coalesces shuffle
@@ -38,22 +33,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only
-    when the session names none (local runs).  On a cluster the shared
-    folder from ``spark.checkpoint.dir`` is used as is."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    scratch = tempfile.mkdtemp(prefix="revlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(scratch)
-    return scratch

@@ -52,14 +52,20 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     null_s = F.lit(None).cast("string")
     categories = (F.when(k % 17 == 0, null_s)
                   .when(k % 19 == 0, F.lit("[['']]"))
+                  .when(k % 29 == 0, F.lit("[['Caf\\xe9', None, True]]"))
+                  .when(k % 31 == 0, F.lit("[['cut off"))
                   .otherwise(F.concat(F.lit("[['"), F.col("p_type"), F.lit("', '"),
                                       F.col("p_brand"), F.lit("']]"))))
     sales_rank = (F.when(k % 5 == 0, null_s)
                   .when(k % 23 == 0, F.lit("{}"))
+                  .when(k % 29 == 0, F.lit("{'Th\\xe9': 7, 'None': None}"))
+                  .when(k % 31 == 0, F.lit("{'Tea' 7}"))
                   .otherwise(F.concat(F.lit("{'"), F.col("p_brand"), F.lit("': "),
                                       F.col("p_size").cast("string"), F.lit("}"))))
     related = (F.when(k % 3 == 0, null_s)
                .when(k % 4 == 0, F.lit("{'also_viewed': []}"))
+               .when(k % 29 == 0, F.lit("{'bought_together': None, 'also_viewed': ['0000000002']}"))
+               .when(k % 31 == 0, F.lit("{'also_viewed': ["))
                .otherwise(F.concat(
                    F.lit("{'also_viewed': ["), _id_text((k * 7 + 13) % 2100), F.lit(", "),
                    _id_text((k * 11 + 5) % 2100), F.lit("], 'bought_together': ["),
@@ -97,6 +103,23 @@ def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(_asin(F.col("p_partkey")).alias("asin"), F.col("p_brand").alias("category"))
 
 
+def gappy_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The categories with every 17th one missing."""
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
+    return p.select(_asin(F.col("p_partkey")).alias("asin"),
+                    F.when(F.col("p_partkey") % 17 != 0, F.col("p_brand")).alias("category"))
+
+
+def linked_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Products and reviews whose price and rating both rise with the product
+    number, the price on an offset of 1e8: a real correlation."""
+    number = F.col("asin").cast("long")
+    priced = products(spark, sf_dir).select(
+        "asin", F.when(F.col("price").isNotNull(), number + 100000000.0).alias("price"))
+    rated = reviews(spark, sf_dir).select("asin", (F.col("overall") + number / 500.0).alias("overall"))
+    return priced, rated
+
+
 FEATURE_COLUMNS = ("l_extendedprice", "l_discount", "l_tax", "l_linenumber")
 
 

@@ -20,35 +20,14 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition a scan that has fewer splits than the session has cores.
-
-    A file written as one Parquet row group is read by one task whatever its
-    size, so everything before the first shuffle would run on one core.  On
-    a cluster, inputs have far more splits than cores and this is a no-op
-    (it only plans the scan to count splits; no job runs).  Hashing on the
-    table's key (default: first column) is deterministic under task retries
-    without the sort a round-robin repartition needs, and a later join or
-    aggregation on that key can reuse the partitioning.  Filters and column
-    pruning still reach the scan below the exchange."""
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    if splits < n:
-        return df.repartition(n, key or df.columns[0])
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
-    """Scan a table, keeping ``columns`` only (the first one is the key the
-    scan is spread on when it has too few splits)."""
+    """Scan a table, keeping ``columns`` only.  Its splits are those of the
+    files (``spark.sql.files.maxPartitionBytes``, row-group size)."""
     df = spark.read.parquet(table_path(sf_dir, name))
     if columns is None:
         return df
-    return spread(df.select(*columns), columns[0])
+    return df.select(*columns)
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TEST_TABLES) -> None:

@@ -3,7 +3,7 @@
 One narrow projection: ``categories`` becomes ``array<array<string>>``,
 ``salesRank`` a ``map<string,bigint>`` in text order and ``related`` a
 ``map<string,array<string>>``.  Python-literal quoting (single quotes,
-mixed quotes, ``\\'``) parses; anything else gives NULL, and
+mixed quotes, ``\\'``, ``\\xNN``, None) parses; anything else gives NULL, and
 ``parse_failures`` counts those rows instead of failing the job.
 """
 

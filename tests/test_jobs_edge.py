@@ -58,6 +58,18 @@ def test_correlation_constant_price_is_null(spark):
     assert r.n_pairs == 3 and r.price_rating_corr is None
 
 
+def test_correlation_with_a_common_offset(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=200)
+    products = spark.createDataFrame([(str(i), 1e8 + float(v)) for i, v in enumerate(x)], "asin string, price double")
+    pairs = [(int(i), 1e8 + float(x[i] + rng.normal() / 2)) for i in rng.integers(0, 200, 1000)]
+    reviews = spark.createDataFrame([(str(i), y) for i, y in pairs], "asin string, overall double")
+    r = C.price_rating_corr(products, reviews, places=12).first()
+    want = np.corrcoef([x[i] for i, _ in pairs], [y - 1e8 for _, y in pairs])[0, 1]
+    assert r.price_rating_corr == pytest.approx(want, abs=1e-7)
+
+
 def test_correlation_matches_pairwise(spark):
     import numpy as np
     products = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 4.0), ("d", None)],

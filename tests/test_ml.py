@@ -60,6 +60,8 @@ def test_nearest_words_invariants(spark):
     by_q = {}
     for r in rows:
         by_q.setdefault(r.query, []).append(r)
+    missing = by_q.pop("not-a-word")
+    assert [(r.rank, r.word, r.similarity) for r in missing] == [(None, None, None)]
     assert set(by_q) == {"the", "and"}
     for q, rs in by_q.items():
         rs.sort(key=lambda r: r.rank)
@@ -128,3 +130,59 @@ def test_sweep_scoring_brute_force(spark):
         rows = m.transform(test).select("overall", "prediction").collect()
         err = np.array([r.overall - r.prediction for r in rows])
         assert got[f"t{d}"] == pytest.approx(float(np.sqrt(np.mean(err ** 2))), rel=1e-12)
+
+
+def test_tree_finds_a_planted_signal(spark):
+    rows = spark.range(4000).select(
+        F.col("id").cast("string").alias("row_key"), (F.col("id") % 8).cast("double").alias("x"),
+        (F.col("id") % 3).cast("double").alias("noise"),
+        F.when(F.col("id") % 8 > 3, 10.0).otherwise(-10.0).alias("overall"))
+    train, test = MO.train_test(rows, ["x", "noise"])
+    assert MO.tree_rmse(train, test).first().test_rmse < 1e-9
+
+
+def test_incomplete_rows_fail_or_are_counted(spark):
+    rows = spark.createDataFrame([("a", 1.0, 1.0), ("b", None, 2.0), ("c", float("nan"), 3.0)],
+                                 "row_key string, x double, overall double")
+    assert MO.incomplete_rows(rows, ["x"]).first().incomplete == 2
+    with pytest.raises(Exception):
+        MO.assemble(rows, ["x"]).collect()
+    assert MO.assemble(rows, ["x"], "skip").count() == 1
+
+
+def test_group_mean_rmse_brute_force(spark):
+    train = spark.createDataFrame([(1, 1.0), (1, 3.0), (2, 10.0)], "g int, overall double")
+    valid = spark.createDataFrame([(1, 5.0), (2, 9.0), (3, 7.0), (None, 1.0)], "g int, overall double")
+    overall = 14 / 3
+    want = np.sqrt(np.mean([(5 - 2) ** 2, 1, (7 - overall) ** 2, (1 - overall) ** 2]))
+    assert MO.group_mean_rmse(train, valid, "g").first().rmse == pytest.approx(want)
+
+
+def test_result_documents(spark):
+    words = FE.word_document(FX.product_titles(spark, SF_SMALL), ["the", "not-a-word"])
+    assert words.columns == ["count_total", "size_vocabulary", "word_0_synonyms", "word_1_synonyms"]
+    row = words.first()
+    assert len(row.word_0_synonyms) == 10 and row.word_1_synonyms is None
+    cats = FX.product_categories(spark, SF_SMALL)
+    row = FE.category_document(cats).first()
+    assert row.count_total == cats.count() and len(row.meanVector_categoryPCA) == 15
+    assert len(row.meanVector_categoryOneHot) == cats.select("category").distinct().count()
+    assert sum(row.meanVector_categoryOneHot) == pytest.approx(1)
+    sweep = spark.createDataFrame([(5, 2.0, 2.5, 0), (7, 1.0, 1.5, 1)],
+                                  "depth int, valid_rmse double, test_rmse double, best int")
+    assert MO.sweep_document(sweep, (5, 7)).first().asDict() == {
+        "test_rmse": 1.5, "valid_rmse_depth_5": 2.0, "valid_rmse_depth_7": 1.0}
+
+
+def test_missing_categories_fail_unless_kept(spark):
+    cats = FX.gappy_categories(spark, SF_SMALL)
+    with pytest.raises(Exception):
+        FE.category_onehot_mean(cats).collect()
+    assert FE.category_onehot_mean(cats, handle_invalid="keep").count() == 26
+
+
+def test_nothing_stays_persisted(spark):
+    import __spark_entry__ as E
+    for key in ("tree_rmse", "word_synonyms"):
+        E.QUERIES[key](spark, SF_SMALL).collect()
+        assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty(), key

@@ -27,8 +27,21 @@ def test_categories_parse_and_failures(spark):
     df = spark.createDataFrame([(t,) for t in texts], "categories string")
     got = [r.c for r in df.select(P.first_category(P.parse_categories("categories")).alias("c")).collect()]
     assert got[:4] == [None, None, "Children's Music", 'a\'b "c"']
-    assert got[4] is None
-    assert parse_failures(df).first()["categories_failures"] == 1
+    assert got[4] == "café"
+    assert parse_failures(df).first()["categories_failures"] == 0
+    assert parse_failures(spark.createDataFrame([("[['a",), (None,)], "categories string")).first()[0] == 1
+
+
+def test_python_literals(spark):
+    texts = ["[['a', None, 'None', \"it's None, True\"]]", "[[None]]", "[['a\\\\xe9', 'b\\xe9\\xe8']]",
+             "[[True, 'False', False]]", "[['Nonesuch', 'xNone']]"]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    got = [r.c[0] for r in df.select(P.parse_categories("c").alias("c")).collect()]
+    assert got == [["a", None, "None", "it's None, True"], [None], ["a\\xe9", "bée".replace("e", "è")],
+                   ["true", "False", "false"], ["Nonesuch", "xNone"]]
+    long = "[[" + ", ".join(["'id None'"] * 20_000) + ", None]]"
+    row = spark.createDataFrame([(long,)], "c string").select(P.parse_categories("c").alias("c")).first()
+    assert len(row.c[0]) == 20_001 and row.c[0][-1] is None and row.c[0][0] == "id None"
 
 
 def test_sales_rank_first_entry_in_text_order(spark):

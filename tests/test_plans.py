@@ -49,7 +49,23 @@ def test_top_k_uses_group_limit(spark):
 
 def test_point_lookup_filter(spark):
     p = plan(E.queries()["product_lookup"](spark, SF_SMALL))
-    assert "Filter" in p
+    assert "= 0000000150" in p
+
+
+def test_few_valued_keys_do_not_shuffle_rows(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key, bad in (("vector_top_k", "hashpartitioning(label#"), ("prediction_rmse", None)):
+            p = plan(E.QUERIES[key](spark, SF_SMALL), "simple")
+            join = p.splitlines()
+            at = next(i for i, line in enumerate(join) if "SortMergeJoin" in line or "ShuffledHashJoin" in line)
+            if bad is None:  # both sides are one row per group
+                assert sum("HashAggregate" in line for line in join[at:]) >= 4
+            else:
+                assert "[salt" in join[at]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_describe_never_shuffles_rows_by_metric(spark):

@@ -50,7 +50,7 @@ def test_bracket_quantiles_grouped_match_numpy(spark, values, accuracy):
     rows = [(float(v), i % 2) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "v double, g int")
     got = {r.g: r.qs for r in exact_quantiles(df, "v", [0.0, 0.3, 0.5, 1.0], ["g"],
-                                              accuracy=accuracy, group_bound=2).collect()}
+                                              accuracy=accuracy, known_groups=[0, 1]).collect()}
     for g in (0, 1):
         xs = [v for v, gg in rows if gg == g]
         if xs:
@@ -60,7 +60,7 @@ def test_bracket_quantiles_grouped_match_numpy(spark, values, accuracy):
 def test_frequency_method_matches_bracket(spark):
     df = spark.createDataFrame([(float(i % 7), i % 3) for i in range(100)], "v double, g int")
     a = {r.g: r.qs for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"], method="frequency").collect()}
-    b = {r.g: r.qs for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"], group_bound=3).collect()}
+    b = {r.g: r.qs for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"], known_groups=[0, 1, 2]).collect()}
     assert a == b
 
 

@@ -88,7 +88,7 @@ def test_quantile_inside_a_hot_value_run(spark):
     vals = [7.0] * 1500 + [float(i) for i in range(3000)]
     rows = [(v, i % 2) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "v double, g int").repartition(8)
-    q = exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["g"], group_bound=2)
+    q = exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["g"], known_groups=[0, 1])
     got = {r.g: r.qs for r in q.collect()}
     for g in (0, 1):
         xs = [v for v, gg in rows if gg == g]

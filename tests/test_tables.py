@@ -1,35 +1,20 @@
-"""Scan spreading: single-split files are hash-partitioned on their key;
-inputs with enough splits are left alone; pushdown still reaches the scan."""
+"""Table scans: pruning and pushdown reach the files, no shuffle is added."""
 
 import contextlib
 import io
 
 from pyspark.sql import functions as F
 
-from revlens.sources.tables import read_table, spread
+from revlens.sources.tables import read_table
 from tests.conftest import SF_SMALL
 
 
-def _plan(df):
+def test_scan_prunes_pushes_and_does_not_shuffle(spark):
+    df = read_table(spark, SF_SMALL, "lineitem", ["l_orderkey", "l_quantity"])
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
-def test_single_split_scan_is_spread_on_key(spark):
-    df = read_table(spark, SF_SMALL, "lineitem", ["l_orderkey", "l_quantity"])
-    p = _plan(df.where(F.col("l_quantity") > 10))
-    assert "hashpartitioning(l_orderkey" in p
+        df.where(F.col("l_quantity") > 10).explain()
+    p = buf.getvalue()
+    assert "Exchange" not in p
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p
-
-
-def test_enough_splits_untouched(spark):
-    df = spark.range(0, 1000, 1, 64)
-    assert spread(df, "id") is df
-
-
-def test_spread_keeps_rows(spark):
-    raw = spark.read.parquet(f"{SF_SMALL}/part.parquet").select("p_partkey")
-    assert read_table(spark, SF_SMALL, "part", ["p_partkey"]).count() == raw.count()
