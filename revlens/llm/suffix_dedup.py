@@ -12,7 +12,7 @@ anchor hash at the same place, so all occurrences of a string meet where their
 anchor's hash is sent.  A first pass finds the anchor hashes that occur in two
 places (in different texts or at different positions); a bitmap of fixed size
 over them picks, in a second pass, the segments to send: the bytes of all
-strings of one anchor, about 140 bytes each.
+strings of one anchor, about 130 bytes each.
 
 *Index.*  A task keeps one copy of the equal segments of an anchor, with their
 owners.  (An anchor left with a single segment needs no index: its strings
@@ -26,6 +26,15 @@ Neighbours that no round has split share LENGTH bytes or more: every interval
 left is one repeated string, and all its occurrences but the earliest are
 marked.
 
+*Large groups.*  A passage in very many documents, each time among other words,
+gives an anchor many different segments.  Such a group is split by the place of
+the anchor in the strings: all strings that have it in a range of places
+contain the same bytes around it (the core of the range), so only those with
+equal cores can be equal.  Halves of the range are grouped by core, equal pieces
+become one, and groups that are still large are halved again; a range of one
+place has the whole string as its core.  So the index never holds much more
+than CHUNK bytes, whatever the group.
+
 *Copies.*  Of equal texts of at least LENGTH bytes all but the first are
 removed whole; their segments are equal too, so they cost one copy in the
 index.  A NULL or empty text has no bytes.  Rows with a NULL id come last.
@@ -47,14 +56,18 @@ from revlens.llm.common import bitmap, in_bitmap, parallelism, repeatable, store
 from revlens.llm.text import mix, utf8
 
 LENGTH = 100
-GRAM = 16
+#: Bytes of an anchor (a multiple of 8): long enough that chance rarely repeats it.
+GRAM = 48
 BITMAP_BITS = 26
-#: Buckets of segments for each task that indexes them, one after another.
-FINER = 8
-#: Bytes that are indexed together; a larger anchor group is indexed alone.
+#: Indexing tasks for each shuffle partition of the session; small tasks hold
+#: little at once.
+FINER = 4
+#: Bytes that are indexed together; a larger anchor group is split exactly.
 CHUNK = 1 << 18
 #: Bytes of a text whose anchors are searched at once.
-PART = 1 << 23
+PART = 1 << 20
+#: Bytes of texts whose segments are held and sent at once; a longer text goes alone.
+HELD = 1 << 21
 
 
 def _windows8(buf: np.ndarray) -> np.ndarray:
@@ -74,6 +87,18 @@ def _least_in(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - size)], x[width - size:]) if width > size else x
 
 
+def _gram_hashes(buf: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes from each position."""
+    eight = _windows8(buf)
+    n = len(buf) - gram + 1
+    h = eight[:n].copy()
+    for at in range(8, gram, 8):
+        h *= np.uint64(0x9FB21C651E98DF25)
+        h ^= h >> np.uint64(29)
+        h += eight[at: at + n]
+    return mix(h)
+
+
 def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hash, first start and last start of each run of strings with the
     same anchor, in order."""
@@ -82,14 +107,14 @@ def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
         part = raw[base: base + PART + length - 1]
         if len(part) < length:
             break
-        eight = _windows8(np.frombuffer(part, np.uint8))
-        h = mix(eight[:-8] * np.uint64(0x9FB21C651E98DF25) ^ mix(eight[8:]))[: len(part) - gram + 1]
+        h = _gram_hashes(np.frombuffer(part, np.uint8), gram)
         # Ties go to the first place: low bits hold the position.
         keyed = (h & ~np.uint64(0xFFFFFF)) | np.arange(len(h), dtype=np.uint64)
         place = (_least_in(keyed, length - gram + 1) & np.uint64(0xFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.diff(place, prepend=-1))
         last = np.append(first[1:], len(place)) - 1
-        out.append((h[place[first]], first + base, last + base))
+        # Minima crowd near 0: hashed again, they spread over buckets and bitmaps.
+        out.append((mix(h[place[first]] ^ np.uint64(0xD6E8FEB86659FD93)), first + base, last + base))
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -122,6 +147,18 @@ def described(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "row_id long, doc_id long, n_bytes long, same long, sha256 string")
 
 
+def _slices(texts: list[bytes]):
+    """(from, to) of consecutive texts with about HELD bytes together."""
+    begin, size = 0, 0
+    for i, raw in enumerate(texts):
+        size += len(raw)
+        if size >= HELD:
+            yield begin, i + 1
+            begin, size = i + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
 
@@ -176,33 +213,46 @@ def _segments(docs: DataFrame, known: np.ndarray, buckets: int, length: int) ->
 
     def send(batches):
         for row, texts, batch in _rows(batches):
-            hashes, owners, sizes, data = [], [], [], []
-            for i, (doc_id, raw) in enumerate(zip(batch.column("doc_id").to_pylist(), texts)):
-                if len(raw) < length:
-                    continue
-                h, first, last = anchors(raw, length)
-                hit = np.flatnonzero(in_bitmap(held.value, h))
-                if not len(hit):
-                    continue
-                hashes.append(h[hit])
-                owner = np.empty((len(hit), 3), np.int64)
-                owner[:, 0] = np.iinfo(np.int64).max if doc_id is None else doc_id
-                owner[:, 1], owner[:, 2] = row + i, first[hit]
-                owners.append(owner)
-                sizes.append(last[hit] - first[hit] + length)
-                data += [raw[a: b + length] for a, b in zip(first[hit].tolist(), last[hit].tolist())]
-            if not hashes:
+            doc_ids = [np.iinfo(np.int64).max if d is None else d for d in batch.column("doc_id").to_pylist()]
+            # Of equal texts of a batch the first stands for all: the others
+            # are removed whole.
+            first: dict[bytes, int] = {}
+            for i, raw in enumerate(texts):
+                if len(raw) >= length:
+                    at = first.setdefault(raw, i)
+                    if doc_ids[i] < doc_ids[at]:
+                        first[raw] = i
+            sent = set(first.values())
+            for begin, end in _slices(texts):
+                yield from sliced(row, texts, doc_ids, [i for i in range(begin, end) if i in sent])
+
+    def sliced(row, texts, doc_ids, here):
+        hashes, owners, sizes, data = [], [], [], []
+        for i in here:
+            raw = texts[i]
+            h, first, last = anchors(raw, length)
+            hit = np.flatnonzero(in_bitmap(held.value, h))
+            if not len(hit):
                 continue
-            hashes, owners, sizes = np.concatenate(hashes), np.concatenate(owners), np.concatenate(sizes)
-            bucket = _bucket(hashes, buckets)
-            order = np.argsort(bucket, kind="stable")
-            bucket = bucket[order]
-            at = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
-            rows = [(int(bucket[a]), hashes[order[a:b]].tobytes(), owners[order[a:b]].tobytes(),
-                     sizes[order[a:b]].astype("<u4").tobytes(), b"".join(data[k] for k in order[a:b]))
-                    for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32())
-                                              for i, c in enumerate(zip(*rows))], names=names)
+            hashes.append(h[hit])
+            owner = np.empty((len(hit), 3), np.int64)
+            owner[:, 0] = doc_ids[i]
+            owner[:, 1], owner[:, 2] = row + i, first[hit]
+            owners.append(owner)
+            sizes.append(last[hit] - first[hit] + length)
+            data += [raw[a: b + length] for a, b in zip(first[hit].tolist(), last[hit].tolist())]
+        if not hashes:
+            return
+        hashes, owners, sizes = np.concatenate(hashes), np.concatenate(owners), np.concatenate(sizes)
+        bucket = _bucket(hashes, buckets)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        at = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
+        rows = [(int(bucket[a]), hashes[order[a:b]].tobytes(), owners[order[a:b]].tobytes(),
+                 sizes[order[a:b]].astype("<u4").tobytes(), b"".join(data[k] for k in order[a:b]))
+                for a, b in zip(at[:-1], at[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i else pa.int32())
+                                          for i, c in enumerate(zip(*rows))], names=names)
 
     return docs.mapInArrow(send, "bucket int, hashes binary, owners binary, sizes binary, data binary")
 
@@ -299,6 +349,59 @@ def _index_chunk(chunk: list[tuple[bytes, list[Owner]]], length: int):
             yield first[1], first[2] + a, first[2] + b - 1 + length
 
 
+def _gram(data: bytes, length: int, gram: int = GRAM) -> bytes:
+    """The anchor of a segment's first string."""
+    at = int(np.argmin(_gram_hashes(np.frombuffer(data[:length], np.uint8), gram) & ~np.uint64(0xFFFFFF)))
+    return data[at: at + gram]
+
+
+def _halved(group: list[tuple[bytes, int, Owner]], low: int, high: int, length: int, found: list):
+    """Distinct segments (data, place of the anchor, first owner) of one anchor,
+    as small groups of (data, [owner]) that hold all strings with the anchor at
+    places low .. high - 1.  What equal pieces lose goes to ``found``."""
+    if high - low == 1 or sum(len(data) for data, _, _ in group) <= CHUNK:
+        yield [(data, [owner]) for data, _, owner in group]
+        return
+    middle = (low + high) // 2
+    for least, beyond in ((low, middle), (middle, high)):
+        cores: dict[bytes, dict[tuple[bytes, int], Owner]] = {}
+        for data, place, (doc, row, start) in group:
+            a, b = max(0, place - beyond + 1), min(len(data) - length, place - least)
+            if a > b:
+                continue
+            piece, owner = (data[a: b + length], place - a), (doc, row, start + a)
+            same = cores.setdefault(data[place - least: place - beyond + 1 + length], {})
+            first = same.get(piece)
+            if first is not None:
+                first, late = min(first, owner), max(first, owner)
+                found.append((late[1], late[2], late[2] + len(piece[0])))
+                owner = first
+            same[piece] = owner
+        while cores:
+            _, same = cores.popitem()
+            if len(same) > 1:
+                yield from _halved([(*piece, owner) for piece, owner in same.items()], least, beyond, length, found)
+
+
+def _small_groups(owners: dict[bytes, list[Owner]], length: int, found: list):
+    """The distinct segments of an anchor in groups that can be indexed."""
+    if sum(map(len, owners)) <= CHUNK:
+        yield list(owners.items())
+        return
+    gram = _gram(next(iter(owners)), length)
+    group, other = [], []
+    for data, all_owners in owners.items():
+        # The first occurrence in the first string; another gram with the
+        # same 64-bit hash is left as it is.
+        place = data.find(gram, 0, length)
+        if place < 0:
+            other.append((data, all_owners))
+        else:
+            group.append((data, place, min(all_owners)))
+    yield from _halved(group, 0, length - GRAM + 1, length, found)
+    yield other
+
+
 def _index(parts: list[tuple[int, bytes, Owner]], length: int):
     """(row, from, to) of what all segments (in order of anchors) mark."""
     chunk: list[tuple[bytes, list[Owner]]] = []
@@ -311,12 +414,18 @@ def _index(parts: list[tuple[int, bytes, Owner]], length: int):
             if len(all_owners) > 1:
                 first = min(all_owners)
                 yield from ((o[1], o[2], o[2] + len(data)) for o in all_owners if o != first)
-        if len(owners) > 1:
-            chunk += owners.items()
-            size += sum(map(len, owners))
+        if len(owners) < 2:
+            continue
+        found: list[tuple[int, int, int]] = []
+        for small in _small_groups(owners, length, found):
+            chunk += small
+            size += sum(len(data) for data, _ in small)
             if size >= CHUNK:
                 yield from _index_chunk(chunk, length)
                 chunk, size = [], 0
+            yield from found
+            found.clear()
+        yield from found
     if chunk:
         yield from _index_chunk(chunk, length)
 
@@ -374,7 +483,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Da
     rows = rows.join(firsts, ["same", "n_bytes"])
     hashes = stored(repeated_anchors(plain, buckets, length), "anchors")
     known = bitmap(hashes, BITMAP_BITS)
-    spans = stored(marked(_segments(plain, known, FINER * buckets, length), buckets, length), "spans")
+    finer = FINER * buckets
+    spans = stored(marked(_segments(plain, known, finer, length), finer, length), "spans")
     return rows, spans.groupBy("row_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 

@@ -306,3 +306,31 @@ def test_pipeline_stages(spark, docs):
         assert stage(spark, rows.where("false"), SF_SMALL).count() == 0
     kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, rows, SF_SMALL).collect()}
     assert 1 in kept and not kept & {2, 3}
+
+
+def test_suffix_dedup_splits_large_groups(monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    passage = bytes(rng.choices(range(97, 123), k=260))
+    texts = [bytes(rng.choices(range(97, 100), k=rng.randrange(0, 150))) + passage[rng.randrange(3) * 9:]
+             + bytes(rng.choices(range(97, 100), k=rng.randrange(0, 150))) for _ in range(60)]
+    texts += [b"ab" * 300, b"xy" + b"ab" * 200, texts[0]]
+    for chunk, part in ((1 << 18, 1 << 20), (400, 1 << 20), (400, 64)):
+        monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+        monkeypatch.setattr(suffix_dedup, "PART", part)
+        parts = []
+        for i, raw in enumerate(texts):
+            for h, a, b in zip(*(x.tolist() for x in suffix_dedup.anchors(raw))):
+                parts.append((h, raw[a: b + 100], (i, i, a)))
+        parts.sort(key=lambda p: p[0])
+        lost = [bytearray(len(t)) for t in texts]
+        for row, a, b in suffix_dedup._index(parts, 100):
+            lost[row][a:b] = b"\1" * (b - a)
+        seen, want = set(), [bytearray(len(t)) for t in texts]
+        for i, raw in enumerate(texts):
+            for a in range(len(raw) - 99):
+                if raw[a: a + 100] in seen:
+                    want[i][a: a + 100] = b"\1" * 100
+                seen.add(raw[a: a + 100])
+        assert lost == want
