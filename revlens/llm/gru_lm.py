@@ -12,12 +12,12 @@ where one more kind stands for all words unseen in training.
 classes have a softmax of their own over their HEAD / CLASSES members.  All
 parameters together are a few hundred kilobytes whatever the corpus.
 
-*Training.*  Every training text takes part: one of SKIP of its windows of
-STEPS words, at an offset that depends on its id and the round, is trained on,
-carrying the state from the window before it.  Each of ROUNDS rounds takes the
-training texts of one hash class; every task starts from the common weights,
-and the tasks' weights are averaged by the words that they saw, in two steps
-on the executors.
+*Training.*  Every window of STEPS words of every training text is trained on.
+A task reads its texts in LANES lanes; a lane takes one text after another, and
+the state is carried from window to window of a text and starts at zero with
+the next.  Each of ROUNDS rounds takes the training texts of one hash class;
+every task starts from the common weights, and the tasks' weights are averaged
+by the words that they saw, in two steps on the executors.
 
 *Scoring.*  A task scores all its texts in lock step, longest first; the state
 is carried across windows, so a score is the log10 probability of the complete
@@ -41,14 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.common import stored, summed_vectors
-from revlens.llm.text import SPACED, hashed_words, mix, utf8
+from revlens.llm.text import SPACED, hashed_words, utf8
 
 HEAD = 1024
 CLASSES = 32
 TAILS = 32
 HIDDEN = 12
 STEPS = 32
-SKIP = 6
 ROUNDS = 3
 RATE = 0.1
 LANES = 256
@@ -224,6 +223,12 @@ def gradient(net: Network, flat: np.ndarray, ids: np.ndarray, slot: np.ndarray,
              used: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Gradient of the mean negative log probability of one window; ids, slot,
     tail, used: steps x lanes (inputs, targets, which targets count)."""
+    return gradient_and_state(net, flat, ids, slot, tail, used, h)[0]
+
+
+def gradient_and_state(net: Network, flat: np.ndarray, ids: np.ndarray, slot: np.ndarray, tail: np.ndarray,
+                       used: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``gradient``, and the state after the window."""
     p, g = net.views(flat), np.zeros(net.size, np.float32)
     d = net.views(g)
     k, n = HIDDEN, max(1, int(used.sum()))
@@ -247,6 +252,7 @@ def gradient(net: Network, flat: np.ndarray, ids: np.ndarray, slot: np.ndarray,
         back[rows] += inside @ p["m"][c].T
     back = back.reshape(states.shape)
     carry = np.zeros_like(h)
+    inputs = np.empty((*ids.shape, 3 * k), np.float32)
     for t in range(len(ids) - 1, -1, -1):
         before, z, reset, new, rn = kept[t]
         dh = back[t] + carry
@@ -255,10 +261,14 @@ def gradient(net: Network, flat: np.ndarray, ids: np.ndarray, slot: np.ndarray,
         dreset = dnew * rn * reset * (1 - reset)
         dx = np.concatenate([dz, dreset, dnew], axis=1)
         dr = np.concatenate([dz, dreset, dnew * reset], axis=1)
-        np.add.at(d["x"], ids[t], dx)
+        inputs[t] = dx
         d["u"] += before.T @ dr
         carry = dh * z + dr @ p["u"].T
-    return g
+    order = np.argsort(ids, axis=None, kind="stable")
+    words = ids.ravel()[order]
+    heads = np.flatnonzero(np.diff(words, prepend=-1))
+    d["x"][words[heads]] = np.add.reduceat(inputs.reshape(-1, 3 * k)[order], heads, axis=0)
+    return g, states[-1]
 
 
 class Coded:
@@ -282,7 +292,43 @@ def _window(coded: Coded, first: np.ndarray, lengths: np.ndarray, t0: int, steps
     return ids, place, real
 
 
-def train_round(docs: DataFrame, vocab, net: Network, flat: np.ndarray, round_no: int) -> np.ndarray | None:
+def lane_windows(lengths: np.ndarray, lanes: int):
+    """Text and first word of each lane's next window, until all windows of all
+    texts have been taken; longest texts first, so that lanes
+    are full for as long as they can be."""
+    queue = np.argsort(-lengths, kind="stable")
+    who, queue = queue[:lanes], queue[lanes:]
+    begin = np.zeros(len(who), np.int64)
+    while len(who):
+        yield who, begin
+        begin = begin + STEPS
+        done = np.flatnonzero(begin >= lengths[who])
+        new = queue[: len(done)]
+        queue = queue[len(done):]
+        who = who.copy()
+        who[done[: len(new)]], begin[done] = new, 0
+        who, begin = np.delete(who, done[len(new):]), np.delete(begin, done[len(new):])
+
+
+def train_texts(vocab: Vocabulary, net: Network, weights: np.ndarray, squares: np.ndarray, texts: list[bytes]) -> int:
+    """Train ``weights`` in place on all windows of the texts; words seen."""
+    coded = Coded(vocab, texts)
+    lengths = np.diff(coded.at)
+    state = np.zeros((len(texts), HIDDEN), np.float32)
+    seen = 0
+    for who, begin in lane_windows(lengths, LANES):
+        t = begin + np.arange(STEPS)[:, None]
+        real = t < lengths[who]
+        place = np.where(real, coded.at[who] + t, 0)
+        inputs = np.where(real & (t > 0), coded.input[np.maximum(place - 1, 0)], coded.start)
+        g, state[who] = gradient_and_state(net, weights, inputs, coded.slot[place], coded.tail[place], real, state[who])
+        squares += g * g
+        weights -= RATE * g / np.sqrt(squares)
+        seen += int(real.sum())
+    return seen
+
+
+def train_round(docs: DataFrame, vocab, net: Network, flat: np.ndarray) -> np.ndarray | None:
     """Average of the weights that the tasks reach, by words seen."""
     held = docs.sparkSession.sparkContext.broadcast((vocab, flat))
 
@@ -291,31 +337,7 @@ def train_round(docs: DataFrame, vocab, net: Network, flat: np.ndarray, round_no
         weights, squares = weights.copy(), np.full(net.size, 1e-4, np.float32)
         seen = 0
         for batch in batches:
-            texts = utf8(batch.column("text"))
-            coded = Coded(voc, texts)
-            ids = np.array([x or 0 for x in batch.column("doc_id").to_pylist()], np.int64)
-            lengths = np.diff(coded.at)
-            windows = -(-lengths // STEPS)
-            offset = (mix(ids.view(np.uint64) + np.uint64(round_no)) % np.uint64(SKIP)).astype(np.int64) % windows
-            owner = np.repeat(np.arange(len(texts)), -(-(windows - offset) // SKIP))
-            turn = np.concatenate([np.arange(n) for n in -(-(windows - offset) // SKIP)]) if len(owner) else owner
-            begin = (offset[owner] + turn * SKIP) * STEPS
-            for a in range(0, len(owner), LANES):
-                who, b = owner[a: a + LANES], begin[a: a + LANES]
-                h = np.zeros((len(who), HIDDEN), np.float32)
-                # The window before gives the state; texts begin from zero.
-                warm, _, real = _window(coded, coded.at[who] + np.maximum(b - STEPS, 0),
-                                        np.where(b > 0, STEPS, 0), 0, STEPS)
-                states, _ = _steps(net.views(weights), warm, h)
-                h = np.where((b > 0)[:, None], states[-1], 0)
-                t = b + np.arange(STEPS)[:, None]
-                real = t < lengths[who]
-                place = np.where(real, coded.at[who] + t, 0)
-                inputs = np.where(real & (t > 0), coded.input[np.maximum(place - 1, 0)], coded.start)
-                g = gradient(net, weights, inputs, coded.slot[place], coded.tail[place], real, h)
-                squares += g * g
-                weights -= RATE * g / np.sqrt(squares)
-                seen += int(real.sum())
+            seen += train_texts(voc, net, weights, squares, utf8(batch.column("text")))
         if seen:
             vector = np.concatenate([weights.astype(np.float64) * seen, [seen]])
             yield pa.RecordBatch.from_arrays([
@@ -334,7 +356,7 @@ def train(docs: DataFrame, vocab: Vocabulary) -> tuple[Network, np.ndarray]:
     flat = net.start(vocab)
     for i in range(ROUNDS):
         part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == i)
-        reached = train_round(part, vocab, net, flat, i)
+        reached = train_round(part, vocab, net, flat)
         flat = flat if reached is None else reached
     return net, flat
 

@@ -334,3 +334,26 @@ def test_suffix_dedup_splits_large_groups(monkeypatch):
                     want[i][a: a + 100] = b"\1" * 100
                 seen.add(raw[a: a + 100])
         assert lost == want
+
+
+def test_language_model_trains_on_all_windows(monkeypatch):
+    texts = [" ".join(f"w{(i * j) % 50}" for i in range(n)).encode() for j, n in enumerate((700, 0, 5, 64, 31, 200), 1)]
+    tokens, at = gru_lm._tokens(texts)
+    words, counts = np.unique(tokens, return_counts=True)
+    vocab = gru_lm.Vocabulary(words, counts, np.ones(gru_lm.TAILS), np.ones(gru_lm.TAILS), len(tokens), len(words))
+    net = gru_lm.Network(vocab)
+    monkeypatch.setattr(gru_lm, "LANES", 2)
+    taken, plain = [], gru_lm.gradient_and_state
+
+    def watched(net, flat, ids, slot, tail, used, h):
+        out = plain(net, flat, ids, slot, tail, used, h)
+        taken.append((int(used.sum()), h.copy(), out[1].copy()))
+        return out
+
+    monkeypatch.setattr(gru_lm, "gradient_and_state", watched)
+    weights, squares = net.start(vocab), np.full(net.size, 1e-4, np.float32)
+    assert gru_lm.train_texts(vocab, net, weights, squares, texts) == len(tokens) == sum(n for n, _, _ in taken)
+    # The first lane takes the longest text: its state goes on from window to window.
+    assert all((b[1][0] == a[2][0]).all() for a, b in zip(taken[:21], taken[1:22])) and not taken[0][1].any()
+    windows = [(int(t), int(b)) for who, begin in gru_lm.lane_windows(np.diff(at), 2) for t, b in zip(who, begin)]
+    assert sorted(windows) == [(t, b) for t, n in enumerate(np.diff(at)) for b in range(0, n, gru_lm.STEPS)]
