@@ -357,3 +357,19 @@ def test_language_model_trains_on_all_windows(monkeypatch):
     assert all((b[1][0] == a[2][0]).all() for a, b in zip(taken[:21], taken[1:22])) and not taken[0][1].any()
     windows = [(int(t), int(b)) for who, begin in gru_lm.lane_windows(np.diff(at), 2) for t, b in zip(who, begin)]
     assert sorted(windows) == [(t, b) for t, n in enumerate(np.diff(at)) for b in range(0, n, gru_lm.STEPS)]
+
+
+def test_licenses_over_line_breaks(spark):
+    apache, mit = license_scan.PASSAGES["Apache-2.0"][0], license_scan.PASSAGES["MIT"][0]
+    gpl, bsd = license_scan.PASSAGES["GPL-2.0"][0], license_scan.PASSAGES["BSD-3-Clause"][0]
+
+    def wrapped(text, n=9, mark="# "):
+        words = text.split()
+        return "\n".join(mark + " ".join(words[i: i + n]) for i in range(0, len(words), n))
+
+    texts = {1: f"Copyright 2020\n{wrapped(apache)}\nimport os", 2: wrapped(mit, 12, " * "), 3: f"x y\n{wrapped(gpl)} z",
+             4: wrapped(bsd, 11, "// "), 5: "under the terms of the " * 400 + "license",
+             6: wrapped(mit.replace("hereby", "now").replace("furnished", "given"), 7)}
+    found = license_scan.license_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert {r.doc_id: r.licenses for r in found.collect()} == {
+        1: ["Apache-2.0"], 2: ["MIT"], 3: ["GPL-2.0"], 4: ["BSD-3-Clause"], 5: [], 6: ["MIT"]}
