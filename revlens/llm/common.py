@@ -40,14 +40,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def repeatable(df: DataFrame) -> DataFrame:
-    """``df`` itself if it is a plain scan of files, whose partitions hold the
-    same rows in the same order in every pass; else a stored copy."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    plain = "FileScan" in plan and not any(x in plan for x in ("AdaptiveSparkPlan", "Exchange", "Join", "Map"))
-    return df if plain else stored(df, "input")
-
-
 def parallelism(spark: SparkSession, floor: int = 1) -> int:
     """The session's shuffle partition count."""
     return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.llm.common import bitmap, in_bitmap, parallelism, repeatable, stored
+from revlens.llm.common import bitmap, in_bitmap, parallelism, stored
 from revlens.llm.text import mix, utf8
 
 LENGTH = 100
@@ -125,12 +125,27 @@ def text_hash(raw: bytes) -> int:
 
 
 def _rows(batches):
-    """(first row id, texts, batch); row ids are the same in every pass."""
-    context = TaskContext.get()
-    row = (context.partitionId() if context else 0) << 33
+    """(row ids or None, texts, batch)."""
     for batch in batches:
-        yield row, utf8(batch.column("text")), batch
-        row += batch.num_rows
+        ids = batch.column("row_id").to_numpy() if "row_id" in batch.schema.names else None
+        yield ids, utf8(batch.column("text")), batch
+
+
+def numbered(plain: DataFrame) -> DataFrame:
+    """A written copy of the rows with the column row_id.  All passes read it,
+    so the numbers stay, however the input is split or a task is repeated."""
+    names = [*plain.columns, "row_id"]
+
+    def number(batches):
+        context = TaskContext.get()
+        row = (context.partitionId() if context else 0) << 33
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.arange(row, row + batch.num_rows))], names=names)
+            row += batch.num_rows
+
+    with_row = T.StructType([*plain.schema.fields, T.StructField("row_id", T.LongType())])
+    return stored(plain.mapInArrow(number, with_row), "input")
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -140,7 +155,7 @@ def described(docs: DataFrame) -> DataFrame:
     def run(batches):
         for row, texts, batch in _rows(batches):
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(row, row + len(texts))), batch.column("doc_id").cast(pa.int64()),
+                pa.array(row), batch.column("doc_id").cast(pa.int64()),
                 pa.array([len(t) for t in texts], pa.int64()), pa.array([text_hash(t) for t in texts], pa.int64()),
                 pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())], names=names)
 
@@ -237,7 +252,7 @@ def _segments(docs: DataFrame, known: np.ndarray, buckets: int, length: int) ->
             hashes.append(h[hit])
             owner = np.empty((len(hit), 3), np.int64)
             owner[:, 0] = doc_ids[i]
-            owner[:, 1], owner[:, 2] = row + i, first[hit]
+            owner[:, 1], owner[:, 2] = row[i], first[hit]
             owners.append(owner)
             sizes.append(last[hit] - first[hit] + length)
             data += [raw[a: b + length] for a, b in zip(first[hit].tolist(), last[hit].tolist())]
@@ -472,9 +487,9 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """Rows (described) with ``first_row``, the first row with the same text,
-    and for first rows the spans of bytes to remove: row_id, spans.  Row ids
-    need an input that is repeatable."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    and for first rows the spans of bytes to remove: row_id, spans.  ``docs``:
+    written rows with row_id, doc_id and text."""
+    plain = docs.select("row_id", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = parallelism(docs.sparkSession)
     rows = stored(described(plain), "texts")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
@@ -493,27 +508,15 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     row_id, n_bytes, n_removed, n_spans, kept_sha256.  A text that is left
     with a broken character (a cut inside it) has U+FFFD there; kept_sha256 is
     of the exact bytes."""
-    docs = repeatable(docs)
-    rows, spans = repeated_spans(docs, length)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text, doc_id = (names[docs.columns.index(c)] for c in ("text", "doc_id"))
+    copy = numbered(docs.toDF(*names))
+    rows, spans = repeated_spans(copy.select("row_id", F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), length)
     first = rows.where("row_id = first_row").select("row_id")
     # Rows that lose bytes: first rows with spans; other rows lose everything.
     work = stored(spans.join(first, "row_id", "left_semi").select("row_id", "spans").union(
         rows.where((F.col("row_id") != F.col("first_row")) & (F.col("n_bytes") >= length)).select(
             "row_id", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop"))))), "work")
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    text = names[docs.columns.index("text")]
-
-    def number(batches):
-        context = TaskContext.get()
-        row = (context.partitionId() if context else 0) << 33
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.arange(row, row + batch.num_rows))], names=[*names, "row_id"])
-            row += batch.num_rows
-
-    with_row = T.StructType([*plain.schema.fields, T.StructField("row_id", T.LongType())])
-    numbered = plain.mapInArrow(number, with_row)
 
     def cut(batches):
         for batch in batches:
@@ -534,7 +537,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "row_id", *new])
 
     new = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    schema = T.StructType([*with_row.fields, *(
+    schema = T.StructType([*copy.schema.fields, *(
         T.StructField(n, T.StringType() if n == "kept_sha256" else T.LongType()) for n in new)])
-    out = numbered.join(work, "row_id", "left").mapInArrow(cut, schema)
+    out = copy.join(work, "row_id", "left").mapInArrow(cut, schema)
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)), "row_id", *new)

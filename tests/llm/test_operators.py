@@ -373,3 +373,26 @@ def test_licenses_over_line_breaks(spark):
     found = license_scan.license_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
     assert {r.doc_id: r.licenses for r in found.collect()} == {
         1: ["Apache-2.0"], 2: ["MIT"], 3: ["GPL-2.0"], 4: ["BSD-3-Clause"], 5: [], 6: ["MIT"]}
+
+
+def test_suffix_dedup_reads_row_ids_from_one_copy(spark, tmp_path):
+    rows = [(i, f"text {i} " + " ".join(f"{i}x{j}" for j in range(60)) + (PASSAGE * 2 if i % 3 == 0 else ""))
+            for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(str(tmp_path / "in"))
+    plain, calls = suffix_dedup.repeated_anchors, []
+
+    def splits_change(*args):
+        # Another split of the input from here on, as when an executor is lost.
+        calls.append(spark.conf.set("spark.sql.files.maxPartitionBytes", "2k"))
+        return plain(*args)
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffix_dedup, "repeated_anchors", splits_change)
+        try:
+            docs = spark.read.parquet(str(tmp_path / "in"))
+            got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup(docs).collect()]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert calls and sorted(got) == [(i, *x[1:]) for i, x in zip(range(30), sorted(
+        (0 if r[0] == -1 else r[0], *r[1:]) for r in brute_dedup(rows)))]
