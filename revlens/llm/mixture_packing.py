@@ -17,10 +17,11 @@ corpus's mixture and all queues end together.  With other weights, a queue
 that runs dry leaves its share to the rest.  No token is lost or repeated.
 
 Queues: the OWN_QUEUES sources with most tokens have one each, all others
-share HASHED_QUEUES by hash, so the schedule is bounded whatever the number of
-sources.  A NULL source counts as ''.  A document's tokens are its text's ids
+share HASHED_QUEUES by hash.  The sources of a shared queue are merged by the
+same due order over their own lengths, so every source has its share of every
+window.  The driver and the tasks hold one number per source.  A NULL source counts as ''.  A document's tokens are its text's ids
 (none for a NULL or empty text) and one end id; repeated rows are packed one
-by one.  Order within a queue: source, input partition, row.
+by one.  Order within a source: input partition, row.
 
 The text is read and encoded once; the ids are written to the shared folder
 with each row's place in its (partition, source) run.  Only the lengths of
@@ -130,6 +131,11 @@ class Schedule:
                 heapq.heappush(heap, (sign * due[0], sign * due[1], q, x + step))
         return out
 
+    def before(self, window: int, q: int) -> int:
+        """Tokens of the window that stand before those of queue q."""
+        now, after = self.served(window), self.served(window + 1)
+        return sum(after[t] - now[t] for t in range(q))
+
     def window_of(self, q: int, x: int) -> int:
         """The window that holds token x of queue q."""
         share = self.total * x // max(1, self.lengths[q])
@@ -160,12 +166,30 @@ class Schedule:
             now, after = self.served(window), self.served(window + 1)
             stop = min(end, after[q])
             if stop > x:
-                offset = sum(after[t] - now[t] for t in range(q)) + x - now[q]
+                offset = self.before(window, q) + x - now[q]
                 yield x - start, stop - x, window, offset
                 x = stop
             window += 1
 
 
+class Shared(Schedule):
+    """The sources that share one queue of ``outer``, merged in due order."""
+
+    def __init__(self, outer: Schedule, queue: int, lengths: list[int]):
+        super().__init__(lengths, capacity=outer.capacity)
+        self.outer, self.queue, self.total = outer, queue, outer.total
+
+    def served(self, window: int) -> list[int]:
+        if window not in self._known:
+            if len(self._known) > 256:
+                self._known.clear()
+            self._known[window] = self._solve(self.outer.served(window)[self.queue])
+        return self._known[window]
+
+    def before(self, window: int, q: int) -> int:
+        return self.outer.before(window, self.queue) + super().before(window, q)
+
+
 def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID,
          targets: dict[str, int] | None = None) -> DataFrame:
     """One row per piece (PIECE_SCHEMA); ``ids`` are little-endian unsigned
@@ -182,27 +206,35 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
     own = F.create_map(*[x for i, s in enumerate(largest) for x in (F.lit(s), F.lit(i))]) if largest else None
     shared = F.lit(len(largest)) + bucket_of(F.col("source"), HASHED_QUEUES)
     queue = F.coalesce(F.try_element_at(own, F.col("source")), shared) if largest else shared
-    runs = runs.withColumn("queue", queue.cast("int"))
-    # At most OWN_QUEUES + HASHED_QUEUES rows.
+    # One row per source.
     lengths = [0] * (len(largest) + HASHED_QUEUES)
-    for r in runs.groupBy("queue").agg(F.sum("tokens").alias("tokens")).collect():
-        lengths[r["queue"]] = r["tokens"]
+    members: dict[int, dict[str, int]] = {}
+    for r in by_source.withColumn("queue", queue.cast("int")).orderBy("queue", "source").collect():
+        lengths[r["queue"]] += r["tokens"]
+        if r["queue"] >= len(largest):
+            members.setdefault(r["queue"], {})[r["source"]] = r["tokens"]
+    held = docs.sparkSession.sparkContext.broadcast(members)
     weights = None if targets is None else [*(targets[s] for s in largest), *[0] * HASHED_QUEUES]
     # One row per input partition and source.
-    before = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("source", "part", "queue", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("source", "part", queue.cast("int").alias("queue"),
+                       F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
     placed = tokens.join(runs, ["source", "part"]).select(
         "doc_id", "source", "queue", (F.col("base") + F.col("run_start")).alias("start"), "n_tokens", "ids")
     names = [c.split()[0] for c in PIECE_SCHEMA.split(", ")]
 
     def cut(batches):
         schedule = Schedule(lengths, weights, capacity)
+        shared = {q: (Shared(schedule, q, list(m.values())), {s: i for i, s in enumerate(m)})
+                  for q, m in held.value.items()}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # bounds what a batch can grow to
                 rows = []
                 for r in batch.slice(at, 256).to_pylist():
                     ids = np.frombuffer(r["ids"], "<u2").astype("<u4")
-                    for start, n, window, offset in schedule.cut(r["queue"], r["start"], len(ids)):
+                    mine, place = shared.get(r["queue"], (schedule, {}))
+                    at_queue = place.get(r["source"], r["queue"])
+                    for start, n, window, offset in mine.cut(at_queue, r["start"], len(ids)):
                         rows.append((r["doc_id"], r["source"], start, n, ids[start: start + n].tobytes(),
                                      len(ids), window, offset))
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3]

@@ -396,3 +396,18 @@ def test_suffix_dedup_reads_row_ids_from_one_copy(spark, tmp_path):
             spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert calls and sorted(got) == [(i, *x[1:]) for i, x in zip(range(30), sorted(
         (0 if r[0] == -1 else r[0], *r[1:]) for r in brute_dedup(rows)))]
+
+
+def test_mixture_packing_many_sources(spark):
+    docs = spark.createDataFrame([(i, " ".join(["word"] * 40), f"s{i % 200}") for i in range(600)],
+                                 "doc_id long, text string, source string").repartition(4)
+    rows = mixture_packing.pack(docs, VOCABULARY, capacity=2000).collect()
+    total = sum({r.doc_id: r.doc_tokens for r in rows}.values())
+    assert sum(r.length for r in rows) == total and len({r.doc_id for r in rows}) == 600
+    used = sorted((r.sequence_id * 2000 + r.offset, r.length) for r in rows)
+    assert all(a + n == b for (a, n), (b, _) in zip(used, used[1:])) and used[0][0] == 0
+    share = {}
+    for r in rows:
+        share[r.sequence_id, r.source] = share.get((r.sequence_id, r.source), 0) + r.length
+    # 10 tokens of each of 200 sources in every full window.
+    assert all(7 <= share.get((w, f"s{s}"), 0) <= 13 for w in range(total // 2000) for s in range(200))
