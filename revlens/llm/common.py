@@ -52,6 +52,25 @@ def bucket_of(key: Column, buckets: int, salt: str = "") -> Column:
     return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
 
 
+#: A key that holds one in HOT of the rows is looked up by broadcast.
+HOT = 1000
+
+
+def looked_up(rows: DataFrame, found: DataFrame, key: list[str], total: int | None = None) -> DataFrame:
+    """Inner join of ``rows`` with ``found``, which has one row per key and in
+    ``refs`` the number of rows with it.  Keys that hold a thousandth of all
+    rows are broadcast (there are at most 1,000, whatever the input), so the
+    shuffled rest has no hot key.  Both inputs are read twice: give stored
+    ones."""
+    total = rows.count() if total is None else total
+    frequent = F.col("refs") * HOT >= total
+    hot = found.where(frequent)
+    if hot.isEmpty():
+        return rows.join(found, key)
+    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(found.where(~frequent), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 

@@ -70,5 +70,19 @@ SELECT doc_id, leaf, sub.d AS subroot, root.d AS root, sha256(proof) AS proof_sh
 FROM leaf JOIN sub ON sub.tree = coalesce('=' || leaf.source, '')
 JOIN (SELECT * FROM climb QUALIFY h = max(h) OVER (PARTITION BY tree, r)) c ON c.tree = sub.tree AND c.r = leaf.r,
      (SELECT d FROM top WHERE n = 1) AS root
+""",
+    "op13_doubling_dedup": r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)),
+own AS (SELECT s, min(doc_id) AS o FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN own USING (s) WHERE doc_id > o),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM doc),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
 """,
 }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from revlens.llm import (
     bfd_packing,
     compression_bands,
+    doubling_dedup,
     gru_lm,
     license_scan,
     merkle_manifest,
@@ -111,3 +112,9 @@ def op11_merkle_manifest(spark, sf_dir):
     proof = F.sha2(F.array_join(merkle_manifest.siblings(F.col("path")), ""), 256)
     return rows.select(F.col("ordered").alias("doc_id"), "leaf", "subroot", "root", proof.alias("proof_sha256"),
                        "folded_root", "verified")
+
+
+@register
+def op13_doubling_dedup(spark, sf_dir):
+    cut = doubling_dedup.dedup(table(spark, sf_dir, "documents"), follow=False)
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
