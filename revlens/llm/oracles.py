@@ -84,5 +84,34 @@ kept AS (
 SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
+""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, r, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[A-Za-zÀ-ÿ]+')) AS r FROM documents) WHERE length(r) >= 6 GROUP BY doc_id, r),
+hashed AS (
+  SELECT r, k, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(
+      string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r, ''), lambda c: CASE WHEN unicode(c) < 128
+      THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) AS h FROM run),
+word AS (
+  SELECT w, CAST(sum(k) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS w, k FROM hashed)
+  WHERE length(w) >= 6 GROUP BY w HAVING sum(k) >= 5),
+cut AS (SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS d
+        FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM word)),
+pair AS (
+  SELECT a.w AS w, b.w AS v, b.n AS m FROM cut a JOIN cut b ON a.i = b.i AND a.d = b.d AND a.w <> b.w
+  UNION SELECT c.w, s.w, s.n FROM cut c JOIN word s ON c.d = s.w
+  UNION SELECT s.w, c.w, c.n FROM cut c JOIN word s ON c.d = s.w),
+best AS (SELECT w, count(*) AS n_near, first(v ORDER BY m DESC, v) AS v, max(m) AS m FROM pair GROUP BY w),
+found AS (
+  SELECT word.w, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN v END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM word LEFT JOIN best ON best.w = word.w),
+chain AS (SELECT w, w AS root, form FROM found
+          UNION ALL SELECT c.w, f.w, f.form FROM chain c JOIN found f ON f.w = c.form)
+SELECT found.w AS word, found.form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM found JOIN chain ON chain.w = found.w AND chain.form IS NULL
 """,
 }

@@ -23,6 +23,7 @@ from revlens.llm import (
     part_enum,
     prefix_decontam,
     rff_quality,
+    spelling_variants,
     suffix_dedup,
     virtual_slots,
 )
@@ -118,3 +119,9 @@ def op11_merkle_manifest(spark, sf_dir):
 def op13_doubling_dedup(spark, sf_dir):
     cut = doubling_dedup.dedup(table(spark, sf_dir, "documents"), follow=False)
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@register
+def op12_spelling_variants(spark, sf_dir):
+    runs = spelling_variants.runs_of(table(spark, sf_dir, "documents")).where(F.length("word") >= 6)
+    return spelling_variants.variants(spelling_variants.vocabulary(spelling_variants.with_deletions(runs)))
