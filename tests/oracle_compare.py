@@ -63,7 +63,9 @@ def compare(spark_df, sql: str, con) -> dict:
     }
     res["rows_match"] = len(s) == len(d)
     if res["columns_match"]:
-        ks = {c: str(s[c].dtype).lower() for c in s.columns}
+        # pandas holds integers with NULLs as floats: the Spark type decides.
+        whole = {f.name for f in spark_df.schema if f.dataType.typeName() in ("byte", "short", "integer", "long")}
+        ks = {c: "int64" if c in whole and str(s[c].dtype) == "float64" else str(s[c].dtype).lower() for c in s.columns}
         kd = {c: str(d[c].dtype).lower() for c in d.columns}
         res["kinds"] = {c: (ks[c], kd[c]) for c in ks
                         if ks[c] != kd[c] and not (_kind(ks[c]) == _kind(kd[c]) == "other")}
