@@ -9,24 +9,22 @@ distributed methods are offered here.
     The merge task of a group sees each distinct value once.  Right for
     small value domains (ratings, years, vote counts, prices).
 
-``bracket``    (default) Approximate, then exact, selection in three passes:
-
-    1. per group a fixed-size ``percentile_approx`` sketch (rank error at
-       most N/accuracy) proposes, for every target rank, brackets of
-       increasing width around it;
-    2. one pass of exact conditional counts per group tells, for each
-       bracket, how many values lie below it and up to its top, so the
-       narrowest bracket that provably contains the target ranks is chosen
-       (the widest is [min, max], so a choice always exists, whatever the
-       sketch returned);
-    3. only the values inside the chosen brackets are ranked: ties are
-       first counted per distinct value (partial aggregation, so a value
-       held by a third of all rows is one row per map task), then a running
-       count over the distinct values of each (group, target) finds the
-       values at the two ranks.  That window holds at most the distinct
-       values of about 4 * N / accuracy rows instead of N rows.
-
-    The result is exact; the sketch only decides how small step 3 is.
+``count``      (default) Selection by counting, four passes over the values:
+
+    1. values are counted in buckets of equal ratio (32 per factor of two);
+       running sums of the counts give, for every wanted rank, the bucket
+       that holds it, the bucket's least and greatest value, and the rank
+       inside the bucket;
+    2. and 3. only values inside those buckets are counted again, each time
+       in 262,144 equal parts of the bucket's own range;
+    4. what is left is counted by value.
+
+    A task sorts buckets, never values: the buckets of one range are at most
+    262,144 whatever the input, and after three passes a part spans at most
+    some 4,096 neighbouring doubles, so the last pass is bounded too.  The
+    bucket of a value is a monotone function of it, hence the result is
+    exact for any distribution.  Counting is a partial aggregation, so a
+    value held by a third of all rows is one row per map task.
     Quantiles interpolate linearly between ranks floor(h) and ceil(h) with
     h = p * (N - 1), as pandas and SQL ``quantile_cont``.
 """
@@ -38,9 +36,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 10000
-# Bracket half-widths, in units of the sketch's rank error 1/accuracy.
-WIDENINGS = (2, 16, 128)
+#: Buckets per factor of two in the first pass.
+RATIO_BUCKETS = 32
+#: Equal parts that a range is cut into by a later pass.
+PARTS = 1 << 18
 
 
 def frequency_table(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -74,110 +73,86 @@ def _join(df: DataFrame, other: DataFrame, group_cols: Sequence[str], few_groups
     return df.select("*", *[s.getField(c).alias(c) for c in other.columns])
 
 
-def _bracket_quantiles(df, value_col, probs, group_cols, out_col, accuracy, few_groups,
-                       discrete=False, keep_empty_groups=False):
-    g = list(group_cols)
-    m = len(probs)
-    eps = 1.0 / accuracy
-    widths = [min(1.0, w * eps) for w in WIDENINGS]
-    # Sketch probabilities: p - w and p + w for every target and width.
-    sketch_ps = sorted({min(1.0, max(0.0, p + s * w)) for p in probs for w in widths for s in (-1, 1)})
-    pos = {q: i for i, q in enumerate(sketch_ps)}
-
-    vals = df.select(*g, F.col(value_col).cast("double").alias("_v"))
-    # Pass 1: non-NULL count, min, max and the sketch per group.
-    sk = _agg(vals, g, F.count("_v").alias("_n"), F.min("_v").alias("_min"),
-              F.max("_v").alias("_max"),
-              F.percentile_approx("_v", sketch_ps, accuracy).alias("_a"))
-    # Target position h (0-based): interpolated between floor(h) and ceil(h);
-    # the discrete quantile is the value at ceil(p * N) - 1, as
-    # ``percentile_disc`` (the smallest value whose cumulative share >= p).
-    if discrete:
-        h = [F.greatest(F.ceil(F.col("_n").cast("double") * F.lit(p)) - 1, F.lit(0)).cast("double")
-             for p in probs]
-    else:
-        h = [(F.col("_n") - 1).cast("double") * F.lit(p) for p in probs]
-    bounds = [sk[c] for c in g] + [F.col("_n")] + [h[i].alias(f"_h{i}") for i in range(m)]
-    for i, p in enumerate(probs):
-        for j, w in enumerate(widths):
-            lo = F.get(F.col("_a"), pos[min(1.0, max(0.0, p - w))])
-            hi = F.get(F.col("_a"), pos[min(1.0, max(0.0, p + w))])
-            bounds += [lo.alias(f"_lo{i}_{j}"), hi.alias(f"_hi{i}_{j}")]
-    sk = sk.select(*bounds, "_min", "_max")
-
-    # Pass 2: exact counts below each bracket and up to its top.
-    rows = _join(vals.where(F.col("_v").isNotNull()), sk, g, few_groups)
+def _ratio_bucket(v: Column) -> Column:
+    """A whole number that never falls as ``v`` rises; within a bucket values
+    differ by a factor of at most 2^(1/32).  NaN is the greatest value."""
+    # Doubles lie between 2^-1074 and 2^1024; infinities get a bucket of their own.
+    size = F.floor(F.least(F.log2(F.abs(v)) + 1076, F.lit(2150.0)) * RATIO_BUCKETS)
+    return F.when(F.isnan(v), F.lit(1 << 20)).when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("long")
+
+
+def _part(v: Column, lo: Column, hi: Column, parts: int) -> Column:
+    """Which of ``parts`` equal parts of [lo, hi] holds ``v``."""
+    share = F.floor((v - lo) / (hi - lo) * parts)
+    return F.when(lo == hi, F.lit(0)).otherwise(F.least(share, F.lit(parts - 1))).cast("long")
+
+
+def _holding(counts: DataFrame, keys: Sequence[str], by: str, targets: Column, g: Sequence[str]) -> DataFrame:
+    """The rows of ``counts`` (n, lo, hi per bucket ``by``) that hold one of the
+    ``targets``, an array of (i, k, h) per row: i, h, the rank k within the
+    bucket, and the bucket's lo and hi."""
+    w = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    summed = counts.withColumn("_cum", F.sum("_n").over(w)).withColumn("_targets", targets)
+    before = F.col("_cum") - F.col("_n")
+    inside = F.filter("_targets", lambda t: (t["k"] >= before) & (t["k"] < F.col("_cum")))
+    return summed.withColumn("_t", F.explode(inside)).select(
+        *g, "_lo", "_hi", F.col("_t.i").alias("_i"), (F.col("_t.k") - before).alias("_k"), F.col("_t.h").alias("_h"))
+
+
+def _narrowed(vals: DataFrame, state: DataFrame, g: Sequence[str], few_groups: bool, parts: int | None) -> DataFrame:
+    """One more pass: each target's range is cut into ``parts`` (None: into its
+    values) and replaced by the part that holds the target."""
+    small = few_groups or not g
+    ranges = _agg(state, g, F.collect_set(F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))).alias("_ranges"))
     v = F.col("_v")
-    counts = []
-    for i in range(m):
-        for j in range(len(widths)):
-            counts += [F.count_if(v < F.col(f"_lo{i}_{j}")).alias(f"_b{i}_{j}"),
-                       F.count_if(v <= F.col(f"_hi{i}_{j}")).alias(f"_u{i}_{j}")]
-    # Only the counts are aggregated; the bracket bounds come back from the
-    # one-row-per-group sketch table.
-    cnt = _join(_agg(rows, g, *counts), sk, g, few_groups)
-    chosen = [F.col(c) for c in g] + [F.col("_n")]
-    for i in range(m):
-        k_lo = F.floor(F.col(f"_h{i}")).cast("long")
-        k_hi = F.ceil(F.col(f"_h{i}")).cast("long")
-        pick = F.struct(F.col("_min").alias("lo"), F.col("_max").alias("hi"),
-                        F.lit(0).cast("long").alias("below"))
-        for j in reversed(range(len(widths))):
-            ok = (F.col(f"_b{i}_{j}") <= k_lo) & (F.col(f"_u{i}_{j}") > k_hi)
-            pick = F.when(ok, F.struct(F.col(f"_lo{i}_{j}").alias("lo"), F.col(f"_hi{i}_{j}").alias("hi"),
-                                       F.col(f"_b{i}_{j}").alias("below"))).otherwise(pick)
-        chosen += [pick.alias(f"_c{i}"), F.col(f"_h{i}")]
-    br = cnt.select(*chosen)
-
-    # Pass 3: rank only the values inside the chosen brackets.  Ties are
-    # compressed first (partial aggregation per map task), so a value
-    # repeated in a third of all rows is one row here; the running count of
-    # the distinct values, plus the count below the bracket, gives the rank
-    # range [prev, cum) each value covers.
-    tagged = _join(vals.where(F.col("_v").isNotNull()), br, g, few_groups)
-    inside = F.filter(F.array(*[
-        F.when((v >= F.col(f"_c{i}.lo")) & (v <= F.col(f"_c{i}.hi")),
-               F.struct(F.lit(i).alias("i"), F.col(f"_c{i}.below").alias("below"),
-                        F.col(f"_h{i}").alias("h")))
-        for i in range(m)]), lambda x: x.isNotNull())
-    ex = (tagged.select(*g, "_v", F.explode(inside).alias("t"))
-          .groupBy(*g, F.col("t.i").alias("_i"), "_v")
-          .agg(F.count(F.lit(1)).alias("_k"), F.max("t.below").alias("_below"),
-               F.max("t.h").alias("_hh")))
-    w = Window.partitionBy(*g, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ex.withColumn("_cum", F.col("_below") + F.sum("_k").over(w))
-    prev = F.col("_cum") - F.col("_k")
-    k_lo = F.floor(F.col("_hh")).cast("long")
-    k_hi = F.ceil(F.col("_hh")).cast("long")
-    has_lo = (prev <= k_lo) & (k_lo < F.col("_cum"))
-    has_hi = (prev <= k_hi) & (k_hi < F.col("_cum"))
-    picked = ranked.where(has_lo | has_hi).select(
-        *g, "_i", "_v", "_hh", has_lo.alias("_is_lo"), has_hi.alias("_is_hi"))
-    ends = []
-    for i in range(m):
-        here = F.col("_i") == i
-        ends += [F.max(F.when(here & F.col("_is_lo"), F.col("_v"))).alias(f"_vlo{i}"),
-                 F.max(F.when(here & F.col("_is_hi"), F.col("_v"))).alias(f"_vhi{i}"),
-                 F.max(F.when(here, F.col("_hh"))).alias(f"_h{i}")]
+    # Ranges of a group are disjoint: a value lies in at most one.
+    mine = F.get(F.filter("_ranges", lambda r: (v >= r["lo"]) & (v <= r["hi"])), F.lit(0))
+    rows = _join(vals, ranges, g, few_groups).withColumn("_r", mine).where(F.col("_r").isNotNull())
+    rows = rows.select(*g, "_v", F.col("_r.lo").alias("_l"), F.col("_r.hi").alias("_u"))
+    part = v if parts is None else _part(v, F.col("_l"), F.col("_u"), parts)
+    counts = rows.groupBy(*g, "_l", "_u", part.alias("_b")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    wanted = state.groupBy(*g, F.col("_lo").alias("_l"), F.col("_hi").alias("_u")).agg(F.collect_list(
+        F.struct(F.col("_i").alias("i"), F.col("_k").alias("k"), F.col("_h").alias("h"))).alias("_wanted"))
+    # At most two targets per probability and group.
+    met = counts.join(F.broadcast(wanted) if small else wanted, [*g, "_l", "_u"])
+    return _holding(met, [*g, "_l", "_u"], "_b", F.col("_wanted"), g)
+
+
+def _count_quantiles(df, value_col, probs, group_cols, out_col, few_groups, discrete, keep_empty_groups, parts):
+    g, m = list(group_cols), len(probs)
+    every = df.select(*g, F.col(value_col).cast("double").alias("_v"))
+    vals = every.where(F.col("_v").isNotNull())
+    counts = vals.groupBy(*g, _ratio_bucket(F.col("_v")).alias("_b")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    counts = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(*g)))
+    total = F.col("_total").cast("double")
+    # Position h (0-based): interpolated between floor(h) and ceil(h); the
+    # discrete quantile is the value at ceil(p * N) - 1, as percentile_disc.
+    places = [F.greatest(F.ceil(total * F.lit(p)) - 1, F.lit(0)).cast("double") if discrete else (total - 1) * F.lit(p)
+              for p in probs]
+    targets = F.array(*(F.struct(F.lit(2 * i + up).alias("i"), (F.ceil(h) if up else F.floor(h)).cast("long").alias("k"),
+                                 h.alias("h")) for i, h in enumerate(places) for up in (0, 1)))
+    state = _holding(counts, g, "_b", targets, g)
+    for cut in (parts, parts, None):
+        state = _narrowed(vals, state, g, few_groups, cut)
+    ends = [F.max(F.when(F.col("_i") == j, F.col("_lo"))).alias(f"_v{j}") for j in range(2 * m)]
+    ends += [F.max(F.when(F.col("_i") == 2 * i, F.col("_h") - F.floor("_h"))).alias(f"_f{i}") for i in range(m)]
+    found = _agg(state, g, *ends)
     if g and keep_empty_groups:
-        # One placeholder row per group (from the sketch table) keeps groups
-        # whose values are all NULL, with NULL quantiles.  This reads only
-        # the group keys of the sketch, so it costs one more pass.
-        picked = picked.unionByName(sk.select(
-            *g, F.lit(None).cast("int").alias("_i"), F.lit(None).cast("double").alias("_v"),
-            F.lit(None).cast("double").alias("_hh"), F.lit(False).alias("_is_lo"),
-            F.lit(False).alias("_is_hi")))
-    out = _agg(picked, g, *ends)
-    qs = [F.col(f"_vlo{i}") + (F.col(f"_h{i}") - F.floor(F.col(f"_h{i}")))
-          * (F.col(f"_vhi{i}") - F.col(f"_vlo{i}")) for i in range(m)]
-    return out.select(*g, F.array(*qs).alias(out_col))
+        # Groups whose values are all NULL stay, with NULL quantiles.
+        found = every.select(*g).distinct().join(found, g, "left")
+    low, high = ([F.col(f"_v{2 * i + up}") for i in range(m)] for up in (0, 1))
+    # Equal ends are taken as they are: infinities have no difference.
+    qs = [F.when(a == b, a).otherwise(a + F.col(f"_f{i}") * (b - a)) for i, (a, b) in enumerate(zip(low, high))]
+    return found.select(*g, F.array(*qs).alias(out_col))
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), out_col: str = "qs",
-                    method: str = "bracket", accuracy: int = DEFAULT_ACCURACY,
-                    known_groups: Sequence | None = None, discrete: bool = False,
-                    keep_empty_groups: bool = False) -> DataFrame:
+                    method: str = "count", known_groups: Sequence | None = None,
+                    discrete: bool = False, keep_empty_groups: bool = False,
+                    parts: int = PARTS) -> DataFrame:
     """Quantiles per group as an array: interpolated (``quantile_cont``), or
     with ``discrete`` an actual value of the column (``percentile_disc``).
 
@@ -187,21 +162,23 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     and are broadcast instead of shuffling rows by a few-valued key.
     Groups whose values are all NULL are left out unless
     ``keep_empty_groups`` (then they get NULL quantiles).  Without groups
-    the result is always one row."""
+    the result is always one row.  NULL values are left out; NaN counts as
+    the greatest value, as in Spark's order.  ``parts`` only sets how much
+    each pass narrows."""
     if method == "frequency" and not discrete:
         return _frequency_quantiles(df, value_col, probs, list(group_cols), out_col)
-    if method in ("bracket", "frequency"):
+    if method in ("count", "frequency"):
         if known_groups is not None:
             (group,) = group_cols
             df = df.where(F.col(group).isin(list(known_groups)))
-        return _bracket_quantiles(df, value_col, list(probs), list(group_cols), out_col,
-                                  accuracy, known_groups is not None, discrete, keep_empty_groups)
+        return _count_quantiles(df, value_col, list(probs), group_cols, out_col, known_groups is not None,
+                                discrete, keep_empty_groups, parts)
     raise ValueError(f"unknown method {method!r}")
 
 
 def exact_lower_median(df: DataFrame, col: str) -> DataFrame:
     """One row ``median``: the discrete median (``percentile_disc(0.5)``),
     an actual value of the column and the exact counterpart of
-    ``percentile_approx(col, 0.5)``, by bracketed selection."""
+    ``percentile_approx(col, 0.5)``, by counting selection."""
     q = exact_quantiles(df, col, [0.5], discrete=True)
     return q.select(F.get(F.col("qs"), 0).alias("median"))
