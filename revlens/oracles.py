@@ -23,13 +23,16 @@ products AS (
     CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN '' ELSE p_name END AS title,
     CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 19 = 0 THEN '[['''']]'
          WHEN p_partkey % 29 = 0 THEN '[[''Caf\xe9'', None, True]]' WHEN p_partkey % 31 = 0 THEN '[[''cut off'
+         WHEN p_partkey % 37 = 0 THEN '[(u''Gift'' '' Sets'', ''x''),]'
          ELSE concat('[[''', p_type, ''', ''', p_brand, ''']]') END AS categories,
     CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 23 = 0 THEN '{}'
          WHEN p_partkey % 29 = 0 THEN '{''Th\xe9'': 7, ''None'': None}' WHEN p_partkey % 31 = 0 THEN '{''Tea'' 7}'
+         WHEN p_partkey % 37 = 0 THEN '{u''Gifts'': 12L,}' WHEN p_partkey % 41 = 0 THEN '{''Tools'': 1.5}'
          ELSE concat('{''', p_brand, ''': ', p_size, '}') END AS salesRank,
     CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 4 = 0 THEN '{''also_viewed'': []}'
          WHEN p_partkey % 29 = 0 THEN '{''bought_together'': None, ''also_viewed'': [''0000000002'']}'
          WHEN p_partkey % 31 = 0 THEN '{''also_viewed'': ['
+         WHEN p_partkey % 37 = 0 THEN '{u''also_viewed'': (''0000000003'', ''0000000004''),}'
          ELSE concat('{''also_viewed'': [''', lpad(CAST((p_partkey * 7 + 13) % 2100 AS VARCHAR), 10, '0'),
               ''', ''', lpad(CAST((p_partkey * 11 + 5) % 2100 AS VARCHAR), 10, '0'),
               '''], ''bought_together'': [''', lpad(CAST((p_partkey + 1) % 2100 AS VARCHAR), 10, '0'),
@@ -39,8 +42,12 @@ products AS (
 
 def _json(col: str) -> str:
     """A fixture literal as JSON text, NULL where it is none.  Bare words
-    follow a separator here and names hold none of them."""
-    text = f"""regexp_replace(replace({col}, '''', '"'), '\\\\x([0-9a-f]{{2}})', '\\\\u00\\1', 'g')"""
+    follow a separator here, and names hold none of them, no parentheses and no
+    ``u`` after a separator."""
+    text = f"""regexp_replace({col}, '([\\[({{{{ ])u''', '\\1''', 'g')"""
+    text = f"replace(translate(regexp_replace({text}, '(\\d)L', '\\1', 'g'), '()', '[]'), ''' ''', '')"
+    text = f"replace(replace({text}, ',]', ']'), ',}}', '}}')"
+    text = f"""regexp_replace(replace({text}, '''', '"'), '\\\\x([0-9a-f]{{2}})', '\\\\u00\\1', 'g')"""
     text = f"replace(replace(replace({text}, ' None', ' null'), ' True', ' true'), ' False', ' false')"
     return f"CASE WHEN json_valid({text}) THEN {text} END"
 
@@ -54,7 +61,7 @@ product_parsed AS (
   SELECT asin, price, title,
     json_extract_string(c, '$[0][0]') AS first_cat,
     json_keys(s)[1] AS bestSalesCategory,
-    CASE WHEN len(json_keys(s)) > 0 THEN CAST(regexp_extract(s, ': (-?\d+)', 1) AS BIGINT) END AS bestSalesRank,
+    CASE WHEN len(json_keys(s)) > 0 THEN CAST(regexp_extract(s, ': (-?[\d.]+)', 1) AS DOUBLE) END AS bestSalesRank,
     CAST(json_extract(r, '$.also_viewed') AS VARCHAR[]) AS also_viewed
   FROM product_json)"""
 
@@ -171,7 +178,7 @@ _FLAT = "WITH " + PRODUCT_FLAT_CTE + r""",
 f AS (SELECT asin, NULLIF(first_cat, '') AS category, bestSalesCategory, bestSalesRank FROM product_parsed)
 """
 ORACLES["product_flat"] = _FLAT + (
-    "SELECT asin, category, bestSalesCategory, CAST(bestSalesRank AS DOUBLE) AS bestSalesRank FROM f")
+    "SELECT asin, category, bestSalesCategory, bestSalesRank FROM f")
 ORACLES["product_flat_stats"] = _FLAT + r"""
 SELECT count(asin) AS count_total,
   round_even(avg(bestSalesRank), 6) AS mean_bestSalesRank,

@@ -54,18 +54,22 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .when(k % 19 == 0, F.lit("[['']]"))
                   .when(k % 29 == 0, F.lit("[['Caf\\xe9', None, True]]"))
                   .when(k % 31 == 0, F.lit("[['cut off"))
+                  .when(k % 37 == 0, F.lit("[(u'Gift' ' Sets', 'x'),]"))
                   .otherwise(F.concat(F.lit("[['"), F.col("p_type"), F.lit("', '"),
                                       F.col("p_brand"), F.lit("']]"))))
     sales_rank = (F.when(k % 5 == 0, null_s)
                   .when(k % 23 == 0, F.lit("{}"))
                   .when(k % 29 == 0, F.lit("{'Th\\xe9': 7, 'None': None}"))
                   .when(k % 31 == 0, F.lit("{'Tea' 7}"))
+                  .when(k % 37 == 0, F.lit("{u'Gifts': 12L,}"))
+                  .when(k % 41 == 0, F.lit("{'Tools': 1.5}"))
                   .otherwise(F.concat(F.lit("{'"), F.col("p_brand"), F.lit("': "),
                                       F.col("p_size").cast("string"), F.lit("}"))))
     related = (F.when(k % 3 == 0, null_s)
                .when(k % 4 == 0, F.lit("{'also_viewed': []}"))
                .when(k % 29 == 0, F.lit("{'bought_together': None, 'also_viewed': ['0000000002']}"))
                .when(k % 31 == 0, F.lit("{'also_viewed': ["))
+               .when(k % 37 == 0, F.lit("{u'also_viewed': ('0000000003', '0000000004'),}"))
                .otherwise(F.concat(
                    F.lit("{'also_viewed': ["), _id_text((k * 7 + 13) % 2100), F.lit(", "),
                    _id_text((k * 11 + 5) % 2100), F.lit("], 'bought_together': ["),

@@ -1,9 +1,9 @@
 """Text catalog -> typed catalog (nested fields as arrays and maps).
 
 One narrow projection: ``categories`` becomes ``array<array<string>>``,
-``salesRank`` a ``map<string,bigint>`` in text order and ``related`` a
-``map<string,array<string>>``.  Python-literal quoting (single quotes,
-mixed quotes, ``\\'``, ``\\xNN``, None) parses; anything else gives NULL, and
+``salesRank`` a ``map<string,double>`` in text order and ``related`` a
+``map<string,array<string>>``.  Python literals parse
+(``functions.parse.literal_to_json``); anything else gives NULL, and
 ``parse_failures`` counts those rows instead of failing the job.
 """
 

@@ -44,6 +44,34 @@ def test_python_literals(spark):
     assert len(row.c[0]) == 20_001 and row.c[0][-1] is None and row.c[0][0] == "id None"
 
 
+def test_literals_as_python_reads_them(spark):
+    import ast
+    import random
+    texts = ["[[u'a']]", "[('a','b')]", "[['a' 'b']]", "[['a',],]", "(('a', 'b'),)", "[[('a')], ()]", "[[]]", "[ [ ] , ['x'] ]",
+             "[[u'caf\\xe9', r'a\\b', 'q\\q', '\\/', '\\a\\v\\0']]", "[['''tri'p\nle''', \"\"\"d\"q\"\"\"]]",
+             "[['a\\\nb', 'tab\\t', 'new\\n']]", "[['true', 'null', 'None', '@', '(', \"it's\"]]", "[['é中', '\\u00e9']]"]
+    rnd = random.Random(4)
+    alphabet = "ab'\"\\\n\t ,:[](){}u0é中None"
+    for _ in range(150):
+        value = [["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(9))) for _ in range(rnd.randrange(4))]
+                 for _ in range(rnd.randrange(3))]
+        texts.append(repr(value) if rnd.random() < 0.6 else repr(tuple(map(tuple, value))))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, c string")
+    got = {r.i: r.p for r in df.select("i", P.parse_categories("c").alias("p")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == [list(x) for x in ast.literal_eval(t)], t
+
+
+def test_numbers_and_garbage(spark):
+    ranks = {"{'A': 1.5}": {"A": 1.5}, "{'A': 12L}": {"A": 12}, "{u'A': 3, 'B': None,}": {"A": 3, "B": None}, "{1: 0x1F}": {"1": 31},
+             "{'A': .5, 'B': +5., 'C': -1e2}": {"A": 0.5, "B": 5, "C": -100}, "{}": {}, "{'A' 2}": None, "{'A': 2": None, "{'A': 2} x": None}
+    df = spark.createDataFrame([(t,) for t in ranks], "c string")
+    assert {r.c: r.p for r in df.select("c", P.parse_sales_rank("c").alias("p")).collect()} == ranks
+    garbage = ["[['cut", "[,]", "[[1 2]]", "[['a' 1]]", "[[true]]", "[[a]]", "[['a']] x", "[['a'\\n]]", "", " ", "[['a',,]]", "{'a': 1}"]
+    df = spark.createDataFrame([(t,) for t in garbage + ["[['a']]", None]], "categories string")
+    assert parse_failures(df).first()[0] == len(garbage)
+
+
 def test_sales_rank_first_entry_in_text_order(spark):
     df = spark.createDataFrame([("{}",), ("{'Z': 3, 'A': 1}",), (None,)], "s string")
     rows = df.select(P.first_key(P.parse_sales_rank("s")).alias("k"),
