@@ -37,7 +37,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def freed(*frames: DataFrame) -> None:
+    """Delete stored tables that no later step reads."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def parallelism(spark: SparkSession, floor: int = 1) -> int:
