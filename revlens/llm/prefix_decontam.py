@@ -22,7 +22,8 @@ that it has measured.
 Words: ASCII letters (lower-cased), digits and non-ASCII characters.  NULL or
 empty texts have no words and no hits.  Repeated document rows each get their
 own result row; equal windows of several items count for each item; items
-without words never match.
+without words never match.  An item with a NULL id hits words like any other,
+but has no id to list or to count.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHIN
                 pa.array(columns[0], pa.string()), pa.array(columns[1], pa.list_(pa.string())),
                 pa.array(columns[2], pa.list_(pa.int64()))], names=["item_id", "words", "hashes"])
 
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id IS NOT NULL")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     return items.mapInArrow(run, WINDOW_SCHEMA)
 
 
@@ -136,7 +137,7 @@ def matches(found: DataFrame, windows: DataFrame) -> DataFrame:
             .where((begin >= 0) & (begin + n <= F.size("words")))
             .where(F.slice("words", F.greatest(begin, F.lit(0)) + 1, n) == F.col("window"))
             .select("row_id", (F.col("start") + begin).alias("start"), n.alias("length"),
-                    F.explode("items").alias("item_id")))
+                    F.explode_outer("items").alias("item_id")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:

@@ -108,6 +108,15 @@ def test_decontamination(docs, items, none):
     assert prefix_decontam.decontaminate(docs, items.where("false")).where("n_hit > 0").count() == 0
 
 
+def test_items_without_id_still_hit(docs, items):
+    named = items.where("item_id = 1")
+    nameless = named.selectExpr("CAST(NULL AS LONG) AS item_id", "text")
+    want = {(r.doc_id, r.n_words): (r.n_hit, r.spans) for r in prefix_decontam.decontaminate(docs, named).collect()}
+    rows = prefix_decontam.decontaminate(docs, nameless).collect()
+    assert {(r.doc_id, r.n_words): (r.n_hit, r.spans) for r in rows} == want
+    assert any(r.n_hit for r in rows) and all(r["items"] == [] for r in rows)
+
+
 def test_decontamination_oracle(spark):
     key = "op3_prefix_decontam"
     r = compare(QUERIES[key](spark, SF_SMALL), ORACLES[key], duck(SF_SMALL))
@@ -298,16 +307,33 @@ def test_schedule_keeps_proportions(lengths, capacity):
 
 
 def test_pipeline_stages(spark, docs):
-    rows = docs.drop("row_id", "node")
+    rows = docs
+    for name in ("copy", "most", "bad_id", "n_bytes", "n_removed", "same", "spans", "c0", "_row", "component_id", "items"):
+        rows = rows.withColumn(name, F.concat(F.lit(name), F.col("row_id")))
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, rows, SF_SMALL)
         if name != "packing":
             assert out.columns == rows.columns
+            back = {r.row_id: r for r in rows.collect()}
+            for r in out.collect():
+                assert all(r[c] == back[r.row_id][c] for c in out.columns if c not in ("text", "n_chars"))
         assert stage(spark, rows.where("false"), SF_SMALL).count() == 0
     kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, rows, SF_SMALL).collect()}
     assert 1 in kept and not kept & {2, 3}
 
 
+def test_pipeline_judges_rows_not_ids(spark):
+    passage = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    texts = [(None, "clean words of a row without id"), (None, passage), (5, passage), (5, "other clean words of id five"),
+             (6, BASE), (6, BASE), (6, "a different text with the same id"), (None, BASE + " x")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = corpus_pipeline.benchmark(spark, rows, SF_SMALL).collect()
+    assert sorted(r.text for r in kept) == sorted(t for _, t in texts if t != passage)
+    kept = corpus_pipeline.near_copies(spark, rows.where(F.col("text") != passage), SF_SMALL).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([
+        ("None", texts[0][1]), ("5", texts[3][1]), ("6", BASE), ("6", texts[6][1])])
+
+
 def test_suffix_dedup_splits_large_groups(monkeypatch):
     import random
 
