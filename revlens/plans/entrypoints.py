@@ -2,10 +2,9 @@
 
 The original jobs take CSV paths (a review dump; a review dump and a
 product catalog) and write one JSON document each.  These functions do the
-same on Spark: CSV read with only the needed columns, optional landing as
-Parquet (a multi-line CSV file is read by one task; the Parquet copy
-splits), the report plan, and a single small JSON file.  They return the
-one-row report DataFrame.
+same on Spark: a split CSV read with only the needed columns, optional landing
+as Parquet (the records are then found once for all answers), the report plan,
+and a single small JSON file.  They return the one-row report DataFrame.
 """
 
 from __future__ import annotations

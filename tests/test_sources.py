@@ -71,3 +71,45 @@ def test_result_dict(spark):
         {"count_total": 3, "mean": 1.5}
     with pytest.raises(ValueError):
         result_dict(spark.range(2))
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_split_csv_equals_whole_read(spark):
+    import random
+    rnd = random.Random(2)
+    d = tempfile.mkdtemp(prefix="revlens-csv-")
+    for k, newline in enumerate(("\n", "\r\n", "\n")):
+        rows = [["id", "note", "other text"]]
+        for i in range(400):
+            note = "".join(rnd.choice(["a", "é", ",", '""', "\n", " ", "NA", "x" * 30]) for _ in range(rnd.randrange(12)))
+            rows.append([f"{k}-{i}", f'"{note}"' if note else "", rnd.choice(["", "plain", '"q,""uoted"" "', '"\n\n"'])])
+        with open(os.path.join(d, f"{k}.csv"), "w", newline="") as f:
+            f.write(newline.join(",".join(r) for r in rows) + ("" if k == 2 else newline))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        split, whole = CSV.read_text_csv(spark, d), CSV.read_whole_csv(spark, d)
+        assert spark.read.text(d).rdd.getNumPartitions() > 12 and whole.rdd.getNumPartitions() <= 3
+        assert split.columns == whole.columns == ["id", "note", "other text"]
+        assert _rows(split) == _rows(whole) and split.count() == 1200
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_bad_records_are_counted_and_kept(spark):
+    p = _write('asin,price,title\nB1,12.5,t\nB2,abc,u\nB3,NaN,\nB4,1.0\nB5,2.0,x,y\n\nB6,,z\n')
+    got = CSV.csv_problems(spark, p, CSV.PRODUCT_SCHEMA).first().asDict()
+    assert got == {"records": 6, "malformed": 2, "price_bad": 1}
+    rows = {r.asin: (r.price, r.title) for r in CSV.read_products_csv(spark, p).collect()}
+    assert rows["B4"] == (1.0, None) and rows["B5"][0] == 2.0 and len(rows) == 6
+
+
+def test_stray_quote_does_not_swallow_the_file(spark):
+    p = _write('asin,price,title\nB1,12.5,5" screen\nB2,3.5,u\nB3,1.0,v\n')
+    rows = CSV.read_products_csv(spark, p).collect()
+    assert sorted((r.asin, r.price) for r in rows) == [("B1", 12.5), ("B2", 3.5), ("B3", 1.0)]
