@@ -11,9 +11,10 @@ Scale notes
   aggregation), so the join pairs one row per product on each side.
 * Q2.3 explodes also-viewed lists and joins each neighbour id with its
   price.  A neighbour named in a third of all lists makes that join key
-  hot; AQE's skew-join split (enabled in the session) cuts the hot
-  partition into map-block ranges that each read the one price row, and
-  the per-product mean then aggregates partially before its shuffle.
+  hot: a sketch finds such ids, and only their rows are salted
+  (``operators.joins.salted_join``), whether or not adaptive execution is
+  on.  Prices are summed per id first, so each id is one row; the
+  per-product mean aggregates partially before its shuffle.
 * Q2.4 needs two global constants (mean and median price).  They are
   scalar subqueries: Spark runs each once and inlines the value, so no
   join or broadcast is written.  The exact median is found by bracketed
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions import parse as P
+from revlens.operators.joins import salted_join
 from revlens.operators.profile import round_doubles
 from revlens.operators.quantiles import exact_lower_median
 
@@ -123,10 +125,10 @@ def also_viewed(product: DataFrame) -> DataFrame:
     countAlsoViewed (list length, NULL when missing or empty)."""
     lists = product.select("asin", P.map_field("related", "also_viewed").alias("av"))
     neighbours = lists.select("asin", F.explode("av").alias("nb"))
-    prices = product.where(F.col("price").isNotNull()).select(
-        F.col("asin").alias("nb"), "price")
-    mean_price = (neighbours.join(prices, "nb")
-                  .groupBy("asin").agg(F.avg("price").alias("meanPriceAlsoViewed")))
+    prices = product.where(F.col("price").isNotNull()).groupBy(F.col("asin").alias("nb")).agg(
+        F.sum("price").alias("price"), F.count("price").alias("n"))
+    mean_price = (salted_join(neighbours, prices, "nb").groupBy("asin")
+                  .agg((F.sum("price") / F.sum("n")).alias("meanPriceAlsoViewed")))
     return (lists.select("asin", P.size_or_null("av").alias("countAlsoViewed"))
             .join(mean_price, "asin", "left")
             .select("asin", "meanPriceAlsoViewed", "countAlsoViewed"))
