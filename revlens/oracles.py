@@ -270,6 +270,32 @@ UNION ALL
 SELECT CAST((SELECT count(*) FROM lv) AS INTEGER) AS position,
   round_even(count(*) FILTER (WHERE category IS NULL) / count(*), 6) AS mean FROM pp"""
 
+# Principal components of the one-hot vectors: shares that several levels have,
+# and one bisected root between each two neighbouring distinct shares.
+_PCA = _CATS.replace("WITH pp", "WITH RECURSIVE pp") + r""",
+share AS (SELECT cnt / (SELECT count(*) FROM pp) AS p, count(*) AS m FROM lv GROUP BY cnt),
+gap AS (SELECT p AS hi, lead(p) OVER (ORDER BY p DESC) AS lo FROM share),
+cut AS (
+  SELECT hi AS top, lo, hi, 0 AS step FROM gap WHERE lo IS NOT NULL
+  UNION ALL
+  SELECT top, CASE WHEN sum(m * p * p / (p - (lo + hi) / 2)) < 1 THEN (lo + hi) / 2 ELSE lo END,
+         CASE WHEN sum(m * p * p / (p - (lo + hi) / 2)) < 1 THEN hi ELSE (lo + hi) / 2 END, step + 1
+  FROM cut, share WHERE step < 44 GROUP BY top, lo, hi, step),
+component AS (
+  SELECT (lo + hi) / 2 AS x, 1 / sqrt(sum(m * p * p / pow(p - (lo + hi) / 2, 2))) AS mean FROM cut, share
+  WHERE step = 44 GROUP BY lo, hi
+  UNION ALL SELECT p, 0.0 FROM (SELECT p, unnest(range(1, m)) FROM share)
+  UNION ALL SELECT 0.0, 1 / sqrt((SELECT count(*) FROM lv))),
+placed AS (SELECT CAST(row_number() OVER (ORDER BY x DESC) - 1 AS INTEGER) AS position, round_even(mean, 6) AS mean
+           FROM component QUALIFY row_number() OVER (ORDER BY x DESC) <= 15)
+"""
+ORACLES["category_pca_mean"] = _PCA + "SELECT position, mean FROM placed"
+ORACLES["category_document"] = _PCA + r"""SELECT (SELECT count(*) FROM pp) AS count_total,
+  (SELECT list(round_even(cnt / (SELECT count(*) FROM pp), 6) ORDER BY categoryIndex) FROM idx) AS meanVector_categoryOneHot,
+  (SELECT list(mean ORDER BY position) FROM placed) AS meanVector_categoryPCA"""
+ORACLES["category_pca_norm"] = _CATS + r"""SELECT count(*) AS levels,
+  round_even(sum(pow(cnt / (SELECT count(*) FROM pp), 2)), 6) AS squared_norm FROM lv"""
+
 _ROWS = r"""rows AS (SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS row_key,
     CAST(l_linenumber AS DOUBLE) AS l_linenumber, CAST(l_quantity AS DOUBLE) AS overall FROM lineitem)"""
 
@@ -287,6 +313,12 @@ m AS (SELECT l_linenumber, avg(overall) AS p FROM tr GROUP BY l_linenumber)
 SELECT round_even(sqrt(avg(pow(te.overall - coalesce(m.p, (SELECT avg(overall) FROM tr)), 2))), 6) AS rmse
 FROM te LEFT JOIN m ON te.l_linenumber = m.l_linenumber"""
 
+ORACLES["tree_planted_rmse"] = "WITH " + _ROWS + f""",
+b AS (SELECT l_linenumber > 3 AS late, overall + CASE WHEN l_linenumber > 3 THEN 1000 ELSE 0 END AS overall,
+        {_bucket('test')} AS bucket FROM rows),
+m AS (SELECT late, avg(overall) AS p FROM b WHERE bucket >= 20 GROUP BY late)
+SELECT round_even(sqrt(avg(pow(overall - p, 2))), 6) AS test_rmse FROM b JOIN m USING (late) WHERE bucket < 20"""
+
 ORACLES["review_fields"] = "WITH " + REVIEWS_CTE + r"""
 SELECT reviewerID, asin,
   CAST(TRY_CAST(NULLIF(regexp_extract(reviewTime, '\d{4}', 0), '') AS INTEGER) AS DOUBLE) AS review_year,

@@ -233,7 +233,7 @@ def _category_onehot_mean_keep(spark, sf):
 
 @register("category_document")
 def _category_document(spark, sf):
-    return FE.category_document(FX.product_categories(spark, sf))
+    return FE.category_document(FX.product_categories(spark, sf), places=PLACES)
 
 
 @register("category_pca_mean")
@@ -241,6 +241,11 @@ def _category_pca_mean(spark, sf):
     return FE.category_pca_mean(FX.product_categories(spark, sf), places=PLACES)
 
 
+@register("category_pca_norm")
+def _category_pca_norm(spark, sf):
+    return FE.category_pca_norm(FX.product_categories(spark, sf), PLACES)
+
+
 @register("hash_split")
 def _hash_split(spark, sf):
     rows = FX.ml_rows(spark, sf).select("row_key")
@@ -258,6 +263,13 @@ def _tree_rmse(spark, sf):
     return MO.tree_rmse(*MO.train_test(FX.ml_rows(spark, sf), FX.FEATURE_COLUMNS))
 
 
+@register("tree_planted_rmse")
+def _tree_planted_rmse(spark, sf):
+    """Depth 1 on a planted step: the tree must find it, so SQL has the RMSE."""
+    train, test = MO.train_test(FX.planted_rows(spark, sf), FX.FEATURE_COLUMNS)
+    return round_doubles(MO.tree_rmse(train, test, 1), PLACES)
+
+
 @register("tree_depth_sweep")
 def _tree_depth_sweep(spark, sf):
     return MO.tree_depth_sweep(*MO.train_test(FX.ml_rows(spark, sf), FX.FEATURE_COLUMNS))

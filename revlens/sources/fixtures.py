@@ -138,3 +138,10 @@ def ml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS],
         F.col("l_quantity").cast("double").alias("overall"),
     )
+
+
+def planted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows with a label that steps by 1,000 between the third and the
+    fourth line of an order, on top of the quantity."""
+    step = F.when(F.col("l_linenumber") > 3, 1000.0).otherwise(0.0)
+    return ml_rows(spark, sf_dir).withColumn("overall", F.col("overall") + step)

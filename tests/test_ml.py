@@ -73,15 +73,55 @@ def test_nearest_words_invariants(spark):
     assert [r.word for r in sorted(by_q["the"], key=lambda r: r.rank)] == want
 
 
-def test_category_pca_explained_variance(spark):
+def _onehot(frame):
+    return np.array([r.categoryOneHot.toArray() for r in frame.select("categoryOneHot").collect()])
+
+
+@pytest.mark.parametrize("counts", [[7, 7, 7, 5, 3, 3, 1], [4, 4, 4, 4], [9, 5, 2], [3] * 6 + [8, 1, 1, 1, 2]])
+def test_onehot_components_are_the_covariance_eigenvectors(spark, counts):
+    rows = [(f"{i}-{j}", f"c{i:02d}") for i, n in enumerate(counts) for j in range(n)]
+    cats = spark.createDataFrame(rows, "asin string, category string").repartition(5)
+    levels = FE.category_levels(cats)
+    found = FE.category_components(levels, len(counts))
+    frame = FE.category_features(cats, len(counts))
+    x = _onehot(frame)
+    cov = np.cov(x, rowvar=False, bias=True)
+    table = {r["index"]: r.loadings for r in FE.category_loadings(levels, found).collect()}
+    v = np.array([table[i] for i in range(len(counts))])
+    assert np.allclose(v.T @ v, np.eye(len(counts)), atol=1e-9)
+    values = np.array([c.explained for c in found]) * np.trace(cov)
+    assert np.allclose(values, np.sort(np.linalg.eigvalsh(cov))[::-1], atol=1e-12)
+    assert np.allclose(cov @ v, v * values, atol=1e-9)
+    # Row vectors are projections; their mean is the reported mean.
+    p = np.array([r.categoryPCA.toArray() for r in frame.select("categoryPCA").collect()])
+    means = [r["mean"] for r in FE.category_pca_mean(cats, len(counts)).orderBy("position").collect()]
+    assert np.allclose(p.mean(axis=0), means) and min(means) >= 0
+
+
+def test_category_pca_agrees_with_mllib(spark):
+    from pyspark.ml.feature import PCA
     cats = FX.product_categories(spark, SF_SMALL)
-    model = FE.category_pipeline().fit(cats)
-    pca = model.stages[-1]
-    onehot = np.array([r.categoryOneHot.toArray()
-                       for r in model.transform(cats).select("categoryOneHot").collect()])
-    eig = np.sort(np.linalg.eigvalsh(np.cov(onehot, rowvar=False)))[::-1]
-    want = eig[:15] / eig.sum()
-    assert list(pca.explainedVariance.toArray()) == pytest.approx(list(want), abs=1e-6)
+    frame = FE.category_features(cats)
+    model = PCA(k=15, inputCol="categoryOneHot", outputCol="pca").fit(frame)
+    found = FE.category_components(FE.category_levels(cats), 15)
+    assert [c.explained for c in found] == pytest.approx(list(model.explainedVariance.toArray()), abs=1e-9)
+    want = np.abs(_onehot(frame).mean(axis=0) @ model.pc.toArray())
+    got = np.array([r["mean"] for r in FE.category_pca_mean(cats).orderBy("position").collect()])
+    alone = [c.tied is None for c in found]
+    assert np.allclose(got[alone], want[alone], atol=1e-9) and np.allclose(want[~np.array(alone)], 0, atol=1e-9)
+
+
+def test_index_of_a_hot_category(spark):
+    # A third of all rows in one category; without adaptive execution.
+    rows = [(str(i), "hot" if i % 3 == 0 else f"c{i % 40}") for i in range(3000)]
+    cats = spark.createDataFrame(rows, "asin string, category string")
+    count = {}
+    for _, c in rows:
+        count[c] = count.get(c, 0) + 1
+    order = sorted(count, key=lambda c: (-count[c], c))
+    got = FE.category_index(cats).collect()
+    assert len(got) == 3000 and all(order[int(r.categoryIndex)] == r.category for r in got)
+    assert FE.category_index(cats.where("false")).count() == 0
 
 
 def test_onehot_mean_is_level_share(spark):
@@ -108,28 +148,13 @@ def test_nearest_words_brute_force(spark):
     assert [r.similarity for r in got] == pytest.approx([sims[i] for i in order], abs=1e-9)
 
 
-def test_pca_mean_brute_force(spark):
-    # The mean of the projections equals the projection of the one-hot mean.
-    cats = FX.product_categories(spark, SF_SMALL)
-    model = FE.category_pipeline().fit(cats)
-    pc = model.stages[-1].pc.toArray()
-    onehot = np.array([r.categoryOneHot.toArray()
-                       for r in model.transform(cats).select("categoryOneHot").collect()])
-    want = onehot.mean(axis=0) @ pc
-    got = [r.mean for r in FE._mean_vector_rows(model.transform(cats), "categoryPCA", None)
-           .orderBy("position").collect()]
-    assert got == pytest.approx(list(want), abs=1e-9)
-
-
-def test_sweep_scoring_brute_force(spark):
-    # One-pass scoring of every depth equals per-model RMSE from predictions.
+def test_sweep_of_one_fit_equals_separate_fits(spark):
     train, test = MO.train_test(FX.ml_rows(spark, SF_SMALL), FX.FEATURE_COLUMNS)
-    models = [(d, MO.fit_tree(train, d)) for d in (3, 5)]
-    got = MO._score_all(models, test, "t").first()
-    for d, m in models:
-        rows = m.transform(test).select("overall", "prediction").collect()
-        err = np.array([r.overall - r.prediction for r in rows])
-        assert got[f"t{d}"] == pytest.approx(float(np.sqrt(np.mean(err ** 2))), rel=1e-12)
+    depths = (0, 1, 3, 5, 12)
+    model = MO.fit_tree(train, 12)
+    got = MO._score_all(model, MO.leaf_predictions(model, depths), depths, test, "t").first()
+    for d in depths:
+        assert got[f"t{d}"] == pytest.approx(MO.rmse(MO.fit_tree(train, d).transform(test)).first().rmse, rel=1e-12)
 
 
 def test_tree_finds_a_planted_signal(spark):
@@ -171,7 +196,7 @@ def test_result_documents(spark):
     sweep = spark.createDataFrame([(5, 2.0, 2.5, 0), (7, 1.0, 1.5, 1)],
                                   "depth int, valid_rmse double, test_rmse double, best int")
     assert MO.sweep_document(sweep, (5, 7)).first().asDict() == {
-        "test_rmse": 1.5, "valid_rmse_depth_5": 2.0, "valid_rmse_depth_7": 1.0}
+        "test_rmse": 2.5, "valid_rmse_depth_5": 2.0, "valid_rmse_depth_7": 1.0, "best_depth": 7, "best_depth_test_rmse": 1.5}
 
 
 def test_missing_categories_fail_unless_kept(spark):
