@@ -31,21 +31,29 @@ def null_percentage(df: DataFrame, places: int = 4, column_name: str = "column",
     * 100`` as the reference reports it (then rounded to ``places - 2``
     decimals, which only removes the binary noise of the product).  One
     pass over ``df``."""
-    cols = df.columns
+    shares = df.agg(*[F.avg(flag.cast("double")).alias(f"_{i}") for i, flag in enumerate(missing_flags(df))])
+    return shares_table(shares, df.columns, [F.col(f"_{i}") for i in range(len(df.columns))],
+                        places, column_name, value_name)
+
+
+def missing_flags(df: DataFrame) -> list[Column]:
+    """Per column whether a row's value is missing: NULL or, as in pandas, NaN."""
     fractional = {f.name for f in df.schema.fields
                   if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-
-    def missing(c: str) -> Column:
-        # NaN is missing too, as in pandas ``isna``.
+    flags = []
+    for c in df.columns:
         col = F.col(f"`{c}`")
-        return (col.isNull() | F.isnan(col)) if c in fractional else col.isNull()
+        flags.append((col.isNull() | F.isnan(col)) if c in fractional else col.isNull())
+    return flags
+
 
-    shares = df.agg(*[F.avg(missing(c).cast("double")).alias(f"_{i}")
-                      for i, c in enumerate(cols)])
-    return shares.select(_long([
+def shares_table(row: DataFrame, columns: Sequence[str], shares: Sequence[Column], places: int = 4,
+                 column_name: str = "column", value_name: str = "null_pct") -> DataFrame:
+    """One row with a share per column -> a row per column with the percentage."""
+    return row.select(_long([
         F.struct(F.lit(c).alias(column_name),
-                 F.bround(F.bround(F.col(f"_{i}"), places) * 100, places - 2).alias(value_name))
-        for i, c in enumerate(cols)]))
+                 F.bround(F.bround(share, places) * 100, places - 2).alias(value_name))
+        for c, share in zip(columns, shares)]))
 
 
 def _moment(stat: str, c: Column) -> Column:

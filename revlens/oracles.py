@@ -136,7 +136,8 @@ ORACLES["price_describe"] = "WITH " + PRODUCTS_CTE + ",\n" + _describe_sql(
 
 ORACLES["category_counts"] = "WITH " + PRODUCT_FLAT_CTE + r""",
 c AS (SELECT first_cat AS category, asin FROM product_parsed)
-SELECT category, count(asin) AS n FROM c WHERE category IS NOT NULL GROUP BY category"""
+SELECT row_number() OVER (ORDER BY n DESC, category) AS rank, category, n
+FROM (SELECT category, count(asin) AS n FROM c WHERE category IS NOT NULL GROUP BY category)"""
 
 ORACLES["dangling_reviews"] = "WITH " + REVIEWS_CTE + "," + PRODUCTS_CTE + r""",
 missing AS (
@@ -338,3 +339,40 @@ ORACLES["event_first_prop"] = r"""
 SELECT event_id, json_keys(props)[1] AS first_key,
   CAST(json_extract(props, '$."' || json_keys(props)[1] || '"') AS BIGINT) AS first_value
 FROM events"""
+
+
+# -- The two JSON documents, as text ------------------------------------------------
+
+
+def _object(rows: str, key: str, value: str, order: str) -> str:
+    """``{"key": value, ...}`` from the rows of a query."""
+    text = f"coalesce(CAST({value} AS VARCHAR), 'null')"
+    return f"""(SELECT '{{' || coalesce(string_agg('"' || {key} || '": ' || {text}, ', ' ORDER BY {order}), '') || '}}' FROM ({rows}))"""
+
+
+def _stat(stats: list[str]) -> str:
+    return "list_position([" + ", ".join(f"'{s}'" for s in stats) + "], stat)"
+
+
+def _one(query: str, column: str) -> str:
+    return f"(SELECT coalesce(CAST({column} AS VARCHAR), 'null') FROM ({query}))"
+
+
+_METRICS = "list_position([" + ", ".join(f"'{c}'" for c in PROFILE_COLUMNS) + "], metric)"
+ORACLES["reviewer_report"] = f"""
+SELECT '{{' || string_agg('"' || metric || '": ' || body, ', ' ORDER BY {_METRICS}) || '}}' AS json FROM (
+  SELECT metric, '{{' || string_agg('"' || stat || '": ' || coalesce(CAST(value AS VARCHAR), 'null'), ', '
+                                    ORDER BY {_stat(DESCRIBE_STATS)}) || '}}' AS body
+  FROM ({ORACLES["reviewer_profile_describe"]}) GROUP BY metric)"""
+
+_PARTS = {
+    "q1": "'{\"products\": ' || " + _object(ORACLES["null_pct_products"], '"column"', "null_pct", '"column"')
+          + " || ', \"reviews\": ' || " + _object(ORACLES["null_pct_reviews"], '"column"', "null_pct", '"column"') + " || '}'",
+    "q2": _one(ORACLES["price_rating_corr"].replace("corr(price, overall), 6", "corr(price, overall), 2"), "price_rating_corr + 0.0"),
+    "q3": _object(ORACLES["price_describe"], "stat", "value", _stat(["mean", "std", "50%", "min", "max"])),
+    "q4": _object(ORACLES["category_counts"], "category", "n", "rank"),
+    "q5": _one(ORACLES["dangling_reviews"], "dangling"),
+    "q6": _one(ORACLES["related_vs_catalog"], "differ"),
+}
+ORACLES["catalog_report"] = "SELECT '{' || " + " || ', ' || ".join(
+    f"""'"{name}": ' || {part}""" for name, part in _PARTS.items()) + " || '}' AS json"

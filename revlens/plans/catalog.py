@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from revlens.functions import parse as P
 from revlens.operators.joins import anti_join_count, set_difference_counts
-from revlens.operators.profile import describe, null_percentage
+from revlens.operators.profile import describe, missing_flags, null_percentage, shares_table
+from revlens.operators.ranking import ranked
 
 # The statistics the reference reports for price.
 PRICE_STATS = ("mean", "std", "50%", "min", "max")
@@ -33,17 +34,59 @@ def null_pct(df: DataFrame) -> DataFrame:
     return null_percentage(df)
 
 
+def review_state(reviews: DataFrame) -> DataFrame:
+    """Per product id (NULL too) what all answers need from its reviews: rows,
+    missing values per column (``missing``, in the order of the columns), and
+    n, y (mean), m2 (squared deviation), ymin, ymax of the present ratings."""
+    rating = F.col("overall").cast("double")
+    kept = F.when(~F.isnan(rating), rating)
+    missing = [F.count_if(flag) for flag in missing_flags(reviews)]
+    return reviews.groupBy("asin").agg(
+        F.count(F.lit(1)).alias("rows"), F.array(*missing).alias("missing"),
+        F.count(kept).cast("double").alias("n"), F.avg(kept).alias("y"),
+        (F.var_pop(kept) * F.count(kept)).alias("m2"), F.min(kept).alias("ymin"), F.max(kept).alias("ymax"))
+
+
+def merged_state(states: DataFrame) -> DataFrame:
+    """Several states (unioned, e.g. one per day of reviews) as one."""
+    columns = F.size(F.first("missing"))
+    y = F.sum(F.when(F.col("n") > 0, F.col("n") * F.col("y"))) / F.nullif(F.sum("n"), F.lit(0.0))
+    both = states.join(states.groupBy(F.col("asin").alias("_a")).agg(y.alias("_y")), F.col("asin").eqNullSafe(F.col("_a")))
+    off = F.col("y") - F.col("_y")
+    sums = F.transform(F.sequence(F.lit(0), columns - 1), lambda i: F.aggregate(
+        F.collect_list("missing"), F.lit(0).cast("long"), lambda acc, m: acc + F.get(m, i)))
+    return both.groupBy("asin").agg(
+        F.sum("rows").alias("rows"), sums.alias("missing"), F.sum("n").alias("n"), F.first("_y").alias("y"),
+        F.sum(F.col("m2") + F.col("n") * off * off).alias("m2"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"))
+
+
+def missing_shares(state: DataFrame, columns: list[str]) -> DataFrame:
+    """Q1.1 from a state: percent missing per column."""
+    sums = state.agg(F.sum("rows").alias("rows"), *[F.sum(F.get("missing", F.lit(i))).alias(f"_{i}") for i in range(len(columns))])
+    total = F.when(F.col("rows") > 0, F.col("rows"))
+    return shares_table(sums, columns, [F.col(f"_{i}") / total for i in range(len(columns))])
+
+
+def product_facts(products: DataFrame) -> DataFrame:
+    """Per product what all answers need: asin, price, category (first of the
+    parsed list), ids named in its related lists, and ``missing``, a 0/1 per
+    column."""
+    flags = F.array(*[flag.cast("long") for flag in missing_flags(products)])
+    return products.select("asin", F.col("price").cast("double").alias("price"),
+                           P.first_category(P.parse_categories("categories")).alias("category"),
+                           P.related_ids("related").alias("ids"), flags.alias("missing"), F.lit(1).alias("rows"))
+
+
 def price_rating_corr(products: DataFrame, reviews: DataFrame, places: int = 2) -> DataFrame:
     """Q1.2: Pearson correlation of product price and review rating over
     (product, review) pairs joined on ``asin`` where both are present.
     NULL when either side is constant (no DIVIDE_BY_ZERO)."""
-    per_product = (reviews.where(F.col("asin").isNotNull() & F.col("overall").isNotNull())
-                   .groupBy("asin")
-                   .agg(F.count(F.lit(1)).cast("double").alias("n"),
-                        F.avg("overall").alias("y"),
-                        (F.var_pop("overall") * F.count(F.lit(1))).alias("m2"),
-                        F.min("overall").alias("ymin"),
-                        F.max("overall").alias("ymax")))
+    return state_price_corr(products, review_state(reviews.select("asin", "overall")), places)
+
+
+def state_price_corr(products: DataFrame, state: DataFrame, places: int = 2) -> DataFrame:
+    """Q1.2 from the reviews' state."""
+    per_product = state.where(F.col("asin").isNotNull() & (F.col("n") > 0)).select("asin", "n", "y", "m2", "ymin", "ymax")
     priced = products.where(F.col("price").isNotNull()).select("asin", F.col("price").alias("x"))
     pairs = priced.join(per_product, "asin")
     # Moments about the means: a common offset cancels before it is squared.
@@ -76,12 +119,22 @@ def category_counts(products: DataFrame) -> DataFrame:
     category list), largest first, ties by name.  Rows whose category is
     missing or unparsable are not a group; the empty name '' is kept."""
     cat = P.first_category(P.parse_categories("categories"))
-    return (products.select(cat.alias("category"), "asin")
-            .where(F.col("category").isNotNull())
+    return counted_categories(products.select(cat.alias("category"), "asin"))
+
+
+def counted_categories(named: DataFrame) -> DataFrame:
+    """Q1.4 from (category, asin) rows."""
+    return (named.where(F.col("category").isNotNull())
             .groupBy("category").agg(F.count("asin").alias("n"))
             .orderBy(F.desc("n"), F.asc("category")))
 
 
+def ranked_categories(products: DataFrame) -> DataFrame:
+    """O1 with the order as a column: rank (from 1), category, n."""
+    counts = ranked(category_counts(products), [F.desc("n"), F.asc("category")])
+    return counts.select((F.col("rank") + 1).alias("rank"), "category", "n")
+
+
 def dangling_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """Q1.5: does any review name a product missing from the catalog?
     ``dangling`` is the 0/1 flag, ``missing_ids`` how many distinct ids."""
@@ -98,7 +151,11 @@ def related_ids(products: DataFrame) -> DataFrame:
 def related_vs_catalog(products: DataFrame) -> DataFrame:
     """Q1.6: do the ids named in related lists and the catalog ids differ
     in either direction?  Also how many on each side only."""
-    c = set_difference_counts(products.select("asin"), related_ids(products), "asin",
-                              left_name="catalog_only", right_name="related_only")
+    return compared_ids(products.select("asin"), related_ids(products))
+
+
+def compared_ids(catalog: DataFrame, named: DataFrame) -> DataFrame:
+    """Q1.6 from the ids on both sides."""
+    c = set_difference_counts(catalog, named, "asin", left_name="catalog_only", right_name="related_only")
     return c.select("catalog_only", "related_only",
                     ((F.col("catalog_only") + F.col("related_only")) > 0).cast("int").alias("differ"))

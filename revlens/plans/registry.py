@@ -94,7 +94,7 @@ def _price_describe(spark, sf):
 
 @register("category_counts")
 def _category_counts(spark, sf):
-    return C.category_counts(FX.products(spark, sf))
+    return C.ranked_categories(FX.products(spark, sf))
 
 
 @register("dangling_reviews")

@@ -1,6 +1,9 @@
 """Hand-computed frames for the catalog and product jobs (FIXTURES.md
 section 4): nulls, empty lists, duplicates and dangling ids."""
 
+import contextlib
+import io
+
 import pytest
 
 from revlens.functions import parse as P
@@ -133,3 +136,36 @@ def test_approx_median_option(spark):
                               "asin string, price double, title string")
     rows = {r.asin: r for r in PR.imputed_products(p, approx_accuracy=10000).collect()}
     assert rows["b"].medianImputedPrice == 3.0
+
+
+def test_state_merges_like_one_table(spark):
+    from revlens.plans import catalog as C
+    rows = [("a", 1.0, "x"), ("a", 5.0, None), ("a", None, "y"), ("b", 4.0, "x"), (None, 3.0, None), ("c", float("nan"), "z"),
+            ("b", 4.5, "q"), ("a", 2.0, "x"), ("c", None, None)]
+    reviews = spark.createDataFrame(rows, "asin string, overall double, summary string")
+    parts = [spark.createDataFrame(rows[i::3], reviews.schema) for i in range(3)]
+    states = C.review_state(parts[0]).union(C.review_state(parts[1])).union(C.review_state(parts[2]))
+    key = lambda r: str(r.asin)
+    one = sorted(C.review_state(reviews).collect(), key=key)
+    merged = sorted(C.merged_state(states).collect(), key=key)
+    for a, b in zip(one, merged, strict=True):
+        assert a.asin == b.asin and a["rows"] == b["rows"] and a.missing == b.missing and a.n == b.n
+        for c in ("y", "m2", "ymin", "ymax"):
+            assert (a[c] or 0) == pytest.approx(b[c] or 0), (a.asin, c)
+    got = {r.column: r.null_pct for r in C.missing_shares(C.merged_state(states), reviews.columns).collect()}
+    assert got == {"asin": 11.11, "overall": 33.33, "summary": 33.33}
+
+
+def test_catalog_report_reads_each_input_once(spark, tmp_path):
+    import os
+
+    from revlens.plans.reports import catalog_report
+    from revlens.sources import fixtures as FX
+    from tests.conftest import SF_SMALL
+    report = catalog_report(FX.reviews(spark, SF_SMALL), FX.products(spark, SF_SMALL))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        report.explain("formatted")
+    # What is left to run reads the two written states only.
+    assert "lineitem.parquet" not in buf.getvalue() and "part.parquet" not in buf.getvalue()
+    assert "review-state" in buf.getvalue() and "product-facts" in buf.getvalue() and os.sep
