@@ -128,3 +128,17 @@ def round_doubles(df: DataFrame, places: int) -> DataFrame:
         F.bround(F.col(f.name), places).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields])
+
+
+def stats_row(df: DataFrame, spec: Sequence[tuple[str, str, str]], places: int | None = None) -> DataFrame:
+    """One row of statistics from one aggregation; ``spec`` lists (name,
+    statistic, column): count (non-NULL), mean, variance (sample), nulls, or
+    ``equals:<text>``.  Doubles are rounded half-even to ``places``."""
+    def statistic(kind: str, c: str) -> Column:
+        if kind.startswith("equals:"):
+            return F.count_if(F.col(c) == kind.partition(":")[2])
+        return {"count": F.count, "mean": F.avg, "variance": F.var_samp,
+                "nulls": lambda x: F.count_if(F.col(x).isNull())}[kind](c)
+
+    row = df.agg(*[statistic(kind, c).alias(name) for name, kind, c in spec])
+    return row if places is None else round_doubles(row, places)

@@ -232,6 +232,19 @@ SELECT count(asin) AS count_total,
   count(*) FILTER (WHERE unknownImputedTitle = 'unknown') AS numUnknowns_unknownImputedTitle
 FROM i"""
 
+ORACLES["imputation_stats_sketch"] = ORACLES["imputation_stats"]
+ORACLES["saved_rating_stats"] = ORACLES["product_rating_stats"]
+ORACLES["price_sketch_ranks"] = "WITH " + PRODUCTS_CTE + r"""
+SELECT p, count(price) AS n, TRUE AS in_bound
+FROM products, (SELECT CAST(unnest([0.05, 0.25, 0.5, 0.75, 0.95]) AS DOUBLE) AS p) GROUP BY p"""
+
+# pandas' missing-value tokens read as NULL.
+_TEXT = ("CASE WHEN {c} NOT IN ('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+         "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null') THEN {v} END")
+ORACLES["csv_documents"] = "SELECT doc_id, " + ", ".join(
+    _TEXT.format(c=c, v=v) + f" AS {c}" for c, v in (("text", "md5(text)"), ("lang", "lang"), ("source", "source"))
+) + ", n_chars FROM documents"
+
 # -- Q2.5-Q2.8 -------------------------------------------------------------------
 
 _TOKENS = r"""WITH tok AS (SELECT unnest(string_split(lower(text), ' ')) AS word FROM documents),

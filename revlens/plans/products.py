@@ -23,21 +23,57 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions import parse as P
 from revlens.operators.joins import salted_join
-from revlens.operators.profile import round_doubles
+from revlens.operators.profile import round_doubles, stats_row
 from revlens.operators.quantiles import exact_lower_median
 
 
-def _round(df: DataFrame, places: int | None) -> DataFrame:
-    return df if places is None else round_doubles(df, places)
-
-
-def _nulls(c: str) -> F.Column:
-    return F.count_if(F.col(c).isNull())
+# The reference's result keys, each with its statistic and column.
+RATING_STATS = [
+    ("count_total", "count", "asin"),
+    ("mean_meanRating", "mean", "meanRating"),
+    ("variance_meanRating", "variance", "meanRating"),
+    ("numNulls_meanRating", "nulls", "meanRating"),
+    ("mean_countRating", "mean", "countRating"),
+    ("variance_countRating", "variance", "countRating"),
+    ("numNulls_countRating", "nulls", "countRating"),
+]
+FLAT_STATS = [
+    ("count_total", "count", "asin"),
+    ("mean_bestSalesRank", "mean", "bestSalesRank"),
+    ("variance_bestSalesRank", "variance", "bestSalesRank"),
+    ("numNulls_category", "nulls", "category"),
+    ("numNulls_bestSalesCategory", "nulls", "bestSalesCategory"),
+]
+FLAT_DISTINCT = [
+    ("countDistinct_category", "category"),
+    ("countDistinct_bestSalesCategory", "bestSalesCategory"),
+]
+ALSO_VIEWED_STATS = [
+    ("count_total", "count", "asin"),
+    ("mean_meanPriceAlsoViewed", "mean", "meanPriceAlsoViewed"),
+    ("variance_meanPriceAlsoViewed", "variance", "meanPriceAlsoViewed"),
+    ("numNulls_meanPriceAlsoViewed", "nulls", "meanPriceAlsoViewed"),
+    ("mean_countAlsoViewed", "mean", "countAlsoViewed"),
+    ("variance_countAlsoViewed", "variance", "countAlsoViewed"),
+    ("numNulls_countAlsoViewed", "nulls", "countAlsoViewed"),
+]
+IMPUTATION_STATS = [
+    ("count_total", "count", "asin"),
+    ("mean_meanImputedPrice", "mean", "meanImputedPrice"),
+    ("variance_meanImputedPrice", "variance", "meanImputedPrice"),
+    ("numNulls_meanImputedPrice", "nulls", "meanImputedPrice"),
+    ("mean_medianImputedPrice", "mean", "medianImputedPrice"),
+    ("variance_medianImputedPrice", "variance", "medianImputedPrice"),
+    ("numNulls_medianImputedPrice", "nulls", "medianImputedPrice"),
+    ("numUnknowns_unknownImputedTitle", "equals:unknown", "unknownImputedTitle"),
+]
 
 
 # -- Q2.0 warm-up -------------------------------------------------------------
@@ -56,8 +92,8 @@ def lookup(df: DataFrame, key_value: str, key: str = "asin") -> DataFrame:
 
 def count_and_mean_price(product: DataFrame, places: int | None = None) -> DataFrame:
     """Row count and mean price (task 0)."""
-    return _round(product.agg(F.count(F.lit(1)).alias("count_total"),
-                              F.avg("price").alias("mean_price")), places)
+    row = product.agg(F.count(F.lit(1)).alias("count_total"), F.avg("price").alias("mean_price"))
+    return row if places is None else round_doubles(row, places)
 
 
 # -- Q2.1 rating mean / count per product ----------------------------------------
@@ -72,16 +108,7 @@ def product_ratings(review: DataFrame, product: DataFrame) -> DataFrame:
 
 def product_rating_stats(review: DataFrame, product: DataFrame,
                          places: int | None = None) -> DataFrame:
-    r = product_ratings(review, product)
-    return _round(r.agg(
-        F.count("asin").alias("count_total"),
-        F.avg("meanRating").alias("mean_meanRating"),
-        F.variance("meanRating").alias("variance_meanRating"),
-        _nulls("meanRating").alias("numNulls_meanRating"),
-        F.avg("countRating").alias("mean_countRating"),
-        F.variance("countRating").alias("variance_countRating"),
-        _nulls("countRating").alias("numNulls_countRating"),
-    ), places)
+    return stats_row(product_ratings(review, product), RATING_STATS, places)
 
 
 # -- Q2.2 flatten categories and sales rank ---------------------------------------
@@ -104,17 +131,21 @@ def product_flat(product: DataFrame) -> DataFrame:
     )
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Exact distinct counts of several columns (NULL left out) as one
+    struct, a scalar subquery.  Values are tagged with their column and made
+    distinct in each map task first, so no row is copied per column into the
+    shuffle and no task holds a column's values."""
+    tagged = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("column"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])))
+    values = tagged.where(F.col("value").isNotNull()).distinct()
+    return values.agg(F.struct(*[F.count_if(F.col("column") == i).alias(c) for i, c in enumerate(columns)])).scalar()
+
+
 def product_flat_stats(product: DataFrame, places: int | None = None) -> DataFrame:
     f = product_flat(product)
-    return _round(f.agg(
-        F.count("asin").alias("count_total"),
-        F.avg("bestSalesRank").alias("mean_bestSalesRank"),
-        F.variance("bestSalesRank").alias("variance_bestSalesRank"),
-        _nulls("category").alias("numNulls_category"),
-        F.count_distinct("category").alias("countDistinct_category"),
-        _nulls("bestSalesCategory").alias("numNulls_bestSalesCategory"),
-        F.count_distinct("bestSalesCategory").alias("countDistinct_bestSalesCategory"),
-    ), places)
+    kinds = distinct_counts(f, [c for _, c in FLAT_DISTINCT])
+    return stats_row(f, FLAT_STATS, places).withColumns({name: kinds.getField(c) for name, c in FLAT_DISTINCT})
 
 
 # -- Q2.3 also-viewed neighbours ----------------------------------------------------
@@ -135,16 +166,7 @@ def also_viewed(product: DataFrame) -> DataFrame:
 
 
 def also_viewed_stats(product: DataFrame, places: int | None = None) -> DataFrame:
-    a = also_viewed(product)
-    return _round(a.agg(
-        F.count("asin").alias("count_total"),
-        F.avg("meanPriceAlsoViewed").alias("mean_meanPriceAlsoViewed"),
-        F.variance("meanPriceAlsoViewed").alias("variance_meanPriceAlsoViewed"),
-        _nulls("meanPriceAlsoViewed").alias("numNulls_meanPriceAlsoViewed"),
-        F.avg("countAlsoViewed").alias("mean_countAlsoViewed"),
-        F.variance("countAlsoViewed").alias("variance_countAlsoViewed"),
-        _nulls("countAlsoViewed").alias("numNulls_countAlsoViewed"),
-    ), places)
+    return stats_row(also_viewed(product), ALSO_VIEWED_STATS, places)
 
 
 # -- Q2.4 imputation ------------------------------------------------------------------
@@ -174,14 +196,39 @@ def imputed_products(product: DataFrame, approx_accuracy: int | None = None) ->
 
 def imputation_stats(product: DataFrame, places: int | None = None,
                      approx_accuracy: int | None = None) -> DataFrame:
-    i = imputed_products(product, approx_accuracy)
-    return _round(i.agg(
-        F.count("asin").alias("count_total"),
-        F.avg("meanImputedPrice").alias("mean_meanImputedPrice"),
-        F.variance("meanImputedPrice").alias("variance_meanImputedPrice"),
-        _nulls("meanImputedPrice").alias("numNulls_meanImputedPrice"),
-        F.avg("medianImputedPrice").alias("mean_medianImputedPrice"),
-        F.variance("medianImputedPrice").alias("variance_medianImputedPrice"),
-        _nulls("medianImputedPrice").alias("numNulls_medianImputedPrice"),
-        F.count_if(F.col("unknownImputedTitle") == "unknown").alias("numUnknowns_unknownImputedTitle"),
-    ), places)
+    return stats_row(imputed_products(product, approx_accuracy), IMPUTATION_STATS, places)
+
+
+# -- A14: stored sketches --------------------------------------------------------------
+
+#: Size parameter of the quantile sketches; rank errors stay well below RANK_ERROR.
+SKETCH_K = 400
+RANK_ERROR = 0.02
+
+
+def price_sketches(product: DataFrame) -> DataFrame:
+    """part, prices (a mergeable quantile sketch), n: one row per part of the
+    catalog (by id hash), to be stored and merged later with those of other
+    parts or days, without reading products again."""
+    part = F.pmod(F.xxhash64("asin"), F.lit(16)).cast("int").alias("part")
+    return product.where(F.col("price").isNotNull()).groupBy(part).agg(
+        F.kll_sketch_agg_double(F.col("price").cast("double"), F.lit(SKETCH_K)).alias("prices"), F.count("price").alias("n"))
+
+
+def sketch_quantiles(sketches: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """p, quantile: approximate quantiles of all merged sketches."""
+    merged = sketches.agg(F.kll_merge_agg_double("prices").alias("s"))
+    return merged.select(F.inline(F.array(*[
+        F.struct(F.lit(float(p)).alias("p"), F.kll_sketch_get_quantile_double("s", F.lit(float(p))).alias("quantile"))
+        for p in probs])))
+
+
+def sketch_rank_errors(product: DataFrame, sketches: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """p, n, in_bound: whether the merged sketch's quantile has a rank within
+    RANK_ERROR of p among the products' prices."""
+    found = sketch_quantiles(sketches, probs).agg(F.collect_list(F.struct("p", "quantile")).alias("q")).scalar()
+    prices = product.where(F.col("price").isNotNull()).select("price", F.inline(found))
+    ranks = prices.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("price") < F.col("quantile")).alias("below"),
+                                    F.count_if(F.col("price") <= F.col("quantile")).alias("upto"))
+    inside = (F.col("below") <= (F.col("p") + RANK_ERROR) * F.col("n")) & (F.col("upto") >= (F.col("p") - RANK_ERROR) * F.col("n"))
+    return ranks.select("p", "n", inside.alias("in_bound"))

@@ -6,9 +6,11 @@ test tables through the fixture views and returns a lazy DataFrame.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revlens.operators.profile import round_doubles
 from revlens.operators.split import with_split_flag
@@ -18,7 +20,10 @@ from revlens.plans import models as MO
 from revlens.plans import products as PR
 from revlens.plans import reports as RP
 from revlens.plans import reviewers as R
+from revlens.sources import csv as CSV
 from revlens.sources import fixtures as FX
+from revlens.sources.scratch import shared_dir, written
+from revlens.sources.store import ResultStore
 from revlens.sources.tables import read_table
 from revlens.sources.typed import parse_failures
 
@@ -177,6 +182,39 @@ def _imputation_stats(spark, sf):
     return PR.imputation_stats(FX.product_typed(spark, sf), PLACES)
 
 
+@register("imputation_stats_sketch")
+def _imputation_stats_sketch(spark, sf):
+    """The median from the sketch, accurate enough to be exact here."""
+    return PR.imputation_stats(FX.product_typed(spark, sf), PLACES, approx_accuracy=1_000_000)
+
+
+@register("price_sketch_ranks")
+def _price_sketch_ranks(spark, sf):
+    product = FX.product_typed(spark, sf).select("asin", "price")
+    sketches = written(PR.price_sketches(product), "price-sketches")
+    return PR.sketch_rank_errors(product, sketches, (0.05, 0.25, 0.5, 0.75, 0.95))
+
+
+@register("saved_rating_stats")
+def _saved_rating_stats(spark, sf):
+    """Task 1 saved to a result store and read back."""
+    store = ResultStore(spark, f"{shared_dir(spark)}/results-{uuid.uuid4().hex}")
+    store.save(_product_rating_stats(spark, sf), "task_1")
+    return store.read("task_1")
+
+
+@register("csv_documents")
+def _csv_documents(spark, sf):
+    """All documents written as CSV (texts with quotes and newlines) and read
+    back by the split reader; the text as its MD5."""
+    path = f"{shared_dir(spark)}/documents-csv-{uuid.uuid4().hex}"
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    read_table(spark, sf, "documents", columns).write.csv(
+        path, header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    rows = CSV.read_csv_table(spark, path, {"doc_id": "bigint", "n_chars": "bigint"})
+    return rows.withColumn("text", F.md5("text"))
+
+
 # -- Q2.5-Q2.8: features and models -------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""Result sinks.
+"""Result sinks (S5, S7; named results are in ``store``).
 
 Results of these jobs are small by construction (one row of statistics, a
 few dozen category counts), so they are written as one JSON file each.
@@ -12,28 +12,30 @@ folded into one object in name order.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.sources.scratch import written
 
-def write_json(df: DataFrame, path: str) -> None:
-    """A small result as a single JSON-lines file in ``path``."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+
+#: Rows of a result that is written as one file.
+MOST_ROWS = 100_000
 
 
-def save_result(df: DataFrame, root: str, name: str) -> str:
-    """Named result store, one sub-folder per result name."""
-    path = os.path.join(root, name)
-    write_json(df, path)
-    return path
+def small(df: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """``df``, computed once, if it has at most ``most`` rows; a larger one is
+    refused before anything is written to its place."""
+    kept = written(df.limit(most + 1), "result")
+    if kept.count() > most:
+        raise ValueError(f"a result of more than {most} rows is no small result: write it as Parquet")
+    return kept
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    """Row-level results: partitioned Parquet, no coalescing."""
-    df.write.mode("overwrite").parquet(path)
+def write_json(df: DataFrame, path: str) -> None:
+    """A small result as a single JSON-lines file in ``path``."""
+    small(df).coalesce(1).write.mode("overwrite").json(path)
 
 
 def _quoted(c: Column) -> Column:

@@ -169,3 +169,36 @@ def test_catalog_report_reads_each_input_once(spark, tmp_path):
     # What is left to run reads the two written states only.
     assert "lineitem.parquet" not in buf.getvalue() and "part.parquet" not in buf.getvalue()
     assert "review-state" in buf.getvalue() and "product-facts" in buf.getvalue() and os.sep
+
+
+def test_every_task_is_saved_and_read_back(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from revlens.plans import models as MO
+    from revlens.plans.tasks import TASKS, Tables, run_tasks
+    from revlens.sources import fixtures as FX
+    from revlens.sources.store import ResultStore
+    from tests.conftest import SF_SMALL
+    processed = FX.product_titles(spark, SF_SMALL).withColumn("category", F.concat(F.lit("c"), F.substring("asin", 9, 2)))
+    train, test = MO.train_test(FX.ml_rows(spark, SF_SMALL), FX.FEATURE_COLUMNS)
+    tables = Tables(FX.review_typed(spark, SF_SMALL), FX.product_typed(spark, SF_SMALL), processed, train, test, ["the", "and"])
+    store = ResultStore(spark, str(tmp_path / "results"))
+    assert run_tasks(store, tables) == {f"task_{i}": 1 for i in range(9)} and len(TASKS) == 9
+    assert run_tasks(store, tables, ["task_1"]) == {"task_1": 2}
+    assert store.read("task_1").first() == PR.product_rating_stats(tables.review, tables.product).first()
+    words = store.read("task_5").first()
+    assert words.count_total == processed.count() and len(words.word_0_synonyms) == 10
+    assert len(store.read("task_6").first().meanVector_categoryPCA) == 15
+    assert set(store.read("task_8").columns) >= {"test_rmse", "valid_rmse_depth_12", "best_depth"}
+
+
+def test_sketches_of_parts_merge(spark):
+    rows = [(str(i), float((i * 7919) % 10007)) for i in range(10007)]
+    product = spark.createDataFrame(rows, "asin string, price double")
+    old, new = product.where("price < 5000"), product.where("price >= 5000")
+    sketches = PR.price_sketches(old).union(PR.price_sketches(new))
+    got = {r.p: r.quantile for r in PR.sketch_quantiles(sketches, [0.1, 0.5, 0.9]).collect()}
+    assert all(abs(q / 10007 - p) < PR.RANK_ERROR for p, q in got.items())
+    assert all(r.in_bound and r.n == 10007 for r in PR.sketch_rank_errors(product, sketches, [0.1, 0.5, 0.9]).collect())
+    wrong = PR.price_sketches(old)
+    assert not all(r.in_bound for r in PR.sketch_rank_errors(product, wrong, [0.5, 0.9]).collect())

@@ -53,21 +53,31 @@ def test_point_lookup_filter(spark):
 
 
 def test_few_valued_keys_do_not_shuffle_rows(spark):
+    from revlens.sources.tables import read_table
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for key, bad in (("vector_top_k", "hashpartitioning(label#"), ("prediction_rmse", None)):
-            p = plan(E.QUERIES[key](spark, SF_SMALL), "simple")
-            join = p.splitlines()
-            at = next(i for i, line in enumerate(join) if "SortMergeJoin" in line or "ShuffledHashJoin" in line)
-            if bad is None:  # both sides are one row per group
-                assert sum("HashAggregate" in line for line in join[at:]) >= 4
-            else:
-                assert "[salt" in join[at]
+        lines = plan(E.QUERIES["prediction_rmse"](spark, SF_SMALL), "simple").splitlines()
+        at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line or "ShuffledHashJoin" in line)
+        assert sum("HashAggregate" in line for line in lines[at:]) >= 4  # both sides are one row per group
+        # Centroids are measured: small ones are sent to the vectors, large ones meet dealt rows.
+        e = read_table(spark, SF_SMALL, "embeddings", ["vec_id", "label", "embedding"])
+        lines = plan(FE.central_members(e), "simple").splitlines()
+        below = lines[next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line):]
+        assert not any("Exchange hashpartitioning" in line for line in below)
+        large = FE.central_members(e, most_bytes=0)
+        lines = plan(large, "simple").splitlines()
+        assert "[salt" in next(line for line in lines if "SortMergeJoin" in line or "ShuffledHashJoin" in line)
+        assert sorted(large.collect()) == sorted(FE.central_members(e).collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_distinct_counts_without_expand(spark):
+    p = plan(E.QUERIES["product_flat_stats"](spark, SF_SMALL))
+    assert "Expand" not in p
+
+
 def test_describe_never_shuffles_rows_by_metric(spark):
     # Five metrics: a shuffle keyed on the metric would put a fifth of all
     # values in one task.  Per-metric tables must be broadcast instead.

@@ -4,8 +4,10 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from revlens.sources import csv as CSV
-from revlens.sources.sinks import json_document, json_objects, json_value, save_result
+from revlens.sources.sinks import json_document, json_objects, json_value
 from revlens.sources.typed import typed_products
 
 
@@ -55,17 +57,38 @@ def test_json_document(spark):
     assert json.loads(doc)["q4"] == {"c": 5, "a": 2, "b": 2}
 
 
-def test_save_result(spark):
-    root = tempfile.mkdtemp(prefix="revlens-test-")
-    path = save_result(spark.createDataFrame([(1, 2.5)], "count_total long, mean double"), root, "task_1")
-    files = [f for f in os.listdir(path) if f.endswith(".json")]
-    assert len(files) == 1
-    with open(os.path.join(path, files[0])) as f:
-        assert json.loads(f.readline()) == {"count_total": 1, "mean": 2.5}
+def test_result_store_versions(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from revlens.sources.store import ResultStore
+    store = ResultStore(spark, tempfile.mkdtemp(prefix="revlens-test-"))
+    first = spark.createDataFrame([(1, 2.5, [1, 2], None)], "count_total long, mean double, `a b` array<int>, none string")
+    assert store.save(first, "task_1") == 1
+    assert store.save(first.withColumn("mean", F.lit(9.0)), "task_1") == 2
+    assert store.versions("task_1") == [1, 2] and store.versions("task_2") == []
+    assert store.read("task_1", 1).collect() == first.collect() and store.read("task_1").schema == first.schema
+    assert store.read("task_1").first()["mean"] == 9.0
+    # A result that fails while it is computed, and a commit that fails.
+    bad = spark.createDataFrame([(0,)], "x int").select(F.raise_error(F.lit("broken")).cast("long").alias("count_total"))
+    with pytest.raises(Exception, match="broken"):
+        store.save(bad, "task_1")
+    monkeypatch.setattr("revlens.sources.store._MANIFEST", "version long, path string, kind string, no such type")
+    with pytest.raises(Exception):
+        store.save(first, "task_1")
+    monkeypatch.undo()
+    assert store.versions("task_1") == [1, 2] and store.read("task_1").first()["mean"] == 9.0
+    assert store.save(first, "task_1") == 3
+    with pytest.raises(KeyError):
+        store.read("task_1", 7)
+
+
+def test_large_results_are_refused(spark):
+    from revlens.sources import sinks
+    with pytest.raises(ValueError):
+        sinks.write_json(spark.range(sinks.MOST_ROWS + 1), tempfile.mkdtemp(prefix="revlens-test-") + "/big")
 
 
 def test_result_dict(spark):
-    import pytest
     from revlens.sources.sinks import result_dict
     assert result_dict(spark.createDataFrame([(3, 1.5)], "count_total long, mean double")) == \
         {"count_total": 3, "mean": 1.5}
