@@ -257,6 +257,18 @@ ORACLES["token_vocabulary_size"] = _TOKENS + (
 # Word2Vec keeps exactly the tokens used at least minCount times.
 ORACLES["word2vec_vocabulary"] = ORACLES["token_vocabulary_size"]
 
+ORACLES["word_pmi"] = r"""WITH text AS (SELECT doc_id, string_split(lower(text), ' ') AS w FROM documents),
+tok AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM text),
+vocab AS (SELECT word FROM tok GROUP BY word HAVING count(*) >= 100),
+kept AS (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i FROM tok JOIN vocab USING (word)),
+ahead AS (SELECT a.word, b.word AS context FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i + 1 AND a.i + 5),
+counts AS (SELECT word, context, count(*) AS n FROM (
+  SELECT word, context FROM ahead UNION ALL SELECT context, word FROM ahead) GROUP BY word, context),
+sums AS (SELECT word, sum(n) AS total FROM counts GROUP BY word),
+pmi AS (SELECT c.word, c.context, n, ln(n * (SELECT CAST(sum(n) AS DOUBLE) FROM counts) / (CAST(a.total AS DOUBLE) * b.total)) AS pmi
+        FROM counts c JOIN sums a ON a.word = c.word JOIN sums b ON b.word = c.context)
+SELECT word, context, n, round_even(pmi, 6) AS pmi FROM pmi WHERE pmi > 0"""
+
 ORACLES["vector_top_k"] = r"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS embedding FROM embeddings),
 u AS (SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding) AS x FROM e),
 c AS (SELECT label, list(m ORDER BY pos) AS centroid

@@ -20,6 +20,7 @@ from revlens.plans import models as MO
 from revlens.plans import products as PR
 from revlens.plans import reports as RP
 from revlens.plans import reviewers as R
+from revlens.plans import wordvectors as WV
 from revlens.sources import csv as CSV
 from revlens.sources import fixtures as FX
 from revlens.sources.scratch import shared_dir, written
@@ -243,6 +244,18 @@ def _word_synonyms(spark, sf):
     return FE.word_synonyms(FX.product_titles(spark, sf), SYNONYM_WORDS)
 
 
+@register("word_pmi")
+def _word_pmi(spark, sf):
+    counts = WV.cooccurrence(FX.product_titles(spark, sf))
+    return round_doubles(WV.positive_pmi(written(counts, "cooccurrence")), PLACES)
+
+
+@register("word_spectral_synonyms")
+def _word_spectral_synonyms(spark, sf):
+    counts = written(WV.cooccurrence(FX.product_titles(spark, sf)), "cooccurrence")
+    return WV.nearest_by_cosine(WV.spectral_vectors(WV.positive_pmi(counts)), list(SYNONYM_WORDS))
+
+
 @register("word_document")
 def _word_document(spark, sf):
     return FE.word_document(FX.product_titles(spark, sf), SYNONYM_WORDS)

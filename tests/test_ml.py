@@ -211,3 +211,48 @@ def test_nothing_stays_persisted(spark):
     for key in ("tree_rmse", "word_synonyms"):
         E.QUERIES[key](spark, SF_SMALL).collect()
         assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty(), key
+
+
+def test_spectral_vectors_against_numpy(spark):
+    from revlens.plans import wordvectors as WV
+    titles = FX.product_titles(spark, SF_SMALL)
+    counts = WV.cooccurrence(titles)
+    pmi = WV.positive_pmi(counts).toPandas()
+    words = sorted(set(pmi["word"]))
+    at = {w: i for i, w in enumerate(words)}
+    dense = np.zeros((len(words), len(words)))
+    dense[pmi["word"].map(at), pmi["context"].map(at)] = pmi["pmi"]
+    assert np.allclose(dense, dense.T)
+    values, basis = np.linalg.eigh(dense)
+    size = 4
+    lead = np.argsort(-np.abs(values))[:size]
+    want = np.array([values[i] for i in sorted(lead, key=lambda i: -values[i])])
+    rows = {r.word: r.v for r in WV.spectral_vectors(WV.positive_pmi(counts), size, 60).collect()}
+    got = np.array([rows[w] for w in words])
+    assert np.allclose((got ** 2).sum(axis=0), np.maximum(want, 0), rtol=1e-3, atol=1e-6)
+    # The first vector is well apart from the others.
+    top = basis[:, np.argmax(values)]
+    assert abs(got[:, 0] @ top) / np.linalg.norm(got[:, 0]) > 0.9999
+
+
+def test_spectral_vectors_do_not_depend_on_partitions(spark):
+    from revlens.plans import wordvectors as WV
+    rng = np.random.default_rng(0)
+    topics = [[f"{t}{i}" for i in range(8)] for t in "abc"]
+    rows = [(str(i), " ".join(rng.choice(topics[i % 3], 30))) for i in range(300)]
+    frame = spark.createDataFrame(rows, "asin string, title string")
+    found = []
+    for parts, shuffles in ((2, "2"), (8, "8")):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        try:
+            pmi = WV.positive_pmi(WV.cooccurrence(frame.repartition(parts), min_count=20))
+            vectors = WV.spectral_vectors(pmi, 3)
+            found.append({r.word: r.v for r in vectors.collect()})
+            near = WV.nearest_by_cosine(vectors, ["a0", "b3", "nothing"], 7).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+        assert len(near) == 14 and all(r.word[0] == r.query[0] for r in near)
+    assert found[0].keys() == found[1].keys() and len(found[0]) == 24
+    assert all(np.allclose(found[0][w], found[1][w], atol=1e-8) for w in found[0])
+    assert WV.spectral_vectors(WV.positive_pmi(WV.cooccurrence(frame.where("false")))).count() == 0

@@ -39,4 +39,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_iterative():
     # Fits of word vectors and deep trees have no oracle.
-    assert set(ROWS_ONLY) <= {"word_synonyms", "tree_rmse", "tree_depth_sweep", "word_document", "tree_sweep_document"}
+    assert set(ROWS_ONLY) <= {"word_synonyms", "word_spectral_synonyms", "tree_rmse", "tree_depth_sweep", "word_document", "tree_sweep_document"}
