@@ -113,5 +113,21 @@ chain AS (SELECT w, w AS root, form FROM found
           UNION ALL SELECT c.w, f.w, f.form FROM chain c JOIN found f ON f.w = c.form)
 SELECT found.w AS word, found.form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n
 FROM found JOIN chain ON chain.w = found.w AND chain.form IS NULL
+""",
+    "op4_part_enum": r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+gram AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM doc WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM gram a JOIN gram b ON a.s = b.s AND a.doc_id < b.doc_id
+         GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM doc UNION SELECT edge.b, reach.r FROM reach JOIN edge ON edge.a = reach.d)
+SELECT doc.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
+FROM doc LEFT JOIN n USING (doc_id) JOIN (SELECT d AS doc_id, min(r) AS component_id FROM reach GROUP BY d) c USING (doc_id)
 """,
 }

@@ -245,7 +245,7 @@ def test_variants_of_nothing(docs):
         assert spelling_variants.variants(vocab).count() == 0
 
 
-@pytest.mark.parametrize("key", ["op11_merkle_manifest", "op12_spelling_variants", "op13_doubling_dedup"])
+@pytest.mark.parametrize("key", ["op4_part_enum", "op11_merkle_manifest", "op12_spelling_variants", "op13_doubling_dedup"])
 def test_sql(spark, key):
     r = compare(QUERIES[key](spark, SF_SMALL), ORACLES[key], duck(SF_SMALL))
     assert r["ok"], r
