@@ -1,6 +1,7 @@
 """Sharding by fixed virtual slots (native DataFrame code only).
 
-A record's slot is a hash of its id, one of ``SLOTS`` that never change.  A
+A record's slot is a hash of its id, size and text checksum, one of ``SLOTS``
+that never change; so records that share an id (or have none) spread too.  A
 small versioned table maps slots to shards.  Version 1 deals the slots out
 evenly without looking at the data; a rebalancing aggregates the bytes of
 each slot and writes the next version, in which only slots that overfill
@@ -12,8 +13,8 @@ equal.  The size of a record is the UTF-8 length of its text plus 16.
 
 Everything that leaves the distributed tables is bounded by the number of
 slots: bytes per slot are pre-aggregated on the map side, and the edit folds
-over at most SLOTS rows.  Equal ids, NULL ids included, share a slot.  NULL
-text counts as empty.  Every input row gives one output row.
+over at most SLOTS rows.  Equal rows share a slot.  NULL text counts as
+empty.  Every input row gives one output row.
 """
 
 from __future__ import annotations
@@ -34,11 +35,13 @@ MAP_SCHEMA = "version int, virtual_slot int, shard int"
 def with_slot(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32 and virtual slot of every record."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    size, checksum = (F.octet_length(raw) + F.lit(OVERHEAD)).cast("long"), F.crc32(raw)
+    record = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), size.cast("string"), checksum.cast("string"))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        (F.octet_length(raw) + F.lit(OVERHEAD)).cast("long").alias("size"),
-        F.crc32(raw).alias("text_crc32"),
-        bucket_of(F.col("doc_id"), slots).alias("virtual_slot"),
+        size.alias("size"),
+        checksum.alias("text_crc32"),
+        bucket_of(record, slots).alias("virtual_slot"),
     )
 
 
