@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
-import tempfile
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.sources.scratch import shared_dir
 from revlens.sources.tables import table_path
 
 
@@ -18,16 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names in spark.checkpoint.dir; a
-    scratch folder is set only where none is named (local tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="revlens-shared-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared directory and read it back:
     lineage is cut, and the rows survive the loss of executors.  The shuffle
@@ -39,9 +30,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    for made in _watched:
+        made.append(out)
     return out
 
 
+_watched: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def stored_within():
+    """The list of the tables stored inside the block."""
+    made: list[DataFrame] = []
+    _watched.append(made)
+    try:
+        yield made
+    finally:
+        _watched.remove(made)
+
+
 def freed(*frames: DataFrame) -> None:
     """Delete stored tables that no later step reads."""
     for df in frames:
