@@ -12,12 +12,19 @@ where one more kind stands for all words unseen in training.
 classes have a softmax of their own over their HEAD / CLASSES members.  All
 parameters together are a few hundred kilobytes whatever the corpus.
 
+*Coding.*  The texts are read twice: once for the counts, once to write every
+text as ids of the network's inputs (two bytes a word), with all parts of the
+scores that do not depend on the network.  Training and scoring read the ids.
+
 *Training.*  Every window of STEPS words of every training text is trained on.
-A task reads its texts in LANES lanes; a lane takes one text after another, and
-the state is carried from window to window of a text and starts at zero with
-the next.  Each of ROUNDS rounds takes the training texts of one hash class;
-every task starts from the common weights, and the tasks' weights are averaged
-by the words that they saw, in two steps on the executors.
+A task reads its texts in lanes (at most LANES, fewer where a batch has few
+words, so that small inputs get as many updates); a lane takes one text after
+another, and the state is carried from window to window of a text and starts
+at zero with the next.  Each of ROUNDS rounds takes the training texts of one
+hash class; every task starts from the common weights and the common sums of
+squared gradients (Adagrad), and both are averaged by the words that the tasks
+saw, in two steps on the executors.  A round's weights are kept only if they
+do not score worse on the training texts of one hash class in JUDGES.
 
 *Scoring.*  A task scores all its texts in lock step, longest first; the state
 is carried across windows, so a score is the log10 probability of the complete
@@ -49,9 +56,15 @@ TAILS = 32
 HIDDEN = 12
 STEPS = 32
 ROUNDS = 3
-RATE = 0.1
+RATE = 0.05
 LANES = 256
+#: Words of a batch for each lane; a lane is one row of an update.
+LANE_WORDS = 4096
+#: One in JUDGES training texts judges each round's weights.
+JUDGES = 128
 KNOWN = 1 << 19
+#: Rows of logits that stay in a core's cache.
+CACHED = 1024
 SEED = 11
 
 END = np.uint64(int.from_bytes(hashlib.blake2b(b"end of text", digest_size=8).digest(), "little"))
@@ -163,9 +176,10 @@ class Network:
         p = self.views(flat)
         n = np.zeros(HEAD)
         n[vocab.member] = vocab.head_counts
-        n = n.reshape(CLASSES, self.width) + 0.5
-        p["mb"][:] = np.log(n / n.sum(1, keepdims=True))
-        rates = np.concatenate([n.sum(1), vocab.tail_n + 1])
+        n = n.reshape(CLASSES, self.width)
+        # Places without a word (fewer than HEAD kinds) get next to no mass.
+        p["mb"][:] = np.log(np.maximum(n, 1e-9) / np.maximum(n.sum(1, keepdims=True), 1))
+        rates = np.concatenate([n.sum(1), vocab.tail_n]) + 0.5
         p["cb"][:] = np.log(rates / rates.sum())
         return flat
 
@@ -190,9 +204,11 @@ def _steps(p, ids: np.ndarray, h: np.ndarray):
     return states, kept
 
 
-def _softmax_log(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each row, in place; logits stay far below overflow."""
+    np.exp(x, out=x)
+    x *= (1 / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
+    return x
 
 
 def _log_at(x: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -209,7 +225,11 @@ def log_probability(p, width: int, states: np.ndarray, slot: np.ndarray, tail: n
     """Natural log of P(class | state), times P(member | class, state) for head
     words.  states: n x HIDDEN."""
     cls = _class_of(slot, tail, width)
-    out = _log_at(states @ p["c"] + p["cb"], cls)
+    out = np.empty(len(states), np.float32)
+    for a in range(0, len(states), CACHED):
+        logits = states[a: a + CACHED] @ p["c"]
+        logits += p["cb"]
+        out[a: a + CACHED] = _log_at(logits, cls[a: a + CACHED])
     order = np.argsort(cls, kind="stable")
     edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
@@ -236,34 +256,43 @@ def gradient_and_state(net: Network, flat: np.ndarray, ids: np.ndarray, slot: np
     flat_states, mask = states.reshape(-1, k), used.ravel()
     s, tl = slot.ravel(), tail.ravel()
     cls = _class_of(s, tl, net.width)
-    prob = np.exp(_softmax_log(flat_states @ p["c"] + p["cb"]))
-    prob[np.arange(len(cls)), cls] -= 1
-    prob *= mask[:, None] / n
-    d["c"] += flat_states.T @ prob
-    d["cb"] += prob.sum(0)
-    back = prob @ p["c"].T
-    for c in np.unique(cls[(cls < CLASSES) & mask]):
-        rows = np.flatnonzero((cls == c) & mask)
-        inside = np.exp(_softmax_log(flat_states[rows] @ p["m"][c] + p["mb"][c]))
+    back, share = np.empty_like(flat_states), mask / np.float32(n)
+    for a in range(0, len(cls), CACHED):
+        own = flat_states[a: a + CACHED]
+        prob = own @ p["c"]
+        prob += p["cb"]
+        prob = _softmax(prob)
+        prob[np.arange(len(own)), cls[a: a + CACHED]] -= 1
+        prob *= share[a: a + CACHED, None]
+        d["c"] += own.T @ prob
+        d["cb"] += np.ones(len(own), np.float32) @ prob
+        back[a: a + CACHED] = prob @ p["c"].T
+    order = np.argsort(np.where(mask, cls, CLASSES), kind="stable")
+    edges = np.searchsorted(np.where(mask, cls, CLASSES)[order], np.arange(CLASSES + 1))
+    for c in np.flatnonzero(np.diff(edges)):
+        rows = order[edges[c]: edges[c + 1]]
+        own = flat_states[rows]
+        inside = _softmax(own @ p["m"][c] + p["mb"][c])
         inside[np.arange(len(rows)), s[rows] % net.width] -= 1
-        inside /= n
-        d["m"][c] += flat_states[rows].T @ inside
+        inside *= np.float32(1 / n)
+        d["m"][c] += own.T @ inside
         d["mb"][c] += inside.sum(0)
         back[rows] += inside @ p["m"][c].T
     back = back.reshape(states.shape)
     carry = np.zeros_like(h)
     inputs = np.empty((*ids.shape, 3 * k), np.float32)
+    dr, turned = np.empty((ids.shape[1], 3 * k), np.float32), np.ascontiguousarray(p["u"].T)
     for t in range(len(ids) - 1, -1, -1):
         before, z, reset, new, rn = kept[t]
-        dh = back[t] + carry
-        dnew = dh * (1 - z) * (1 - new * new)
-        dz = dh * (before - new) * z * (1 - z)
+        dh, rest = back[t] + carry, 1 - z
+        dnew = dh * rest * (1 - new * new)
+        dz = dh * (before - new) * z * rest
         dreset = dnew * rn * reset * (1 - reset)
-        dx = np.concatenate([dz, dreset, dnew], axis=1)
-        dr = np.concatenate([dz, dreset, dnew * reset], axis=1)
-        inputs[t] = dx
+        dx = inputs[t]
+        dx[:, :k], dx[:, k: 2 * k], dx[:, 2 * k:] = dz, dreset, dnew
+        dr[:, : 2 * k], dr[:, 2 * k:] = dx[:, : 2 * k], dnew * reset
         d["u"] += before.T @ dr
-        carry = dh * z + dr @ p["u"].T
+        carry = dh * z + dr @ turned
     order = np.argsort(ids, axis=None, kind="stable")
     words = ids.ravel()[order]
     heads = np.flatnonzero(np.diff(words, prepend=-1))
@@ -272,15 +301,19 @@ def gradient_and_state(net: Network, flat: np.ndarray, ids: np.ndarray, slot: np
 
 
 class Coded:
-    """Texts of a batch as inputs and targets of the network."""
+    """Coded texts of a batch: the network's input of each word (the place of a
+    head word, or HEAD and the tail class), and targets."""
+
+    def __init__(self, ids: list[bytes], start: int):
+        self.at = np.concatenate([[0], np.cumsum([len(x) // 2 for x in ids])]).astype(np.int64)
+        self.input = np.frombuffer(b"".join(ids), "<u2").astype(np.int64)
+        self.slot, self.tail = np.where(self.input < HEAD, self.input, -1), np.maximum(self.input - HEAD, 0)
+        self.start = start
 
-    def __init__(self, vocab: Vocabulary, texts: list[bytes]):
-        self.tokens, self.at = _tokens(texts)
-        self.slot, self.tail = vocab.head_slot(self.tokens), tail_class(self.tokens)
-        self.input = np.where(self.slot >= 0, self.slot, HEAD + self.tail)
-        self.start = int(vocab.head_slot(np.array([END]))[0])
-        if self.start < 0:
-            self.start = HEAD + int(tail_class(np.array([END]))[0])
+
+def inputs_of(vocab: Vocabulary, tokens: np.ndarray) -> np.ndarray:
+    slot = vocab.head_slot(tokens)
+    return np.where(slot >= 0, slot, HEAD + tail_class(tokens))
 
 
 def _window(coded: Coded, first: np.ndarray, lengths: np.ndarray, t0: int, steps: int):
@@ -310,13 +343,12 @@ def lane_windows(lengths: np.ndarray, lanes: int):
         who, begin = np.delete(who, done[len(new):]), np.delete(begin, done[len(new):])
 
 
-def train_texts(vocab: Vocabulary, net: Network, weights: np.ndarray, squares: np.ndarray, texts: list[bytes]) -> int:
+def train_texts(net: Network, weights: np.ndarray, squares: np.ndarray, coded: Coded) -> int:
     """Train ``weights`` in place on all windows of the texts; words seen."""
-    coded = Coded(vocab, texts)
     lengths = np.diff(coded.at)
-    state = np.zeros((len(texts), HIDDEN), np.float32)
-    seen = 0
-    for who, begin in lane_windows(lengths, LANES):
+    state = np.zeros((len(lengths), HIDDEN), np.float32)
+    seen, lanes = 0, int(min(LANES, max(16, coded.at[-1] // LANE_WORDS)))
+    for who, begin in lane_windows(lengths, lanes):
         t = begin + np.arange(STEPS)[:, None]
         real = t < lengths[who]
         place = np.where(real, coded.at[who] + t, 0)
@@ -328,48 +360,70 @@ def train_texts(vocab: Vocabulary, net: Network, weights: np.ndarray, squares: n
     return seen
 
 
-def train_round(docs: DataFrame, vocab, net: Network, flat: np.ndarray) -> np.ndarray | None:
-    """Average of the weights that the tasks reach, by words seen."""
-    held = docs.sparkSession.sparkContext.broadcast((vocab, flat))
+def train_round(texts: DataFrame, start: int, net: Network, flat: np.ndarray, squares: np.ndarray):
+    """Averages of the weights and squared sums that the tasks reach, by words
+    seen; None without texts."""
+    held = texts.sparkSession.sparkContext.broadcast((flat, squares))
 
     def run(batches):
-        voc, weights = held.value
-        weights, squares = weights.copy(), np.full(net.size, 1e-4, np.float32)
+        weights, sums = (x.copy() for x in held.value)
         seen = 0
         for batch in batches:
-            seen += train_texts(voc, net, weights, squares, utf8(batch.column("text")))
+            seen += train_texts(net, weights, sums, Coded(batch.column("ids").to_pylist(), start))
         if seen:
-            vector = np.concatenate([weights.astype(np.float64) * seen, [seen]])
+            vector = np.concatenate([weights.astype(np.float64) * seen, sums.astype(np.float64) * seen, [seen]])
             yield pa.RecordBatch.from_arrays([
                 pa.array([0], pa.int32()), pa.array([vector.tobytes()], pa.binary())], names=["key", "value"])
 
-    found = summed_vectors(docs.mapInArrow(run, "key int, value binary")).collect()  # one row of fixed size
+    found = summed_vectors(texts.select("ids").mapInArrow(run, "key int, value binary")).collect()  # one row of fixed size
     if not found:
         return None
     total = np.frombuffer(found[0]["value"])
-    return (total[:-1] / total[-1]).astype(np.float32)
+    mean = (total[:-1] / total[-1]).astype(np.float32)
+    return mean[: net.size], mean[net.size:]
+
+
+def judged(texts: DataFrame, start: int, net: Network, candidates: list[np.ndarray]) -> list[float]:
+    """Sum of the log probabilities of the texts by each of the weights."""
+    held = texts.sparkSession.sparkContext.broadcast(candidates)
 
+    def run(batches):
+        for batch in batches:
+            coded = Coded(batch.column("ids").to_pylist(), start)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([float(_score_texts(net, flat, coded).sum())]) for flat in held.value],
+                names=[f"s{i}" for i in range(len(held.value))])
+
+    names = [f"s{i}" for i in range(len(candidates))]
+    sums = texts.select("ids").mapInArrow(run, ", ".join(f"{n} double" for n in names)).agg(*(F.sum(n) for n in names)).first()
+    return [x or 0.0 for x in sums]
 
-def train(docs: DataFrame, vocab: Vocabulary) -> tuple[Network, np.ndarray]:
-    """``docs``: the training texts, doc_id and text."""
+
+def train(texts: DataFrame, start: int, vocab: Vocabulary) -> tuple[Network, np.ndarray]:
+    """``texts``: the coded training texts, with their doc_id."""
     net = Network(vocab)
-    flat = net.start(vocab)
+    flat, squares = net.start(vocab), np.full(net.size, 1e-4, np.float32)
+    judges = texts.where(F.pmod(F.xxhash64("doc_id", F.lit("judge")), F.lit(JUDGES)) == 0)
+    best = None
     for i in range(ROUNDS):
-        part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == i)
-        reached = train_round(part, vocab, net, flat)
-        flat = flat if reached is None else reached
+        part = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == i)
+        reached = train_round(part, start, net, flat, squares)
+        if reached:
+            *first, after = judged(judges, start, net, [reached[0]] if best is not None else [flat, reached[0]])
+            best, squares = first[0] if first else best, reached[1]
+            if after >= best:
+                flat, best = reached[0], after
     return net, flat
 
 
-def _score_texts(vocab: Vocabulary, net: Network, flat: np.ndarray, texts: list[bytes]):
-    """Natural log probabilities of the texts' classes and members, and the
-    coded texts."""
-    p, coded = net.views(flat), Coded(vocab, texts)
+def _score_texts(net: Network, flat: np.ndarray, coded: Coded) -> np.ndarray:
+    """Natural log probabilities of the texts' classes and members."""
+    p = net.views(flat)
     lengths = np.diff(coded.at)
     order = np.argsort(-lengths, kind="stable")
     first, sizes = coded.at[order], lengths[order]
-    h = np.zeros((len(texts), HIDDEN), np.float32)
-    total = np.zeros(len(texts))
+    h = np.zeros((len(lengths), HIDDEN), np.float32)
+    total = np.zeros(len(lengths))
     t0 = 0
     while len(sizes) and (live := int(np.searchsorted(-sizes, -t0))):  # texts longer than t0
         for a in range(0, live, 2048):
@@ -381,61 +435,82 @@ def _score_texts(vocab: Vocabulary, net: Network, flat: np.ndarray, texts: list[
             found = log_probability(p, net.width, states[real], coded.slot[spots], coded.tail[spots])
             total[a:b] += np.bincount(np.nonzero(real)[1], found, b - a)
         t0 += STEPS
-    out = np.zeros(len(texts))
+    out = np.zeros(len(lengths))
     out[order] = total
-    return out, coded
+    return out
 
 
-def score(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds, F.lit(0))
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    training = plain.where(fold != held)
-    counts = stored(word_counts(training), "words")
-    vocab = vocabulary(counts)
-    net, flat = train(training, vocab)
-    sent = docs.sparkSession.sparkContext.broadcast((vocab, flat))
-    n_all, kinds = vocab.total, vocab.kinds
-    names = ["row_id", "doc_id", "n_tokens", "n_known", "base", "model", "rest"]
+def coded_texts(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """row_id, doc_id, fold, ids, and what the scores have besides the network:
+    n_tokens, n_known, base and fixed (sums of logs over known words), and the
+    words that are not known here (rest)."""
+    sent = docs.sparkSession.sparkContext.broadcast(vocab)
+    names = ["row_id", "doc_id", "fold", "ids", "n_tokens", "n_known", "base", "fixed", "rest"]
     rest_kind = pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64())]))
 
     def run(batches):
-        voc, weights = sent.value
+        voc = sent.value
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 33
         tail_log = np.log(voc.tail_n + 0.5 * (voc.tail_kinds + 1))
         for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
-                texts = utf8(batch.column("text"))
-                model, coded = _score_texts(voc, net, weights, texts)
-                c = voc.count(coded.tokens)
-                owner = np.repeat(np.arange(len(texts)), np.diff(coded.at))
-                known = c > 0
-                is_tail = coded.slot < 0
+            for begin in range(0, whole.num_rows, 4096):
+                batch = whole.slice(begin, 4096)
+                tokens, at = _tokens(utf8(batch.column("text")))
+                n = len(at) - 1
+                inputs = inputs_of(voc, tokens)
+                c = voc.count(tokens)
+                owner = np.repeat(np.arange(n), np.diff(at))
+                known, is_tail = c > 0, inputs >= HEAD
                 # Tail words: minus the class's denominator now, log(c + 0.5) when c is known.
-                model -= np.bincount(owner[is_tail], tail_log[coded.tail[is_tail]], len(texts))
+                fixed = -np.bincount(owner[is_tail], tail_log[inputs[is_tail] - HEAD], n)
                 both = known & is_tail
-                model += np.bincount(owner[both], np.log(c[both] + 0.5), len(texts))
-                base = np.bincount(owner[known], np.log(c[known] + 0.5), len(texts))
+                fixed += np.bincount(owner[both], np.log(c[both] + 0.5), n)
+                base = np.bincount(owner[known], np.log(c[known] + 0.5), n)
                 # The others, one entry per text and word.
-                key = np.stack([owner[~known], coded.tokens[~known].view(np.int64)])
-                order = np.lexsort((key[1], key[0]))
-                key = key[:, order]
+                key = np.stack([owner[~known], tokens[~known].view(np.int64)])
+                key = key[:, np.lexsort((key[1], key[0]))]
                 head = np.flatnonzero(np.any(np.diff(key, axis=1, prepend=-1) != 0, axis=0)) if key.shape[1] else np.zeros(0, int)
                 entries = pa.StructArray.from_arrays([
                     pa.array(key[1, head]), pa.array(np.diff(np.append(head, key.shape[1])))], names=["hash", "n"])
-                offsets = np.searchsorted(key[0, head], np.arange(len(texts) + 1))
+                offsets = np.searchsorted(key[0, head], np.arange(n + 1))
+                raw, ends = inputs.astype("<u2").tobytes(), (2 * at).tolist()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(row, row + len(texts))), batch.column("doc_id"), pa.array(np.diff(coded.at)),
-                    pa.array(np.bincount(owner[known], minlength=len(texts))), pa.array(base), pa.array(model),
+                    pa.array(np.arange(row, row + n)), batch.column("doc_id"), batch.column("fold"),
+                    pa.array([raw[a:b] for a, b in zip(ends, ends[1:])], pa.binary()), pa.array(np.diff(at)),
+                    pa.array(np.bincount(owner[known], minlength=n)), pa.array(base), pa.array(fixed),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries).cast(rest_kind)], names=names)
-                row += len(texts)
+                row += n
+
+    return docs.mapInArrow(run, "row_id long, doc_id long, fold long, ids binary, n_tokens long, n_known long, "
+                                "base double, fixed double, rest array<struct<hash:long,n:long>>")
+
+
+def score(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds, F.lit(0)).cast("long")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), fold.alias("fold"))
+    counts = stored(word_counts(plain.where(F.col("fold") != held)), "words")
+    vocab = vocabulary(counts)
+    texts = stored(coded_texts(plain, vocab), "coded")
+    start = int(inputs_of(vocab, np.array([END]))[0])
+    net, flat = train(texts.where(F.col("fold") != held), start, vocab)
+    sent = docs.sparkSession.sparkContext.broadcast(flat)
+    n_all, kinds = vocab.total, vocab.kinds
 
-    scored = stored(plain.mapInArrow(
-        run, "row_id long, doc_id long, n_tokens long, n_known long, base double, model double, "
-             "rest array<struct<hash:long,n:long>>"), "scores")
-    rare = scored.select("row_id", F.explode("rest").alias("r")).select("row_id", "r.hash", "r.n")
+    def run(batches):
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 4096):
+                batch = whole.slice(begin, 4096)
+                model = _score_texts(net, sent.value, Coded(batch.column("ids").to_pylist(), start))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(model) if c == "ids" else batch.column(c) for c in batch.schema.names],
+                    names=["model" if c == "ids" else c for c in batch.schema.names])
+
+    kept = ["row_id", "doc_id", "fold", "ids", "n_tokens", "n_known", "base", "fixed"]
+    scored = texts.select(*kept).mapInArrow(run, "row_id long, doc_id long, fold long, model double, n_tokens long, "
+                                                 "n_known long, base double, fixed double")
+    rare = texts.select("row_id", F.explode("rest").alias("r")).select("row_id", "r.hash", "r.n")
     found = rare.join(counts.withColumnRenamed("n", "c"), "hash", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     added = found.groupBy("row_id").agg(
         F.sum(F.col("n") * F.log(F.col("c") + 0.5)).alias("more"),
@@ -443,8 +518,8 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1) -> DataFrame:
     ln10 = float(np.log(10))
     bottom = float(np.log(n_all + 0.5 * (kinds + 1)))
     more = F.coalesce("more", F.lit(0.0))
-    return scored.drop("rest").join(added, "row_id", "left").select(
-        "doc_id", (fold == held).alias("held_out"), "n_tokens",
+    return scored.join(added, "row_id", "left").select(
+        "doc_id", (F.col("fold") == held).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
         ((F.col("base") + more - F.col("n_tokens") * bottom) / ln10).alias("base_score"),
-        ((F.col("model") + more) / ln10).alias("score"))
+        ((F.col("model") + F.col("fixed") + more) / ln10).alias("score"))

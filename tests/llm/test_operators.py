@@ -85,6 +85,21 @@ def test_slots_are_near_equal(spark, tmp_path):
     assert len(sizes) == 40 and max(sizes) - min(sizes) < 0.02 * np.mean(sizes)
 
 
+def test_slots_of_records_that_share_an_id(spark, tmp_path):
+    # A third of the records without id, a third with one id.
+    many = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 1, 7).when(F.col("id") % 3 == 2, F.col("id")).cast("long").alias("doc_id"),
+        F.concat(F.lit("text "), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")), F.col("id")).alias("text"))
+    rows = virtual_slots.shard_documents(many, str(tmp_path / "m"), 1024, 40).collect()
+    sizes, places = {}, {}
+    for r in rows:
+        sizes[r.shard] = sizes.get(r.shard, 0) + r["size"]
+        places.setdefault(r.shard, []).append(r.slot)
+    assert len(rows) == 3000 and len(sizes) == 40
+    assert max(sizes.values()) - min(sizes.values()) < 0.02 * np.mean(list(sizes.values()))
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
 def test_decontamination(docs, items, none):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     windows = {}
@@ -378,13 +393,36 @@ def test_language_model_trains_on_all_windows(monkeypatch):
 
     monkeypatch.setattr(gru_lm, "gradient_and_state", watched)
     weights, squares = net.start(vocab), np.full(net.size, 1e-4, np.float32)
-    assert gru_lm.train_texts(vocab, net, weights, squares, texts) == len(tokens) == sum(n for n, _, _ in taken)
+    raw, start = gru_lm.inputs_of(vocab, tokens).astype("<u2").tobytes(), int(gru_lm.inputs_of(vocab, np.array([gru_lm.END]))[0])
+    coded = gru_lm.Coded([raw[2 * a: 2 * b] for a, b in zip(at, at[1:])], start)
+    assert gru_lm.train_texts(net, weights, squares, coded) == len(tokens) == sum(n for n, _, _ in taken)
     # The first lane takes the longest text: its state goes on from window to window.
     assert all((b[1][0] == a[2][0]).all() for a, b in zip(taken[:21], taken[1:22])) and not taken[0][1].any()
     windows = [(int(t), int(b)) for who, begin in gru_lm.lane_windows(np.diff(at), 2) for t, b in zip(who, begin)]
     assert sorted(windows) == [(t, b) for t, n in enumerate(np.diff(at)) for b in range(0, n, gru_lm.STEPS)]
 
 
+def test_language_model_beats_its_base(spark):
+    sums = gru_lm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).groupBy("held_out").agg(
+        F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).collect()
+    assert len(sums) == 2 and all((r.s - r.b) / r.n > 0.1 for r in sums)
+
+
+def test_language_model_is_a_distribution_on_few_words(spark):
+    # Fewer kinds than HEAD: the probabilities of all one-word texts and of one
+    # unseen word with each ending sum to one less what follows the first word.
+    kinds = [f"{a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    words = np.unique(gru_lm._tokens([" ".join(kinds).encode()])[0])
+    counts = np.arange(1, len(words) + 1)
+    vocab = gru_lm.Vocabulary(words, counts, np.zeros(gru_lm.TAILS), np.zeros(gru_lm.TAILS), int(counts.sum()), len(words))
+    net = gru_lm.Network(vocab)
+    p = net.views(net.start(vocab))
+    slots = vocab.head_slot(words)
+    states = np.zeros((len(words), gru_lm.HIDDEN), np.float32)
+    mass = np.exp(gru_lm.log_probability(p, net.width, states, slots, np.zeros(len(words), int))).sum()
+    assert 0.9 < mass <= 1 + 1e-5
+
+
 def test_licenses_over_line_breaks(spark):
     apache, mit = license_scan.PASSAGES["Apache-2.0"][0], license_scan.PASSAGES["MIT"][0]
     gpl, bsd = license_scan.PASSAGES["GPL-2.0"][0], license_scan.PASSAGES["BSD-3-Clause"][0]
