@@ -4,7 +4,9 @@ of fixed chunks must lie in a band that depends on the document's length.
 Repetitive text compresses far better than prose and leaves the band at the
 top; encoded or random text hardly compresses and leaves it at the bottom.
 Short texts compress badly whatever they hold, so every length class has
-limits of its own.
+limits of its own, and so have its chunks, which are shorter in shorter texts.
+The last chunk ends with the text and overlaps the one before it, so every byte
+of a text that has chunks is judged in a chunk of full length.
 
 One pass without a shuffle; each task holds one Arrow batch.  NULL and empty
 texts have no words and fail the base rule.  Repeated rows are judged one by
@@ -26,26 +28,27 @@ SYMBOLS = b"#*$%&|<>"
 
 @dataclass(frozen=True)
 class Band:
-    """Ratios (bytes / compressed bytes) allowed below a length in bytes."""
+    """Ratios (bytes / compressed bytes) allowed below a length in bytes, for the
+    text and for its chunks of ``chunk`` bytes (0: the text is not cut)."""
 
     below: int
     low: float
     high: float
+    chunk: int = 0
+    chunk_low: float = 0.0
+    chunk_high: float = 0.0
 
 
 #: Limits by length of the whole text.
 DOCUMENT_BANDS = (
     Band(512, 0.90, 2.60),
     Band(1_024, 1.30, 2.80),
-    Band(4_096, 1.45, 3.20),
-    Band(16_384, 1.60, 3.70),
-    Band(1 << 62, 1.70, 4.20),
+    Band(4_096, 1.45, 3.20, 1_024, 1.45, 3.50),
+    Band(16_384, 1.60, 3.70, 2_048, 1.60, 4.50),
+    Band(1 << 62, 1.70, 4.20, 4_096, 1.70, 6.00),
 )
-#: Limits of every whole chunk of CHUNK bytes, and the share of chunks that
-#: may break them.
-CHUNK = 4_096
-CHUNK_BAND = Band(CHUNK + 1, 1.40, 6.00)
-CHUNK_SHARE = 0.34
+#: Share of a text's chunks that may break their limits.
+CHUNK_SHARE = 0.1
 LEVEL = 3
 
 SCHEMA = (
@@ -77,29 +80,27 @@ def base_statistics(raw: bytes, words: np.ndarray) -> tuple[int, int, int, int,
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
-def band_verdict(raw: bytes, packer, bands=DOCUMENT_BANDS, chunk=CHUNK, chunk_band=CHUNK_BAND,
-                 share=CHUNK_SHARE) -> tuple[float, int, int, str]:
-    """Ratio of the whole, chunks, chunks outside their band, verdict."""
+def band_verdict(raw: bytes, packer, bands=DOCUMENT_BANDS, share=CHUNK_SHARE) -> tuple[float, int, int, str]:
+    """Ratio of the whole, chunks, chunks outside their limits, verdict."""
     if not raw:
         return 0.0, 0, 0, "empty"
     ratio = len(raw) / len(packer.compress(raw))
     band = next(b for b in bands if len(raw) < b.below)
-    whole = len(raw) // chunk
-    bad = 0
-    for i in range(whole):
-        part = raw[i * chunk: (i + 1) * chunk]
-        bad += not chunk_band.low <= len(part) / len(packer.compress(part)) <= chunk_band.high
+    starts = []
+    if 0 < band.chunk < len(raw):
+        starts = [*range(0, len(raw) - band.chunk, band.chunk), len(raw) - band.chunk]
+    bad = sum(not band.chunk_low <= band.chunk / len(packer.compress(raw[i: i + band.chunk])) <= band.chunk_high
+              for i in starts)
     if ratio > band.high:
-        return ratio, whole, bad, "repetitive"
+        return ratio, len(starts), bad, "repetitive"
     if ratio < band.low:
-        return ratio, whole, bad, "incompressible"
-    if bad > share * whole:
-        return ratio, whole, bad, "chunks"
-    return ratio, whole, bad, "pass"
+        return ratio, len(starts), bad, "incompressible"
+    if bad > share * len(starts):
+        return ratio, len(starts), bad, "chunks"
+    return ratio, len(starts), bad, "pass"
 
 
-def compression_bands(docs: DataFrame, bands=DOCUMENT_BANDS, chunk: int = CHUNK,
-                      chunk_band: Band = CHUNK_BAND, share: float = CHUNK_SHARE,
+def compression_bands(docs: DataFrame, bands=DOCUMENT_BANDS, share: float = CHUNK_SHARE,
                       level: int = LEVEL) -> DataFrame:
     """Base statistics and the compression verdict of every document."""
 
@@ -114,7 +115,7 @@ def compression_bands(docs: DataFrame, bands=DOCUMENT_BANDS, chunk: int = CHUNK,
             for i, raw in enumerate(texts):
                 n, chars, symbols, dup, rep = base_statistics(raw, hashes[at[i]: at[i + 1]])
                 failed = n < 50 or 100 * rep > 50 * n
-                ratio, chunks, bad, verdict = band_verdict(raw, packer, bands, chunk, chunk_band, share)
+                ratio, chunks, bad, verdict = band_verdict(raw, packer, bands, share)
                 rows.append((n, chars, symbols, dup, rep, failed,
                              not failed and verdict == "pass", ratio, chunks, bad, verdict))
             columns = list(zip(*rows)) or [()] * 11

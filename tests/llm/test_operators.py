@@ -1,9 +1,11 @@
 """Text operators on edge rows (NULLs, empty and long texts, repeated rows,
 clashing columns, empty tables) and against brute force on a small fixture."""
 
+import base64
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -65,6 +67,63 @@ def test_bands(docs, none):
     assert compression_bands.compression_bands(none).count() == 0
 
 
+def prose(n, seed=7):
+    """About n bytes of text with the letter and word statistics of prose."""
+    dealt = np.random.default_rng(seed)
+    kinds = ["".join(dealt.choice(list("etaoinshrdlucmfwypvbgk"), dealt.integers(2, 10))) for _ in range(2_000)]
+    weight = 1 / np.arange(20, 2_020)
+    return " ".join(kinds[k] for k in dealt.choice(2_000, n // 3 + 1, p=weight / weight.sum()))[:n]
+
+
+def noise(n, seed=7):
+    return base64.b64encode(np.random.default_rng(seed).bytes(n)).decode()[:n]
+
+
+@pytest.mark.parametrize("size", [3_000, 9_000, 40_000])
+def test_bands_judge_every_byte(spark, size):
+    """Noise anywhere in a text, its last bytes included, breaks a chunk."""
+    limit = next(b for b in compression_bands.DOCUMENT_BANDS if size < b.below)
+    rows = [(0, prose(size))]
+    for k, at in enumerate((0, size // 3, size - limit.chunk, size), 1):
+        # In the longest texts one chunk in ten may be noise.
+        long = max(1, size // limit.chunk // 4) * limit.chunk
+        rows.append((k, prose(at) + noise(min(long, size - at) or long, k) + prose(max(0, size - at - long))))
+    got = {r.doc_id: r for r in compression_bands.compression_bands(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].verdict == "pass" and got[0].n_bad_chunks == 0
+    assert got[0].n_chunks == -(-size // limit.chunk)
+    assert all(got[k].n_bad_chunks > 0 for k in (1, 2, 3, 4))
+    assert all(got[k].verdict != "pass" for k in (1, 2, 4))
+
+
+def naive_base(text):
+    """The base columns, plainly: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[i: i + 3]) for i in range(len(words) - 2)]
+    count, inside = Counter(windows), set()
+    for i, w in enumerate(windows):
+        inside.update(range(i, i + 3) if count[w] > 1 else ())
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)),
+            len(inside))
+
+
+def test_base_columns_against_brute_force(spark, docs):
+    for table in (docs, spark.read.parquet(f"{SF_SMALL}/documents.parquet")):
+        want = Counter((r.doc_id, *naive_base(r.text)) for r in table.select("doc_id", "text").collect())
+        got = compression_bands.compression_bands(table).collect()
+        assert Counter(tuple(r[:6]) for r in got) == want
+        assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) for r in got)
+
+
+def test_bands_keep_documents_of_good_quality(spark):
+    """Long documents labelled good stay; what is kept less is short."""
+    good = spark.read.parquet(f"{SF_SMALL}/labels.parquet").where("quality = 1").select("doc_id")
+    judged = compression_bands.compression_bands(spark.read.parquet(f"{SF_SMALL}/documents.parquet").join(good, "doc_id"))
+    rows = judged.where("NOT base_failed").collect()
+    assert len(rows) > 10 and all(r.kept for r in rows)
+
+
 def test_slots(docs, none, tmp_path):
     rows = virtual_slots.shard_documents(docs, str(tmp_path / "map"), 256, 5).collect()
     assert len(rows) == len(ROWS)
