@@ -12,7 +12,9 @@ Windows run over the words of the whole text, across line breaks, and have as
 many words as the template.  A document is searched for a template only if it
 holds the least share of the template's bigrams that the bound asks for; the
 windows start at the template's bigrams, as moving a window up to its first one
-loses none.  Of overlapping matches of different licenses the better one counts.
+loses none, and a match ends with the last of them in its window.  Of overlapping matches of different licenses the better one counts,
+of equally good ones the longer.  Long license bodies are told by passages of
+their own, and identifier tags (one line) are templates too.
 
 Templates are a fixed, small table, so they are folded into the expressions;
 nothing is joined or shuffled and every document is one row throughout.  NULL
@@ -93,6 +95,67 @@ PASSAGES: dict[str, tuple[str, ...]] = {
         "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
         "binary, for any purpose, commercial or non-commercial, and by any means.",),
 }
+_FSF = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+#: Passages by which the long license bodies are told apart (their
+#: opening or first grant), found in windows across line breaks.
+BODIES: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": (
+        "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms "
+        "and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document. "
+        "\"Licensor\" shall mean the copyright owner or entity authorized by the copyright owner that is granting the "
+        "License.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+        "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare "
+        "Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such "
+        "Derivative Works in Source or Object form.",),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE "
+        "COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES",),
+    "GPL-3.0": (
+        f"GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. "
+        f"<https://fsf.org/> {_FSF} Preamble The GNU General Public License is a free, copyleft license for software "
+        "and other kinds of works.",),
+    "AGPL-3.0": (
+        f"GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, "
+        f"Inc. <https://fsf.org/> {_FSF} Preamble The GNU Affero General Public License is a free, copyleft license "
+        "for software and other kinds of works, specifically designed to ensure cooperation with the community in the "
+        "case of network server software.",),
+    "LGPL-3.0": (
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of "
+        "the GNU General Public License, supplemented by the additional permissions listed below.",),
+    "LGPL-2.1": (
+        f"{_FSF} [This is the first released version of the Lesser GPL. It also counts as the successor of the GNU "
+        "Library Public License, version 2, hence the version number 2.1.]",),
+    "GPL-2.0": (
+        "The licenses for most software are designed to take away your freedom to share and change it. By contrast, "
+        "the GNU General Public License is intended to guarantee your freedom to share and change free software--to "
+        "make sure the software is free for all its users.",),
+    "MPL-2.0": (
+        "\"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns "
+        "Covered Software. 1.2. \"Contributor Version\" means the combination of the Contributions of others (if any) "
+        "used by a Contributor and that particular Contributor's Contribution.",),
+    "CC0-1.0": (
+        "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related "
+        "Rights (defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") of an original "
+        "work of authorship and/or a database (each, a \"Work\").",),
+    **{f"CC-{short}-4.0": (
+        "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and "
+        f"conditions of this Creative Commons {name} 4.0 International Public License (\"Public License\").",)
+       for short, name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"),
+                           ("BY-NC", "Attribution-NonCommercial"))},
+}
+
+
+def tags() -> dict[str, tuple[str, ...]]:
+    """The one-line tag that names a license by its identifier."""
+    names = dict.fromkeys([*TEMPLATES, *PASSAGES, *BODIES])
+    return {name: (f"SPDX-License-Identifier: {name}",) for name in names}
+
+
 #: Least coefficient of a match.
 THRESHOLD = 0.9
 
@@ -147,7 +210,7 @@ def _best(grams: Column, threshold: float) -> Column:
 
 def passages() -> list[tuple[str, int, list[str]]]:
     """License, words and bigrams of every template that windows are compared with."""
-    return [(name, len(_words(t)), _bigrams(t)) for table in (TEMPLATES, PASSAGES)
+    return [(name, len(_words(t)), _bigrams(t)) for table in (TEMPLATES, PASSAGES, BODIES, tags())
             for name, texts in table.items() for t in texts]
 
 
@@ -186,7 +249,8 @@ def _windows(pairs: Column, name: str, words: int, template: list[str], threshol
         def judged(s: Column) -> Column:
             return _let(F.array_distinct(F.slice(pairs, s + 1, words - 1)), lambda window: F.struct(
                 (2.0 * F.size(F.array_intersect(window, grams)) / (F.size(window) + len(template))).alias("dice"),
-                F.lit(name).alias("license"), s.alias("start"), (s + words).alias("stop")))
+                F.lit(name).alias("license"), s.alias("start"),
+                (F.array_max(F.filter(at, lambda x: (x >= s) & (x < s + words - 1))) + 2).alias("stop")))
 
         return F.filter(F.transform(starts, judged), lambda m: m["dice"] >= threshold)
 
@@ -198,7 +262,7 @@ MATCHES = "array<struct<dice:double,license:string,start:int,stop:int>>"
 
 def _passages(text: Column, threshold: float) -> Column:
     """All matches of windows of a text, without those that a better match of
-    another license overlaps."""
+    another license, or a longer one that is as good, overlaps."""
     none = F.array().cast(MATCHES)
     templates_ = passages()
     every = F.array(*map(F.lit, sorted({g for _, _, grams in templates_ for g in grams})))
@@ -218,7 +282,8 @@ def _passages(text: Column, threshold: float) -> Column:
 
     def best(matches: Column) -> Column:
         return F.filter(matches, lambda m: ~F.exists(matches, lambda o: (
-            (o["license"] != m["license"]) & (o["start"] < m["stop"]) & (m["start"] < o["stop"]) & (o["dice"] > m["dice"]))))
+            (o["license"] != m["license"]) & (o["start"] < m["stop"]) & (m["start"] < o["stop"]) & (
+                (o["dice"] > m["dice"]) | ((o["dice"] == m["dice"]) & (o["stop"] - o["start"] > m["stop"] - m["start"]))))))
 
     trigger = "(?i)(?<![0-9a-z])(?:" + "|".join(trigger_words(threshold)) + ")(?![0-9a-z])"
     return F.when(text.rlike(trigger), _let(_let(_pairs(_line_words(text)), found), best)).otherwise(none)

@@ -498,6 +498,69 @@ def test_licenses_over_line_breaks(spark):
         1: ["Apache-2.0"], 2: ["MIT"], 3: ["GPL-2.0"], 4: ["BSD-3-Clause"], 5: [], 6: ["MIT"]}
 
 
+def test_license_bodies_and_tags(spark):
+    """A license body, wrapped and with other text around, and a tag alone are
+    told from the bodies and tags of the licenses next to them."""
+
+    def wrapped(text, n):
+        words = text.split()
+        return "\n".join("    " + " ".join(words[i: i + n]) for i in range(0, len(words), n))
+
+    rows, want = [], {}
+    for name, passages in [*license_scan.BODIES.items(), *license_scan.tags().items()]:
+        for k, passage in enumerate(passages):
+            i = len(rows)
+            rows.append((i, f"{BASE}\n{wrapped(passage, 7 + k)}\nThe rest follows."))
+            want[i] = [name]
+    bsd = license_scan.PASSAGES["BSD-3-Clause"][1]
+    three = f"{bsd} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"
+    for text, names in ((wrapped(three, 10), ["BSD-3-Clause"]), ("spdx license identifier", []),
+                        ("// SPDX-License-Identifier: (MIT OR Apache-2.0)", ["MIT"]),
+                        ("# SPDX-License-Identifier: MIT\nx\n# SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0", "MIT"])):
+        want[len(rows)] = names
+        rows.append((len(rows), text))
+    found = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.licenses for r in found.collect()} == want
+
+
+def naive_licenses(text, threshold):
+    """Every window that starts with a bigram of a template, compared one by one."""
+    words = license_scan._words(text)
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    matches = []
+    for name, size, grams in license_scan.passages():
+        own = set(grams)
+        for at in (i for i, g in enumerate(pairs) if g in own):
+            window = pairs[at: at + size - 1]
+            dice = 2 * len(own & set(window)) / (len(set(window)) + len(own))
+            if dice >= threshold:
+                matches.append((dice, name, at, max(at + i for i, g in enumerate(window) if g in own) + 2))
+    return {m[1] for m in matches if not any(
+        o[1] != m[1] and o[2] < m[3] and m[2] < o[3] and (o[0], o[3] - o[2]) > (m[0], m[3] - m[2]) for o in matches)}
+
+
+def test_license_windows_against_brute_force(spark):
+    """Passages with words lost, doubled and put in, between other text; the
+    scan finds what comparing every window finds (and lines of its own)."""
+    dealt = np.random.default_rng(5)
+    texts = []
+    every = [t for table in (license_scan.PASSAGES, license_scan.BODIES, license_scan.tags())
+             for ts in table.values() for t in ts]
+    for k, passage in enumerate(every):
+        words = passage.split()
+        for _ in range(int(dealt.integers(0, 4)) if len(words) > 4 else 0):
+            at = int(dealt.integers(0, len(words)))
+            words[at: at + 1] = [[], [words[at]] * 2, ["other", words[at]]][int(dealt.integers(0, 3))]
+        texts.append((k, f"{BASE[: 40]}\n" + "\n".join(words) + f"\n{every[k - 1][:90]}"))
+    found = license_scan.license_scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    lines_only = {r.doc_id for r in found if r.n_license_lines}
+    assert len(found) == len(texts) and len(lines_only) < len(texts) / 2
+    text = dict(texts)
+    for r in found:
+        want = naive_licenses(text[r.doc_id], license_scan.THRESHOLD)
+        assert set(r.licenses) >= want and (r.doc_id in lines_only or set(r.licenses) == want)
+
+
 def test_suffix_dedup_reads_row_ids_from_one_copy(spark, tmp_path):
     rows = [(i, f"text {i} " + " ".join(f"{i}x{j}" for j in range(60)) + (PASSAGE * 2 if i % 3 == 0 else ""))
             for i in range(30)]
