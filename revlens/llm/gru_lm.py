@@ -184,10 +184,6 @@ class Network:
         return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def _steps(p, ids: np.ndarray, h: np.ndarray):
     """States after each step; ids: steps x lanes.  Also what the backward
     pass needs."""
@@ -195,9 +191,15 @@ def _steps(p, ids: np.ndarray, h: np.ndarray):
     states, kept = np.empty((*ids.shape, k), np.float32), []
     for t in range(len(ids)):
         x, r = p["x"][ids[t]], h @ p["u"]
-        gates = _sigmoid(x[:, : 2 * k] + r[:, : 2 * k])
+        gates = x[:, : 2 * k] + r[:, : 2 * k]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         z, reset = gates[:, :k], gates[:, k:]
-        new = np.tanh(x[:, 2 * k:] + reset * r[:, 2 * k:])
+        new = reset * r[:, 2 * k:]
+        new += x[:, 2 * k:]
+        np.tanh(new, out=new)
         kept.append((h, z, reset, new, r[:, 2 * k:]))
         h = new + z * (h - new)
         states[t] = h
@@ -221,6 +223,14 @@ def _class_of(slot: np.ndarray, tail: np.ndarray, width: int) -> np.ndarray:
     return np.where(slot >= 0, slot // width, CLASSES + tail)
 
 
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of their class, and where each head class begins and the
+    last one ends."""
+    small = cls.astype(np.uint16)  # numpy sorts 16-bit numbers by radix
+    order = np.argsort(small, kind="stable")
+    return order, np.searchsorted(small[order], np.arange(CLASSES + 1, dtype=np.uint16))
+
+
 def log_probability(p, width: int, states: np.ndarray, slot: np.ndarray, tail: np.ndarray) -> np.ndarray:
     """Natural log of P(class | state), times P(member | class, state) for head
     words.  states: n x HIDDEN."""
@@ -230,12 +240,15 @@ def log_probability(p, width: int, states: np.ndarray, slot: np.ndarray, tail: n
         logits = states[a: a + CACHED] @ p["c"]
         logits += p["cb"]
         out[a: a + CACHED] = _log_at(logits, cls[a: a + CACHED])
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        rows = order[edges[c]: edges[c + 1]]
-        if len(rows):
-            out[rows] += _log_at(states[rows] @ p["m"][c] + p["mb"][c], slot[rows] % width)
+    order, edges = _by_class(cls)
+    order = order[: edges[-1]]
+    by_class, member, inner = states[order], (slot % width)[order], np.empty(len(order), np.float32)
+    for c in np.flatnonzero(np.diff(edges)):
+        a, b = edges[c], edges[c + 1]
+        logits = by_class[a:b] @ p["m"][c]
+        logits += p["mb"][c]
+        inner[a:b] = _log_at(logits, member[a:b])
+    out[order] += inner
     return out
 
 
@@ -267,17 +280,22 @@ def gradient_and_state(net: Network, flat: np.ndarray, ids: np.ndarray, slot: np
         d["c"] += own.T @ prob
         d["cb"] += np.ones(len(own), np.float32) @ prob
         back[a: a + CACHED] = prob @ p["c"].T
-    order = np.argsort(np.where(mask, cls, CLASSES), kind="stable")
-    edges = np.searchsorted(np.where(mask, cls, CLASSES)[order], np.arange(CLASSES + 1))
+    order, edges = _by_class(np.where(mask, cls, CLASSES))
+    order = order[: edges[-1]]
+    by_class, member, place = flat_states[order], (s % net.width)[order], np.arange(len(order))
+    inner, ones = np.empty_like(by_class), np.ones(len(order), np.float32)
     for c in np.flatnonzero(np.diff(edges)):
-        rows = order[edges[c]: edges[c + 1]]
-        own = flat_states[rows]
-        inside = _softmax(own @ p["m"][c] + p["mb"][c])
-        inside[np.arange(len(rows)), s[rows] % net.width] -= 1
+        a, b = edges[c], edges[c + 1]
+        own = by_class[a:b]
+        inside = own @ p["m"][c]
+        inside += p["mb"][c]
+        inside = _softmax(inside)
+        inside[place[: b - a], member[a:b]] -= 1
         inside *= np.float32(1 / n)
-        d["m"][c] += own.T @ inside
-        d["mb"][c] += inside.sum(0)
-        back[rows] += inside @ p["m"][c].T
+        d["m"][c] = own.T @ inside
+        d["mb"][c] = ones[: b - a] @ inside
+        inner[a:b] = inside @ p["m"][c].T
+    back[order] += inner
     back = back.reshape(states.shape)
     carry = np.zeros_like(h)
     inputs = np.empty((*ids.shape, 3 * k), np.float32)
@@ -293,7 +311,7 @@ def gradient_and_state(net: Network, flat: np.ndarray, ids: np.ndarray, slot: np
         dr[:, : 2 * k], dr[:, 2 * k:] = dx[:, : 2 * k], dnew * reset
         d["u"] += before.T @ dr
         carry = dh * z + dr @ turned
-    order = np.argsort(ids, axis=None, kind="stable")
+    order = np.argsort(ids.ravel().astype(np.uint16), kind="stable")
     words = ids.ravel()[order]
     heads = np.flatnonzero(np.diff(words, prepend=-1))
     d["x"][words[heads]] = np.add.reduceat(inputs.reshape(-1, 3 * k)[order], heads, axis=0)
