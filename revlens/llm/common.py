@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import contextlib
-import gc
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.sources.scratch import shared_dir
+from revlens.sources.scratch import freed, settled, shared_dir, written
 from revlens.sources.tables import table_path
 
 
@@ -22,14 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared directory and read it back:
     lineage is cut, and the rows survive the loss of executors.  The shuffle
-    files of finished steps are freed when the driver collects its garbage,
-    which a long job of small plans rarely does by itself."""
-    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
+    files of finished steps are freed."""
+    out = written(df, name)
+    settled(df.sparkSession)
     for made in _watched:
         made.append(out)
     return out
@@ -49,14 +42,6 @@ def stored_within():
         _watched.remove(made)
 
 
-def freed(*frames: DataFrame) -> None:
-    """Delete stored tables that no later step reads."""
-    for df in frames:
-        spark = df.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def parallelism(spark: SparkSession, floor: int = 1) -> int:
     """The session's shuffle partition count."""
     return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -256,3 +256,52 @@ def test_spectral_vectors_do_not_depend_on_partitions(spark):
     assert found[0].keys() == found[1].keys() and len(found[0]) == 24
     assert all(np.allclose(found[0][w], found[1][w], atol=1e-8) for w in found[0])
     assert WV.spectral_vectors(WV.positive_pmi(WV.cooccurrence(frame.where("false")))).count() == 0
+
+
+def _cooccurring(texts, window, min_count):
+    from collections import Counter
+    tokens = [[] if t is None else t.lower().split(" ") for t in texts]
+    often = Counter(w for t in tokens for w in t)
+    counts = Counter()
+    for t in tokens:
+        kept = [w for w in t if often[w] >= min_count]
+        for i, a in enumerate(kept):
+            for b in kept[i + 1: i + 1 + window]:
+                counts[a, b] += 1
+                counts[b, a] += 1
+    return dict(counts)
+
+
+@pytest.mark.parametrize("most, portion", [(64 << 20, 1 << 20), (64 << 20, 3), (0, 7)])
+def test_cooccurrence_against_brute_force(spark, monkeypatch, most, portion):
+    from revlens.plans import wordvectors as WV
+    monkeypatch.setattr(WV, "MOST_BYTES", most)
+    monkeypatch.setattr(WV, "PORTION", portion)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["A", "a", "b", "c", "É", "", "rare%d" % i], rng.integers(0, 20))) for i in range(60)]
+    texts += [None, "", " ", "b", None, "lonely"]
+    frame = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "asin string, title string").repartition(5)
+    got = {(r.word, r.context): r.n for r in WV.cooccurrence(frame, 3, 10).collect()}
+    assert got == _cooccurring(texts, 3, 10) and len(got) > 10
+
+
+def test_cooccurrence_shuffles_only_counted_pairs(spark):
+    from revlens.plans import wordvectors as WV
+    frame = spark.createDataFrame([(str(i), "a b c a") for i in range(40)], "asin string, title string")
+    plan = WV.cooccurrence(frame, 5, 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "collect_list" not in plan
+
+
+def test_spectral_vectors_leave_one_table(spark):
+    import os
+
+    from revlens.plans import wordvectors as WV
+    from revlens.sources.scratch import shared_dir
+    frame = spark.createDataFrame([(str(i), "a b c d e"[: 1 + 2 * (i % 5)]) for i in range(60)], "asin string, title string")
+    pmi = WV.positive_pmi(WV.cooccurrence(frame, 2, 10))
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    vectors = WV.spectral_vectors(pmi, 2, 3)
+    left = {n.split("-")[0] for n in set(os.listdir(folder)) - before if "-" in n}
+    assert len(set(os.listdir(folder)) - before) == 1 and left == {"vectors"}
+    assert vectors.count() > 0
