@@ -199,17 +199,23 @@ def earlier(found: DataFrame, length: int) -> DataFrame:
 def longest(found: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     """row_id and the greatest doubled length at which one of its anchors'
     windows starts in another document too; documents without one are absent."""
+    # Only hashes of levels to come are kept.
     rows = stored(found.where("size(longer) > 0").select("row_id", "doc_id", "longer"), "double-level")
     level, reached = 1, []
     while True:
-        rows = rows.where(F.size("longer") >= level).withColumn("h", F.get("longer", F.lit(level - 1)))
-        repeated = stored(rows.groupBy("h").agg(
+        hashed = rows.where("size(longer) > 0").withColumn("h", F.get("longer", F.lit(0)))
+        repeated = stored(hashed.groupBy("h").agg(
             F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("refs"))
             .where("lo < hi").select("h", "refs"), "double-repeated")
         if repeated.isEmpty():
+            freed(rows, repeated)
             break
-        rows = stored(looked_up(rows, repeated, ["h"]).drop("h", "refs"), "double-level")
-        reached.append(rows.select("row_id", F.lit(length << level).cast("long").alias("longest")))
+        left = stored(looked_up(hashed, repeated, ["h"]).select(
+            "row_id", "doc_id", F.slice("longer", F.lit(2), F.size("longer")).alias("longer")), "double-level")
+        freed(rows, repeated)
+        rows = left
+        reached.append(stored(rows.select("row_id").distinct().withColumn(
+            "longest", F.lit(length << level).cast("long")), "double-reached"))
         level += 1
     out = spans.select("row_id", F.lit(length).cast("long").alias("longest"))
     for r in reached:

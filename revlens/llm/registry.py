@@ -117,7 +117,7 @@ def op11_merkle_manifest(spark, sf_dir):
 
 @register
 def op13_doubling_dedup(spark, sf_dir):
-    cut = doubling_dedup.dedup(table(spark, sf_dir, "documents"), follow=False)
+    cut = doubling_dedup.dedup(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 

@@ -164,6 +164,25 @@ def test_doubling_follows_to_the_longest(docs):
     assert longest[11, 50] in (20, 40) and longest[7, 9000] >= 40 and longest[4, 0] == longest[None, 120] == 0
 
 
+def test_doubling_query_follows_all_levels(spark, tmp_path, monkeypatch):
+    rows = [(1, " ".join(WORDS)), (2, "x " + " ".join(WORDS[:360])), (3, " ".join(WORDS[300:])), (4, None), (None, PASSAGE)]
+    levels = []
+
+    def watched(df, name):
+        out = common.stored(df, name)
+        if name == "double-reached":
+            levels.append(out.count())
+        return out
+
+    monkeypatch.setattr(doubling_dedup, "stored", watched)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op13_doubling_dedup"](spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=repr) == sorted(
+        (r[:4] for r in brute_cut(rows, 50)), key=repr)
+    # Rows 1 and 2 share 360 words: windows of 100 and of 200 of them are followed.
+    assert levels == [2, 2]
+
+
 def test_doubling_of_frequent_passages(spark, monkeypatch):
     # A passage in a third of all rows, with different words around it, and a
     # group of copies; keys count as frequent early.
