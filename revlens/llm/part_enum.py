@@ -67,6 +67,8 @@ BITMAP_BITS = 24
 HOT = 8
 #: A bucket's signatures are sorted in so many parts, one after another.
 PARTS = 8
+#: Words whose shingles are hashed and sorted at a time.
+PORTION = 1 << 17
 #: Nodes in a block, when the nodes of frequent signatures are compared.
 BLOCK = 256
 
@@ -138,17 +140,49 @@ def signatures(grams: np.ndarray, scheme: Scheme) -> np.ndarray:
     return np.concatenate(out)
 
 
-def set_hash(grams: np.ndarray) -> int:
-    """One 64-bit number for a set, as a signed long."""
-    total = np.array([mix(grams).sum(dtype=np.uint64) + np.uint64(len(grams))], dtype=np.uint64)
-    return int(mix(total).view(np.int64)[0])
+def set_hashes(grams: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit number for every set, as signed longs; the sets stand one
+    after another and end at ``ends``."""
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(grams), dtype=np.uint64)])[np.concatenate([[0], ends])]
+    return mix(np.diff(sums) + np.diff(ends, prepend=0).astype(np.uint64)).view(np.int64)
+
+
+def _in_portion(words: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of the texts of a portion, one after
+    another, and where each text's end.  Text i has words[at[i]:at[i + 1]]."""
+    counts = np.diff(at)
+    windows = np.maximum(counts - n + 1, 0)
+    inside = np.zeros(len(words), dtype=bool)
+    inside[np.arange(windows.sum()) + np.repeat(at[:-1] - (np.cumsum(windows) - windows), windows)] = True
+    grams = shingles(words, n)[inside[: max(0, len(words) - n + 1)]] if windows.any() else words[:0]
+    few = np.flatnonzero((counts > 0) & (counts < n))
+    if len(few):
+        # All words of these texts are one shingle.
+        ends = np.cumsum(windows)
+        grams = np.insert(grams, ends[few], [shingles(words[at[i]: at[i + 1]], n)[0] for i in few])
+        windows[few] = 1
+    ends = np.cumsum(windows)
+    for a, b in zip((ends - windows).tolist(), ends.tolist()):
+        grams[a:b].sort()
+    fresh = np.ones(len(grams), dtype=bool)
+    fresh[1:] = grams[1:] != grams[:-1]
+    fresh[(ends - windows)[windows > 0]] = True
+    return grams[fresh], np.concatenate([[0], np.cumsum(fresh)])[ends]
 
 
 def _sets(batch, n: int = SHINGLE):
-    """The sorted distinct shingle hashes of every text of a batch."""
+    """Node (None for the empty set) and the sorted distinct shingle hashes
+    of every text of a batch, hashed in portions of about PORTION words."""
     hashes, at = hashed_words(utf8(batch.column("text")), SPACED, lower=True)
-    for i in range(len(at) - 1):
-        yield np.unique(shingles(hashes[at[i]: at[i + 1]], n))
+    begin = 0
+    while begin < len(at) - 1:
+        stop = max(begin + 1, int(np.searchsorted(at, at[begin] + PORTION, "right")) - 1)
+        grams, ends = _in_portion(hashes[at[begin]: at[stop]], at[begin: stop + 1] - at[begin], n)
+        first = 0
+        for node, end in zip(set_hashes(grams, ends).tolist(), ends.tolist()):
+            yield (node if end > first else None), grams[first:end]
+            first = end
+        begin = stop
 
 
 def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -159,7 +193,7 @@ def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     def run(batches):
         scheme = Scheme(percent)
         for batch in batches:
-            sets = [(len(g), set_hash(g), *spare(g, scheme)) if len(g) else (0, None, 0, 0) for g in _sets(batch)]
+            sets = [(len(g), node, *spare(g, scheme)) if len(g) else (0, None, 0, 0) for node, g in _sets(batch)]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.int64()),
                 *(pa.array([x[i] for x in sets], pa.int64()) for i in range(4))], names=names)
@@ -178,8 +212,8 @@ def _blocks(docs: DataFrame, buckets: int, percent: int) -> DataFrame:
         seen: set[int] = set()  # equal sets of a task are sent once
         for batch in batches:
             nodes, sizes, sigs = [], [], []
-            for grams in _sets(batch):
-                if not len(grams) or (node := set_hash(grams)) in seen:
+            for node, grams in _sets(batch):
+                if not len(grams) or node in seen:
                     continue
                 if len(seen) < 200_000:
                     seen.add(node)
@@ -301,7 +335,7 @@ def _picked(docs: DataFrame, wanted: DataFrame, payload) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             rows = []
-            sets = [(set_hash(g), g) for g in _sets(batch) if len(g)]
+            sets = [(node, g) for node, g in _sets(batch) if len(g)]
             wanted_here = in_bitmap(held.value, np.array([n for n, _ in sets], np.int64).view(np.uint64))
             for (node, grams), here in zip(sets, wanted_here):
                 if not here or node in seen:

@@ -597,3 +597,21 @@ def test_mixture_packing_many_sources(spark):
         share[r.sequence_id, r.source] = share.get((r.sequence_id, r.source), 0) + r.length
     # 10 tokens of each of 200 sources in every full window.
     assert all(7 <= share.get((w, f"s{s}"), 0) <= 13 for w in range(total // 2000) for s in range(200))
+
+
+@pytest.mark.parametrize("portion", [1, 7, 1 << 17])
+def test_sets_in_portions_are_those_of_single_texts(monkeypatch, portion):
+    import pyarrow as pa
+
+    from revlens.llm.text import SPACED, hashed_words, shingles
+    monkeypatch.setattr(part_enum, "PORTION", portion)
+    texts = [None, "", "a", "a b", "a b c d e", "A b c d e f", " x\ty ", "a " * 30, "\n", "q w e", "a b c d e f"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    found = list(part_enum._sets(batch))
+    assert len(found) == len(texts)
+    for text, (node, grams) in zip(texts, found):
+        words, _ = hashed_words([(text or "").encode()], SPACED, lower=True)
+        assert grams.tolist() == np.unique(shingles(words, 5)).tolist()
+        assert (node is None) == (len(words) == 0)
+    assert found[4][0] != found[5][0] == found[10][0]
+    assert list(part_enum._sets(batch.slice(0, 0))) == []
