@@ -31,6 +31,7 @@ these runs are shuffled, so a source with a third of all rows is no hot key.
 from __future__ import annotations
 
 import heapq
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +89,13 @@ class Schedule:
             raise ValueError("a queue with tokens needs a positive weight")
         self.capacity, self.total = capacity, sum(self.lengths)
         self._known: dict[int, list[int]] = {}
+        # Queues in the order in which they run dry, with the tokens of those
+        # before each and the weight of it and those after it.
+        self.live = sorted((q for q, x in enumerate(self.lengths) if x),
+                           key=lambda q: self._due(q, self.lengths[q] - 1))
+        self.dry = [0, *itertools.accumulate(self.lengths[q] for q in self.live)]
+        weight = [0, *itertools.accumulate(self.weights[q] for q in self.live)]
+        self.left = [weight[-1] - w for w in weight]
 
     def _due(self, q: int, x: int) -> tuple[int, int]:
         # Fixed point with more digits than two different due times can share.
@@ -102,26 +110,27 @@ class Schedule:
         return self._known[window]
 
     def _solve(self, n: int) -> list[int]:
-        live = [q for q, x in enumerate(self.lengths) if x]
         # Queues that are dry at the time when n tokens are due, at unit rate.
-        live.sort(key=lambda q: self._due(q, self.lengths[q] - 1))
-        dry, weight = 0, sum(self.weights[q] for q in live)
-        while live and self.lengths[live[0]] * weight < (n - dry) * self.weights[live[0]]:
-            q = live.pop(0)
-            dry, weight = dry + self.lengths[q], weight - self.weights[q]
+        first = 0
+        while first < len(self.live) and (self.lengths[self.live[first]] * self.left[first]
+                                          < (n - self.dry[first]) * self.weights[self.live[first]]):
+            first += 1
+        ahead, weight = 2 * (n - self.dry[first]), self.left[first]
         out = list(self.lengths)
-        for q in live:
-            out[q] = max(0, min(self.lengths[q], -(-(2 * (n - dry) * self.weights[q] - weight) // (2 * weight))))
+        for q in self.live[first:]:
+            x = -((weight - ahead * self.weights[q]) // (2 * weight))
+            out[q] = 0 if x < 0 else min(x, out[q])
         # The estimate is off by less than a token for each queue.
         short = n - sum(out)
+        if not short:
+            return out
         step = 1 if short > 0 else -1
         sign = 1 if step > 0 else -1
         heap = []
-        for q in range(len(out)):
+        for q in self.live:
             x = out[q] if step > 0 else out[q] - 1
             if 0 <= x < self.lengths[q]:
-                due = self._due(q, x)
-                heap.append((sign * due[0], sign * due[1], q, x))
+                heap.append((sign * (((2 * x + 1) << 128) // self.weights[q]), sign * q, q, x))
         heapq.heapify(heap)
         for _ in range(abs(short)):
             _, _, q, x = heapq.heappop(heap)
@@ -134,7 +143,7 @@ class Schedule:
     def before(self, window: int, q: int) -> int:
         """Tokens of the window that stand before those of queue q."""
         now, after = self.served(window), self.served(window + 1)
-        return sum(after[t] - now[t] for t in range(q))
+        return sum(after[:q]) - sum(now[:q])
 
     def window_of(self, q: int, x: int) -> int:
         """The window that holds token x of queue q."""
@@ -231,12 +240,12 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
             for at in range(0, batch.num_rows, 256):  # bounds what a batch can grow to
                 rows = []
                 for r in batch.slice(at, 256).to_pylist():
-                    ids = np.frombuffer(r["ids"], "<u2").astype("<u4")
+                    ids = np.frombuffer(r["ids"], "<u2").astype("<u4").tobytes()
                     mine, place = shared.get(r["queue"], (schedule, {}))
                     at_queue = place.get(r["source"], r["queue"])
-                    for start, n, window, offset in mine.cut(at_queue, r["start"], len(ids)):
-                        rows.append((r["doc_id"], r["source"], start, n, ids[start: start + n].tobytes(),
-                                     len(ids), window, offset))
+                    for start, n, window, offset in mine.cut(at_queue, r["start"], len(ids) // 4):
+                        rows.append((r["doc_id"], r["source"], start, n, ids[4 * start: 4 * (start + n)],
+                                     len(ids) // 4, window, offset))
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3]
                 columns = list(zip(*rows)) or [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)

@@ -12,6 +12,7 @@ executor.
 from __future__ import annotations
 
 import functools
+import struct
 
 import numpy as np
 
@@ -30,6 +31,10 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(extra)) for b in range(256)]
 
 
+#: The same by the character of each byte in Latin-1, for str.translate.
+_SYMBOLS = dict(enumerate(_byte_symbols()))
+
+
 class WordEncoder(dict):
     """word bytes -> its ids as little-endian unsigned integers."""
 
@@ -41,22 +46,34 @@ class WordEncoder(dict):
         self.model = self.tokenizer.model
         if self.tokenizer.get_vocab_size() > 1 << (8 * int(width[-1])):
             raise ValueError(f"ids of {path} do not fit {width}")
+        self.pack = [struct.Struct(f"<{n}{np.dtype(width).char}").pack for n in range(17)]
         self.width = np.dtype(width)
-        self.symbols = _byte_symbols()
 
-    def _ids(self, word: bytes) -> list[int]:
-        text = word.decode("utf-8", "replace")
+    def _packed(self, ids: list[int]) -> bytes:
+        if len(ids) < len(self.pack):
+            return self.pack[len(ids)](*ids)
+        return np.array(ids, self.width).tobytes()
+
+    def _encoded(self, word: bytes) -> bytes:
+        return self._packed(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
+    def _ids(self, word: bytes) -> bytes:
         # Lower-case Latin letters are one piece that no normaliser changes.
+        if word.isalpha():
+            return self._packed([t.id for t in self.model.tokenize(word.decode("ascii"))])
+        text = word.decode("utf-8", "replace")
         if text.isalpha() and text == text.lower() and max(text) < "ɐ":
-            return [t.id for t in self.model.tokenize("".join(self.symbols[b] for b in word))]
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return self._packed([t.id for t in self.model.tokenize(word.decode("latin-1").translate(_SYMBOLS))])
+        return self._encoded(word)
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > REMEMBERED:
             self.clear()
-        if b"<|" in word or b"'" in word:
-            found = np.array(self.tokenizer.encode(
-                word.decode("utf-8", "replace"), add_special_tokens=False).ids, self.width).tobytes()
+        if word.isalpha():
+            low = word.lower()
+            found = self._ids(word) if low == word else self[low]
+        elif b"<|" in word or b"'" in word:
+            found = self._encoded(word)
         else:
             low = word.lower()
             core = low.rstrip(_PUNCT)
@@ -65,7 +82,7 @@ class WordEncoder(dict):
             elif low != word:
                 found = self[low]
             else:
-                found = np.array(self._ids(word), self.width).tobytes()
+                found = self._ids(word)
         if len(word) <= 64:
             self[word] = found
         return found

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from revlens.llm import (bfd_packing, compression_bands, gru_lm, license_scan, mixture_packing, part_enum,
-                         prefix_decontam, rff_quality, suffix_dedup, virtual_slots)
+from revlens.llm import (bfd_packing, common, compression_bands, gru_lm, license_scan, mixture_packing, part_enum,
+                         prefix_decontam, rff_quality, suffix_dedup, tokens, virtual_slots)
 from revlens.llm.oracles import ORACLES
 from revlens.llm.registry import QUERIES
 from tests.conftest import SF_SMALL
@@ -380,6 +380,25 @@ def test_schedule_keeps_proportions(lengths, capacity):
     assert before == lengths or not s.total
 
 
+def test_mixture_windows_sort_queues_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    s = mixture_packing.Schedule([int(n) for n in rng.integers(1, 90_000, 20)] + [0] * 12, capacity=4096)
+    asked, due = [], mixture_packing.Schedule._due
+    monkeypatch.setattr(mixture_packing.Schedule, "_due", lambda self, q, x: asked.append(q) or due(self, q, x))
+    windows = -(-s.total // s.capacity)
+    assert [sum(s.served(w)) for w in range(windows + 1)] == [min(w * 4096, s.total) for w in range(windows + 1)]
+    assert len(asked) < 20 * windows
+
+
+@pytest.mark.parametrize("raw", ["Étage", "naïve", "NAÏVE", "a" * 70, "don't", "<|endoftext|>", "Hello,", "é,", "x1y2",
+                                 "…!", "ÀÉÎ", "straße", "word.word", "\x00ab", "東京", "Ab" * 40 + "!?"])
+def test_encoder_odd_words(raw):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = Tokenizer.from_file(path).encode(raw, add_special_tokens=False).ids
+    assert np.frombuffer(tokens.encoder(path).encode(raw.encode()), "<u2").tolist() == ids
+
+
+
 def test_pipeline_stages(spark, docs):
     rows = docs
     for name in ("copy", "most", "bad_id", "n_bytes", "n_removed", "same", "spans", "c0", "_row", "component_id", "items"):
