@@ -116,28 +116,51 @@ def in_bitmap(packed, hashes):
     return (packed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
+#: A table of at most so many (node, node) rows is sent to the tasks whole.
+SENT = 100_000
+
+
+def sent(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for a broadcast, if that many rows are few enough."""
+    return F.broadcast(df) if rows <= SENT else df
+
+
+def packed(df: DataFrame, rows: int, each: int = 20_000) -> DataFrame:
+    """``df``, known to have at most so many rows, in no more parts than hold
+    ``each`` of them: a small table is not written as many small files."""
+    parts = -(-rows // each) or 1
+    return df.coalesce(parts) if parts < parallelism(df.sparkSession) else df
+
+
 def components(edges: DataFrame, name: str = "edges", most: int = 60) -> DataFrame:
     """Connected components of a graph given as columns a, b (long): node and
     root, the smallest node of its component; nodes without edges are absent.
+    Give stored edges: the first round reads them more than once.
 
     Alternating large-star and small-star steps; each round is written to the
-    shared folder.  A hub's edges are combined before the shuffle by the
-    grouped minimum; the joins back are left to adaptive skew handling.
+    shared folder, until every node but the roots has one edge, to its root.
+    A hub's edges are combined before the shuffle by the grouped minimum; the
+    joins back send few minima to the edges, and are else left to adaptive
+    skew handling.
     """
-    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .where("a <> b").distinct(), name)
-    state = None
-    for _ in range(most):
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    for step in range(most):
+        if step:
+            # Edges of a node to smaller ones; has it edges from larger ones?
+            ends = now.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+                now.select("b", F.lit(0), F.lit(1)))
+            inner = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+            if not inner.where("down > 1 OR (down = 1 AND up = 1)").count():
+                stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+                return stars.union(now.select("b", "b").distinct())
+        edges_now = now.count()
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        # At most two nodes an edge.
+        large = both.join(sent(low, 2 * edges_now), "a").where("b > a").select(
+            F.col("b").alias("a"), F.col("low").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(least, "a")
-        now = stored(small.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-                     .union(small.select("a", F.col("low").alias("b"))).distinct(), name)
-        found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == (found["n"], found["h"]):
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
-        state = (found["n"], found["h"])
+        small = large.join(sent(least, 2 * edges_now), "a")
+        now = stored(packed(small.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
+                            .union(small.select("a", F.col("low").alias("b"))).distinct(), 4 * edges_now), name)
     raise RuntimeError("components did not settle")

@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.llm.common import bitmap, components, in_bitmap, parallelism, stored
+from revlens.llm.common import bitmap, components, in_bitmap, packed, parallelism, sent, stored
 from revlens.llm.text import SPACED, hashed_words, mix, shingles, utf8
 
 SHINGLE = 5
@@ -69,6 +69,8 @@ HOT = 8
 PARTS = 8
 #: Words whose shingles are hashed and sorted at a time.
 PORTION = 1 << 17
+#: Sets, or pairs of sets, that a task holds at least where they are few.
+EACH = 1000
 #: Nodes in a block, when the nodes of frequent signatures are compared.
 BLOCK = 256
 
@@ -327,9 +329,11 @@ def _thinned(hot: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _picked(docs: DataFrame, wanted: DataFrame, payload) -> DataFrame:
-    """node, size and ``payload`` of the sets of the wanted nodes.  A bitmap of
-    fixed size picks them in the scan, a join makes the choice exact."""
-    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("node").alias("hash")), BITMAP_BITS))
+    """node, size and ``payload`` of the sets of the wanted nodes, which may
+    repeat.  A bitmap of fixed size picks them in the scan, a join makes the
+    choice exact."""
+    bits = bitmap(wanted.select(F.col("node").alias("hash")), BITMAP_BITS)
+    held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
         seen: set[int] = set()
@@ -348,7 +352,10 @@ def _picked(docs: DataFrame, wanted: DataFrame, payload) -> DataFrame:
                 pa.array([r[2] for r in rows], pa.binary())], names=["node", "size", "grams"])
 
     found = docs.select("text").mapInArrow(run, "node long, size long, grams binary")
-    return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    # While few bits are set, there are hardly more nodes than bits.
+    nodes = int(np.bitwise_count(bits).sum())
+    exact = found.join(sent(wanted.distinct(), nodes), "node", "left_semi").dropDuplicates(["node"])
+    return packed(exact, nodes, EACH)
 
 
 def _histogram(grams: np.ndarray) -> bytes:
@@ -370,16 +377,16 @@ def _may_link(x: np.ndarray, y: np.ndarray, s: int, t: int, scheme: Scheme) -> b
     return int(np.abs(_folded(x, cells) - _folded(y, cells)).sum()) <= scheme.differ(s, t)
 
 
-def _in_blocks(near: DataFrame, percent: int) -> DataFrame:
+def _in_blocks(near: DataFrame, rows: int, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes that have a head in common, lie in different
-    components, and may link by their histograms.
+    components, and may link by their histograms; they may repeat.
 
-    ``near``: head, node, root, size, grams.  The nodes of a head are dealt
+    ``near``: head, node, root, size, grams, at most so many ``rows``.  The nodes of a head are dealt
     into blocks of about BLOCK; a task gets two blocks and compares all their
     pairs in place, so pairs are never rows and no task holds more than two
     blocks."""
     blocks = near.groupBy("head").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = near.join(blocks, "head").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
+    dealt = near.join(sent(blocks, rows), "head").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         (F.col("own") <= F.col("other")).alias("first"), "node", "root", "size", "grams")
@@ -405,11 +412,12 @@ def _in_blocks(near: DataFrame, percent: int) -> DataFrame:
         node = pdf["node"].to_numpy()
         return pd.DataFrame({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])})
 
-    return dealt.groupBy("head", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return dealt.groupBy("head", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, keep, kind) -> DataFrame:
-    """The pairs (a, b) for which keep(set, set, size, size) holds."""
+    """The pairs (a, b) for which keep(set, set, size, size) holds; ``pairs``
+    may be marked for a broadcast."""
 
     def run(batches):
         for batch in batches:
@@ -437,9 +445,10 @@ def _linked(docs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
         return 100 * shared >= percent * (s + t - shared)
 
     near = stored(near, "near")
-    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    n_near = near.count()
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b"))
     sets = stored(_picked(docs, nodes, lambda g: g.tobytes()), "whole-sets")
-    return _compare(near, sets, does, np.uint64)
+    return packed(_compare(sent(near, n_near), sets, does, np.uint64), n_near, EACH)
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -452,40 +461,48 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     met = stored(_meet(_blocks(docs, buckets, percent), buckets, percent), "met")
     hot = met.where("kind = 2").select(F.col("a").alias("sig"), F.col("b").alias("node"), "n")
     hot = stored(_thinned(hot, classes.drop("least")), "frequent")
-    pairs = met.where("kind = 0").select("a", "b").union(
+    pairs = stored(met.where("kind = 0").select("a", "b").union(
         hot.where("head <> node").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
-    ).distinct()
-    lists = met.where("kind = 1").select(F.col("a").alias("list"), F.col("b").alias("node")).distinct()
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(lists.select("node")).distinct()
+    ).distinct(), "pairs")
+    n_pairs = pairs.count()
+    lists = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(lists.select("node"))
     histograms = stored(_picked(docs, wanted, _histogram), "histograms")
     scheme = Scheme(percent)
-    near = _compare(pairs, histograms, lambda x, y, s, t: _may_link(x, y, s, t, scheme), np.uint8)
+    near = packed(_compare(sent(pairs, n_pairs), histograms, lambda x, y, s, t: _may_link(x, y, s, t, scheme),
+                           np.uint8), n_pairs, EACH)
     links = stored(_linked(docs, near, percent), "links")
-    roots = components(links)
-
-    def across(members: DataFrame, key: list[str]) -> DataFrame:
-        """The members of signatures whose nodes lie in several components."""
-        at = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = at.groupBy(*key).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-        return at.join(mixed.select(*key), key)
-
+    roots, n_roots = components(links), 2 * links.count()
+
+    # The members of signatures whose nodes lie in several components; head is
+    # NULL for the lists of few nodes.
+    members = lists.distinct().select("key", "node", F.lit(None).cast("long").alias("head")).union(
+        hot.select("sig", "node", "head"))
+    at = members.join(sent(roots, n_roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    key = ["key", F.col("head").isNull().alias("few")]
+    mixed = at.groupBy(*key).agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+    across = at.select("*", key[1]).join(mixed.select("key", "few"), ["key", "few"])
+    across = stored(packed(across, lists.count() + hot.count()), "across")
+    n_across = across.count()
     # Few nodes: their pairs are rows.  Frequent signatures: blocks.
-    few = across(lists, ["list"]).join(histograms, "node").select("list", "node", "root", "size")
-    x = few.select("list", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
-    y = few.select("list", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))
-    rows_across = x.join(y, "list").where(
+    few = sent(across.where("few"), n_across).join(histograms, "node").select("key", "node", "root", "size")
+    x = few.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
+    y = few.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))
+    rows_across = x.join(sent(y, n_across), "key").where(
         (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
         & (100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb"))).select("a", "b").distinct()
     more = _compare(rows_across.join(pairs, ["a", "b"], "left_anti"), histograms,
                     lambda x, y, s, t: _may_link(x, y, s, t, scheme), np.uint8)
-    many = across(hot.select("sig", "head", "node"), ["sig"]).select("head", "node", "root").distinct()
-    blocks = _in_blocks(many.join(histograms, "node"), percent)
+    many = across.where("NOT few").select("head", "node", "root").distinct()
+    blocks = _in_blocks(sent(many, n_across).join(histograms, "node"), n_across, percent)
     more = stored(_linked(docs, more.union(blocks).distinct(), percent), "more-links")
-    if not more.isEmpty():
-        roots = components(links.union(more))
-    classes = classes.select("node", "least").join(roots, "node", "left").withColumn(
+    n_more = more.count()
+    if n_more:
+        roots, n_roots = components(links.union(more)), n_roots + 2 * n_more
+    n_rows = rows.count()  # no fewer than classes
+    classes = classes.select("node", "least").join(sent(roots, n_roots), "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = classes.join(named, "root").select("node", "component_id")
-    return rows.join(labels, "node", "left").select(
+    labels = classes.join(sent(named, n_rows), "root").select("node", "component_id")
+    return rows.join(sent(labels, n_rows), "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -242,6 +242,26 @@ def test_part_enum_near_threshold(spark):
     assert sorted(got, key=repr) == brute_components(rows)
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components_rounds(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "SENT", few)
+    rng = np.random.default_rng(4)
+    star = [(1, i) for i in range(2, 40)]
+    chain = [(100 + i, 101 + i) for i in range(9)] + [(500, 500), (104, 102), (102, 104)]
+    loose = [(int(a), int(b)) for a, b in rng.integers(200, 260, (40, 2))]
+    for edges, rounds in ((star, 1), (chain + star + loose, 5)):
+        parent = {n: n for e in edges for n in e if e[0] != e[1]}
+        for _ in parent:
+            for a, b in edges:
+                if a != b:
+                    parent[a] = parent[b] = min(parent[a], parent[b])
+        with common.stored_within() as made:
+            got = common.components(spark.createDataFrame(edges, "a long, b long"))
+        assert sorted(map(tuple, got.collect())) == sorted(parent.items())
+        assert len(made) <= rounds  # a star needs no second round to be known as one
+        common.freed(*made)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 10**6))
 def test_linked_sets_share_a_signature(size, seed):
